@@ -50,14 +50,25 @@ def complete_dates(profile: DataFrame, date_col: str = "market_date") -> DataFra
     return profile.where("is_complete").select(date_col)
 
 
+def date_set(dates: DataFrame) -> DataFrame:
+    """Broadcast a set of calendar dates.
+
+    Size bound: one row per distinct calendar date, i.e. at most 366 rows per year the
+    data spans (a millennium of dates is < 400k rows, a few MB), however many rows each
+    date holds.  Broadcasting it keeps the big side of a date join from being shuffled
+    by date, a key on which one day may hold a large share of all rows.
+    """
+    return F.broadcast(dates)
+
+
 def keep_dates(df: DataFrame, dates: DataFrame, date_col: str = "market_date") -> DataFrame:
-    """Rows on the given dates.  The date set is one row per date; AQE broadcasts it when small."""
-    return df.join(dates, date_col, "left_semi")
+    """Rows on the given dates (a date set, see ``date_set``)."""
+    return df.join(date_set(dates), date_col, "left_semi")
 
 
 def drop_dates(df: DataFrame, dates: DataFrame, date_col: str = "market_date") -> DataFrame:
     """Rows not on the given dates (NULL dates are kept, i.e. treated as not complete)."""
-    return df.join(dates, date_col, "left_anti")
+    return df.join(date_set(dates), date_col, "left_anti")
 
 
 def ordinary_days(df: DataFrame, *, date_col: str, interval_col: str, entity_col: str,

@@ -16,7 +16,7 @@ from lakemeter import domain as D
 from lakemeter.operators import completeness as C
 from lakemeter.operators import dims, facts, quality
 from lakemeter.operators.dedup import flag_latest
-from lakemeter.operators.rules import REASON, first_failure, non_finite, outside_domain, split, to_quarantine
+from lakemeter.operators.rules import REASON, first_failure, non_finite, outside_domain, to_quarantine
 from lakemeter.plans.tables import TableStore
 from lakemeter.session import materialize
 from lakemeter.sources.parse import parse_actual, parse_forecast
@@ -78,29 +78,40 @@ def label_rows(rows: DataFrame, keys: Sequence[str], rules: list[tuple[str, Colu
 def validate_pair(actual: DataFrame, forecast: DataFrame, dom: MarketDomain = MarketDomain(),
                   options: RuleOptions = RuleOptions(), as_of=None,
                   persist: bool = False) -> Validation:
+    """Label both datasets, find the complete dates, and route every row exactly once.
+
+    Each labelled frame has two consumers only: the per-date profile (a small aggregate)
+    and one left join with the complete-date set, which gives rule-passing rows on other
+    dates the reason ``INCOMPLETE_MARKET_DATE``.  Valid and quarantined rows are then two
+    filters of the same frame.
+    """
     a_rules = measurement_rules("actual_load_mw", D.NEGATIVE_LOAD, "region", dom.regions,
                                 D.UNEXPECTED_REGION, options)
     f_rules = measurement_rules("load_forecast_mw", D.NEGATIVE_FORECAST, "local_resource_zone",
                                 dom.zones, D.UNEXPECTED_ZONE, options)
     a_lab = label_rows(actual, D.ACTUAL_KEYS, a_rules, options)
     f_lab = label_rows(forecast, D.FORECAST_KEYS, f_rules, options)
-    if persist:  # reused by the split, the profile and the quarantine: compute once
+    if persist:  # reused by the profile and the routing join: compute once
         a_lab, f_lab = materialize(a_lab), materialize(f_lab)
-    a_ok, a_bad = split(a_lab)
-    f_ok, f_bad = split(f_lab)
-    a_ok, f_ok = a_ok.drop("record_index"), f_ok.drop("record_index")
-    profile = C.paired_completeness(a_ok, f_ok, expected_actual=len(dom.regions),
-                                    expected_forecast=len(dom.zones))
-    dates = C.complete_dates(profile)
-    incomplete = F.lit(D.INCOMPLETE_MARKET_DATE).alias(REASON)
-    a_inc = C.drop_dates(a_ok, dates).select("*", incomplete)
-    f_inc = C.drop_dates(f_ok, dates).select("*", incomplete)
-    quarantine = to_quarantine(a_bad.unionByName(a_inc, allowMissingColumns=True), D.ACTUAL_DATASET,
-                               "actual_load_mw", as_of=as_of).unionByName(
-        to_quarantine(f_bad.unionByName(f_inc, allowMissingColumns=True), D.FORECAST_DATASET,
-                      "load_forecast_mw", zone_col="local_resource_zone", as_of=as_of))
-    return Validation(a_lab, f_lab, C.keep_dates(a_ok, dates), C.keep_dates(f_ok, dates),
-                      quarantine, profile)
+    passing = F.col(REASON).isNull()
+    profile = C.paired_completeness(a_lab.where(passing), f_lab.where(passing),
+                                    expected_actual=len(dom.regions), expected_forecast=len(dom.zones))
+    dates = C.date_set(C.complete_dates(profile).withColumn("_complete", F.lit(True)))
+
+    def route(labelled: DataFrame) -> DataFrame:
+        reason = F.when(F.col(REASON).isNull() & F.col("_complete").isNull(),
+                        F.lit(D.INCOMPLETE_MARKET_DATE)).otherwise(F.col(REASON))
+        return (labelled.join(dates, "market_date", "left")
+                .withColumn(REASON, reason).drop("_complete", "record_index"))
+
+    a_all, f_all = route(a_lab), route(f_lab)
+    rejected = F.col(REASON).isNotNull()
+    quarantine = to_quarantine(a_all.where(rejected), D.ACTUAL_DATASET, "actual_load_mw",
+                               as_of=as_of).unionByName(
+        to_quarantine(f_all.where(rejected), D.FORECAST_DATASET, "load_forecast_mw",
+                      zone_col="local_resource_zone", as_of=as_of))
+    return Validation(a_lab, f_lab, a_all.where(passing).drop(REASON),
+                      f_all.where(passing).drop(REASON), quarantine, profile)
 
 
 @dataclass
