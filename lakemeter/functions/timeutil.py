@@ -68,3 +68,13 @@ def utc_now(as_of: _dt.datetime | str | None = None) -> Column:
     if isinstance(as_of, str):
         return F.lit(as_of).cast("timestamp_ntz")
     return F.lit(as_of.replace(tzinfo=None)).cast("timestamp_ntz")
+
+
+def ntz_to_instant(col) -> Column:
+    """UTC wall time (``timestamp_ntz``) -> instant (``timestamp``), independent of the session zone."""
+    return F.timestamp_micros(epoch_micros(col))
+
+
+def instant_to_ntz(col) -> Column:
+    """Instant (``timestamp``) -> UTC wall time (``timestamp_ntz``), independent of the session zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(col)), F.expr(_EPOCH))

@@ -13,10 +13,12 @@ Insert-only writes are plain appends.  One writer per table at a time.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakemeter.operators.dedup import latest_rows
 from lakemeter.session import materialize
@@ -93,12 +95,36 @@ class TableStore:
         fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         return fs, hpath
 
+    def _schema_file(self, table: str) -> str:
+        # leading "_": ignored by the parquet reader
+        return f"{self.path(table)}/_lakemeter_schema.json"
+
     def exists(self, table: str) -> bool:
-        fs, p = self._fs(self.path(table) + "/_SUCCESS")
+        """A table exists once a write committed (the schema file is written after commit)."""
+        fs, p = self._fs(self._schema_file(table))
         return bool(fs.exists(p))
 
+    def schema(self, table: str) -> StructType:
+        fs, p = self._fs(self._schema_file(table))
+        stream = fs.open(p)
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return StructType.fromJson(json.loads(text))
+
+    def _has_data(self, table: str) -> bool:
+        fs, p = self._fs(self.path(table))
+        return fs.exists(p) and any(not st.getPath().getName().startswith((".", "_"))
+                                    for st in fs.listStatus(p))
+
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table))
+        """The table with its recorded schema (no inference); empty when every partition
+        has been deleted."""
+        schema = self.schema(table)
+        if not self._has_data(table):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.path(table))
 
     def ensure_layers(self) -> None:
         for layer in ("bronze", "silver", "gold", "ops"):
@@ -112,6 +138,13 @@ class TableStore:
         if part:
             writer = writer.partitionBy(part).option("partitionOverwriteMode", overwrite)
         writer.parquet(self.path(table))
+        if mode == "overwrite" or not self.exists(table):
+            fs, p = self._fs(self._schema_file(table))
+            out = fs.create(p, True)
+            try:
+                out.write(bytearray(df.schema.json().encode("utf-8")))
+            finally:
+                out.close()
 
     def overwrite(self, table: str, df: DataFrame) -> None:
         """Replace the whole table (every partition) with ``df``."""

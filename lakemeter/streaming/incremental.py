@@ -19,8 +19,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import TimestampNTZType
 
 from lakemeter import domain as D
+from lakemeter.functions.timeutil import instant_to_ntz, ntz_to_instant
 from lakemeter.plans.lakehouse import Lakehouse
 from lakemeter.sources.parse import parse_actual, parse_forecast
 from lakemeter.sources.payloads import with_lineage
@@ -68,12 +70,19 @@ def start_landing(house: Lakehouse, path: str, dataset: str, checkpoint: str,
 def interval_aggregate(stream: DataFrame, time_col: str, keys: Sequence[str], value_col: str,
                        window: str = "1 hour", watermark: str = "2 hours",
                        dedup_cols: Sequence[str] | None = None) -> DataFrame:
-    """Per tumbling window and key: rows, sum, max of ``value_col`` (append mode)."""
+    """Per tumbling window and key: rows, sum, max of ``value_col`` (append mode).
+
+    Event time may be a UTC-wall ``timestamp_ntz``; it is turned into an instant for the
+    watermark and the window bounds come back as ``timestamp_ntz``.
+    """
+    if isinstance(stream.schema[time_col].dataType, TimestampNTZType):
+        stream = stream.withColumn(time_col, ntz_to_instant(time_col))
     s = stream.withWatermark(time_col, watermark)
     if dedup_cols:
         s = s.dropDuplicatesWithinWatermark(list(dedup_cols))
     return (s.groupBy(F.window(time_col, window).alias("window"), *keys)
             .agg(F.count(F.lit(1)).alias("rows"), F.sum(value_col).alias("total"),
                  F.max(value_col).alias("peak"))
-            .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+            .select(instant_to_ntz("window.start").alias("window_start"),
+                    instant_to_ntz("window.end").alias("window_end"),
                     *keys, "rows", "total", "peak"))

@@ -37,3 +37,13 @@ def test_text_helpers(spark):
     assert [r.n for r in rows] == [99657.0, 30.92, -4843.0, None]
     assert [r.r for r in rows] == ["CENTRAL", "NORTH", None, "X"]
     assert len(rows[0].c) == 64
+
+
+def test_utc_now_and_instant_round_trip(spark):
+    from lakemeter.functions.timeutil import instant_to_ntz, ntz_to_instant, utc_now
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    r = spark.range(1).select(utc_now().alias("n")).first()
+    assert abs((r.n - now).total_seconds()) < 120
+    t = dt.datetime(2024, 7, 1, 12, 30, 15, 123456)
+    back = spark.createDataFrame([(t,)], "t timestamp_ntz").select(instant_to_ntz(ntz_to_instant("t")).alias("x")).first()
+    assert back.x == t
