@@ -81,19 +81,20 @@ def evaluate_runs(valid_actual: DataFrame, valid_forecast: DataFrame, quarantine
                   run_col: str, evaluated_at: Column, actual_name: str = "actual_load_hourly",
                   forecast_name: str = "load_forecast_hourly",
                   quarantine_name: str = "historical_load") -> DataFrame:
-    """``evaluate`` for many runs at once: each distinct ``run_col`` value is one run.
+    """``evaluate`` for many runs at once: each distinct non-NULL ``run_col`` value is one run.
 
-    Counts are aggregated per (run, dataset) and laid on the run x 3-dataset grid, so a
-    dataset with no rows in a run still reports 0 (and a blocking FAIL).
+    One aggregate gives the three counts per run (a dataset without rows in a run counts
+    0, i.e. a blocking FAIL for the valid outputs); the three outcome rows of a run are
+    then generated from that single row, so no join back is needed.
     ``evaluated_at`` is an expression of ``run_col``.
     """
     tagged = (valid_actual.select(F.col(run_col).alias("_run"), F.lit("a").alias("tag"))
               .unionByName(valid_forecast.select(F.col(run_col).alias("_run"), F.lit("f").alias("tag")))
               .unionByName(quarantine.select(F.col(run_col).alias("_run"), F.lit("q").alias("tag"))))
-    counts = tagged.groupBy("_run", "tag").agg(F.count(F.lit(1)).alias("n"))
-    grid = (counts.select("_run").where(F.col("_run").isNotNull()).distinct()
-            .select("_run", F.explode(F.array(F.lit("a"), F.lit("f"), F.lit("q"))).alias("tag")))
-    full = grid.join(counts, ["_run", "tag"], "left").fillna(0, ["n"])
+    per_run = (tagged.where(F.col("_run").isNotNull()).groupBy("_run")
+               .agg(*[F.count(F.when(F.col("tag") == t, 1)).alias(t) for t in ("a", "f", "q")]))
+    outcomes = F.array(*[F.struct(F.lit(t).alias("tag"), F.col(t).alias("n")) for t in ("a", "f", "q")])
+    full = per_run.select("_run", F.explode(outcomes).alias("_o")).select("_run", "_o.tag", "_o.n")
     tag, n = F.col("tag"), F.col("n")
     is_q = tag == "q"
     return full.select(

@@ -26,7 +26,19 @@ EVENTS_DOMAIN = MarketDomain(tz="America/New_York", regions=EVENT_REGIONS, zones
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an under-partitioned scan over the cluster's task slots.
+
+    A small file with one row group is read by a single task, which would then do all the
+    per-row work (parsing, projections, map-side sorts) alone.  Only when the scan has
+    fewer splits than the default parallelism is it repartitioned (round-robin, which
+    sorts locally first so a retried task sees the same rows); large inputs pass unchanged.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
 
 
 def _lineage(events: DataFrame):

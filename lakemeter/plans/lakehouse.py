@@ -18,7 +18,7 @@ from lakemeter.operators import dims, facts, quality
 from lakemeter.operators.dedup import flag_latest
 from lakemeter.operators.rules import REASON, first_failure, non_finite, outside_domain, to_quarantine
 from lakemeter.plans.tables import TableStore
-from lakemeter.session import materialize
+from lakemeter.session import materialize, materialize_all
 from lakemeter.sources.parse import parse_actual, parse_forecast
 from lakemeter.sources.payloads import scan_payloads
 
@@ -92,7 +92,7 @@ def validate_pair(actual: DataFrame, forecast: DataFrame, dom: MarketDomain = Ma
     a_lab = label_rows(actual, D.ACTUAL_KEYS, a_rules, options)
     f_lab = label_rows(forecast, D.FORECAST_KEYS, f_rules, options)
     if persist:  # reused by the profile and the routing join: compute once
-        a_lab, f_lab = materialize(a_lab), materialize(f_lab)
+        a_lab, f_lab = materialize_all(a_lab, f_lab)
     passing = F.col(REASON).isNull()
     profile = C.paired_completeness(a_lab.where(passing), f_lab.where(passing),
                                     expected_actual=len(dom.regions), expected_forecast=len(dom.zones))
@@ -159,8 +159,7 @@ class Lakehouse:
             actual = actual.join(dates.select("market_date").distinct(), "market_date", "left_semi")
             forecast = forecast.join(dates.select("market_date").distinct(), "market_date", "left_semi")
         v = validate_pair(actual, forecast, self.dom, options, as_of, persist=True)
-        valid_a, valid_f, quarantine = materialize(v.valid_actual), materialize(v.valid_forecast), \
-            materialize(v.quarantine)
+        valid_a, valid_f, quarantine = materialize_all(v.valid_actual, v.valid_forecast, v.quarantine)
         v = Validation(v.labelled_actual, v.labelled_forecast, valid_a, valid_f, quarantine, v.completeness)
         self.publish_silver(v)
         results = quality.evaluate(valid_a, valid_f, quarantine, run_id, as_of)

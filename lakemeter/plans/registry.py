@@ -22,7 +22,7 @@ from lakemeter.operators.dedup import flag_latest, latest_rows
 from lakemeter.plans import reports, tables
 from lakemeter.plans.bindings import (AS_OF, BIN_HOURS, EVENTS_DOMAIN, events_actual,
                                       events_forecast, table)
-from lakemeter.plans.lakehouse import RuleOptions, validate_pair
+from lakemeter.plans.lakehouse import RuleOptions, label_rows, measurement_rules, validate_pair
 from lakemeter.sources.contracts import check_payloads, reconcile
 from lakemeter.sources.parse import parse_actual
 from lakemeter.sources.payloads import with_lineage
@@ -37,12 +37,15 @@ def _r(col, n: int = 6):
 
 
 def _validation(spark: SparkSession, sf: str):
+    """Events -> labelled, routed datasets.  The labelled frames feed several consumers,
+    so they are written once to the checkpoint folder (as the lakehouse run does)."""
     ev = table(spark, sf, "events")
-    return validate_pair(events_actual(ev), events_forecast(ev), EVENTS_DOMAIN, RuleOptions(), AS_OF)
+    return validate_pair(events_actual(ev), events_forecast(ev), EVENTS_DOMAIN, RuleOptions(), AS_OF,
+                         persist=True)
 
 
-def _fact(spark: SparkSession, sf: str) -> DataFrame:
-    v = _validation(spark, sf)
+def _fact(spark: SparkSession, sf: str, v=None) -> DataFrame:
+    v = v or _validation(spark, sf)
     return facts.compare(v.valid_actual, v.valid_forecast, EVENTS_DOMAIN.tz, AS_OF)
 
 
@@ -73,22 +76,34 @@ def q_dedup_flags(spark, sf):
 
 
 # -- rules, split, completeness, quarantine -----------------------------------------------
+def _labelled(spark, sf, forecast: bool = False):
+    """One dataset's labels only (no routing, nothing materialized)."""
+    ev = table(spark, sf, "events")
+    opts = RuleOptions()
+    if forecast:
+        rules = measurement_rules("load_forecast_mw", D.NEGATIVE_FORECAST, "local_resource_zone",
+                                  EVENTS_DOMAIN.zones, D.UNEXPECTED_ZONE, opts)
+        return label_rows(events_forecast(ev), D.FORECAST_KEYS, rules, opts)
+    rules = measurement_rules("actual_load_mw", D.NEGATIVE_LOAD, "region", EVENTS_DOMAIN.regions,
+                              D.UNEXPECTED_REGION, opts)
+    return label_rows(events_actual(ev), D.ACTUAL_KEYS, rules, opts)
+
+
 def q_rule_labels(spark, sf):
-    return _validation(spark, sf).labelled_actual.select(
+    return _labelled(spark, sf).select(
         F.col("record_index").alias("event_id"), "market_date", "interval_start_utc", "region",
         "actual_load_mw", "quarantine_reason")
 
 
 def q_forecast_labels(spark, sf):
-    return _validation(spark, sf).labelled_forecast.select(
+    return _labelled(spark, sf, forecast=True).select(
         F.col("record_index").alias("event_id"), "market_date", "forecast_init_date",
         "interval_start_utc", "local_resource_zone", "region", "load_forecast_mw", "quarantine_reason")
 
 
 def q_rule_split_counts(spark, sf):
-    v = _validation(spark, sf)
-    a = v.labelled_actual.select(F.lit(D.ACTUAL_DATASET).alias("dataset_name"), "quarantine_reason")
-    f = v.labelled_forecast.select(F.lit(D.FORECAST_DATASET).alias("dataset_name"), "quarantine_reason")
+    a = _labelled(spark, sf).select(F.lit(D.ACTUAL_DATASET).alias("dataset_name"), "quarantine_reason")
+    f = _labelled(spark, sf, forecast=True).select(F.lit(D.FORECAST_DATASET).alias("dataset_name"), "quarantine_reason")
     return (a.unionByName(f).groupBy("dataset_name", F.coalesce("quarantine_reason", F.lit("VALID")).alias("outcome"))
             .agg(F.count(F.lit(1)).alias("row_count")))
 
@@ -138,8 +153,8 @@ def q_accuracy_daily(spark, sf):
                       "hour_count")
 
 
-def _performance(spark, sf):
-    stats = facts.daily_stats(_fact(spark, sf))
+def _performance(spark, sf, fact=None):
+    stats = facts.daily_stats(fact if fact is not None else _fact(spark, sf))
     return facts.split_daily_stats(stats, AS_OF)
 
 
@@ -175,9 +190,10 @@ def q_peak_report(spark, sf):
 
 
 def q_kpis(spark, sf):
-    fact = _fact(spark, sf)
-    peak, perf = _performance(spark, sf)
-    q = _validation(spark, sf).quarantine
+    v = _validation(spark, sf)
+    fact = _fact(spark, sf, v)
+    peak, perf = _performance(spark, sf, fact)
+    q = v.quarantine
     out = reports.kpis(fact, peak, perf, q, *RANGE, regions=["CLICK", "VIEW"])
     return out.select("latest_measurement_utc", "peak_demand_mw", _r("mean_mae_mw").alias("mean_mae_mw"),
                       "quarantined_rows")

@@ -45,19 +45,22 @@ def check_payloads(bronze: DataFrame, value_field: str, payload_col: str = "raw_
 
     Contract: ``data`` is a non-empty list; each record is an object with a non-empty
     interval start and a numeric (not boolean), finite, non-negative value.
+    Each expensive value (the parsed array, the first violation) is computed once in its
+    own projection and then referenced, so the optimizer never re-evaluates it per field.
     """
     data = F.expr(f"try_variant_get(try_parse_json({payload_col}), '$.data', 'array<variant>')")
-    checked = bronze.select(*keep, data.alias("_data"))
     labelled = F.expr(
         "filter(transform(_data, (x, i) -> named_struct('i', i, 'r', "
         + _record_violation(value_field) + ")), s -> s.r IS NOT NULL)")
-    first = F.try_element_at(labelled, F.lit(1))
-    nonempty = F.coalesce(F.size("_data") > 0, F.lit(False))
+    parsed = bronze.select(*keep, data.alias("_data"))
+    checked = parsed.select(*keep, F.coalesce(F.size("_data"), F.lit(0)).alias("_n"),
+                            F.try_element_at(labelled, F.lit(1)).alias("_first"))
+    empty = F.col("_n") <= 0
     return checked.select(
         *keep,
-        F.when(nonempty, F.size("_data")).otherwise(0).alias("record_count"),
-        F.when(nonempty, first["i"]).alias("violation_index"),
-        F.when(~nonempty, F.lit(DATA_NOT_NONEMPTY_LIST)).otherwise(first["r"]).alias("violation"),
+        F.when(empty, 0).otherwise(F.col("_n")).alias("record_count"),
+        F.when(~empty, F.col("_first.i")).alias("violation_index"),
+        F.when(empty, F.lit(DATA_NOT_NONEMPTY_LIST)).otherwise(F.col("_first.r")).alias("violation"),
     ).withColumn("is_valid", F.col("violation").isNull())
 
 
