@@ -64,9 +64,15 @@ def gate(results: DataFrame) -> int:
 
 
 def error_thresholds(fact: DataFrame, keys=("region",), quantile: float = 0.99,
-                     accuracy: int = 10000) -> DataFrame:
-    """Per key: the ``quantile`` of absolute error from history (mergeable sketch, so a hot
-    key is combined map-side)."""
+                     accuracy: int = 10000, exact: bool = False) -> DataFrame:
+    """Per key: the ``quantile`` of absolute error from history.
+
+    Default is a mergeable sketch (``percentile_approx``), combined map-side however hot a
+    key is; ``exact`` gives the interpolated percentile (see ``stats.exact_percentiles``).
+    """
+    if exact:
+        from lakemeter.operators.stats import exact_percentiles
+        return exact_percentiles(fact, list(keys), "absolute_error_mw", [quantile], ["error_threshold_mw"])
     return fact.groupBy(*keys).agg(
         F.percentile_approx("absolute_error_mw", quantile, accuracy).alias("error_threshold_mw"))
 

@@ -19,7 +19,7 @@ from lakemeter.operators.dedup import flag_latest
 from lakemeter.operators.rules import REASON, first_failure, non_finite, outside_domain, to_quarantine
 from lakemeter.plans.tables import TableStore
 from lakemeter.session import materialize, materialize_all
-from lakemeter.sources.parse import parse_actual, parse_forecast
+from lakemeter.sources.parse import parse_actual, parse_forecast, record_dates
 from lakemeter.sources.payloads import scan_payloads
 
 # greatest wins: newest ingestion (NULL last), then batch, file and record position
@@ -142,22 +142,65 @@ class Lakehouse:
     def at(cls, spark: SparkSession, root: str, dom: MarketDomain = MarketDomain()) -> Lakehouse:
         return cls(TableStore(spark, root, cls.partitioning()), dom)
 
+    ACTUAL_FILE_DATES = D.table_name("bronze", "actual_load_file_dates")
+    FORECAST_FILE_DATES = D.table_name("bronze", "load_forecast_file_dates")
+
+    def _raw(self, dataset: str) -> tuple[str, str]:
+        if dataset == D.ACTUAL_DATASET:
+            return self.ACTUAL_RAW, self.ACTUAL_FILE_DATES
+        return self.FORECAST_RAW, self.FORECAST_FILE_DATES
+
     # -- Bronze -------------------------------------------------------------------------
     def ingest(self, path: str, dataset: str, batch_id: str, source_name: str = "market",
                ingested_at=None) -> dict:
-        table = self.ACTUAL_RAW if dataset == D.ACTUAL_DATASET else self.FORECAST_RAW
         frame = scan_payloads(self.store.spark, path, source_name, dataset, batch_id, ingested_at)
-        return self.store.insert_only(table, frame, ["record_checksum"])
+        return self.ingest_frame(frame, dataset)
+
+    def ingest_frame(self, bronze: DataFrame, dataset: str) -> dict:
+        """Insert-only on the checksum, then index the market dates of the new files, so a
+        later rebuild of some dates reads only the Bronze files that hold them."""
+        table, index = self._raw(dataset)
+        counts, fresh = self.store.insert_new(table, bronze, ["record_checksum"])
+        if counts["inserted"]:
+            schema = D.actual_payload_schema() if dataset == D.ACTUAL_DATASET else D.forecast_payload_schema()
+            self.store.insert_only(index, record_dates(fresh, schema), ["record_checksum", "market_date"])
+        return counts
+
+    def bronze_for_dates(self, dataset: str, dates: DataFrame) -> DataFrame:
+        """Bronze rows of the files holding any of ``dates`` (a file with a NULL date, i.e.
+        unparsable, is included whenever it exists, so its evidence is never lost)."""
+        table, index = self._raw(dataset)
+        bronze = self.store.read(table)
+        if not self.store.exists(index):
+            return bronze
+        wanted = dates.select("market_date").where(F.col("market_date").isNotNull()).distinct()
+        idx = self.store.read(index)
+        files = (idx.join(C.date_set(wanted), "market_date", "left_semi")
+                 .unionByName(idx.where(F.col("market_date").isNull()))
+                 .select("record_checksum").distinct())
+        return bronze.join(files, "record_checksum", "left_semi")
+
+    def batch_dates(self, dataset: str, batch_id: str) -> DataFrame:
+        """Market dates touched by the files of one Bronze batch."""
+        table, index = self._raw(dataset)
+        files = self.store.read(table).where(F.col("batch_id") == batch_id).select("record_checksum")
+        return self.store.read(index).join(files, "record_checksum", "left_semi").select("market_date").distinct()
 
     # -- Silver -------------------------------------------------------------------------
     def build_silver(self, run_id: str, as_of=None, options: RuleOptions = RuleOptions(),
                      dates: DataFrame | None = None) -> Validation:
         """Validate Bronze (all of it, or every row of the given market dates) and publish."""
-        actual = parse_actual(self.store.read(self.ACTUAL_RAW), self.dom.tz, as_of)
-        forecast = parse_forecast(self.store.read(self.FORECAST_RAW), self.dom.tz, as_of)
+        if dates is None:
+            a_raw, f_raw = self.store.read(self.ACTUAL_RAW), self.store.read(self.FORECAST_RAW)
+        else:  # only the files holding those dates are parsed
+            a_raw = self.bronze_for_dates(D.ACTUAL_DATASET, dates)
+            f_raw = self.bronze_for_dates(D.FORECAST_DATASET, dates)
+        actual = parse_actual(a_raw, self.dom.tz, as_of)
+        forecast = parse_forecast(f_raw, self.dom.tz, as_of)
         if dates is not None:
-            actual = actual.join(dates.select("market_date").distinct(), "market_date", "left_semi")
-            forecast = forecast.join(dates.select("market_date").distinct(), "market_date", "left_semi")
+            wanted = C.date_set(dates.select("market_date").distinct())
+            actual = actual.join(wanted, "market_date", "left_semi")
+            forecast = forecast.join(wanted, "market_date", "left_semi")
         v = validate_pair(actual, forecast, self.dom, options, as_of, persist=True)
         valid_a, valid_f, quarantine = materialize_all(v.valid_actual, v.valid_forecast, v.quarantine)
         v = Validation(v.labelled_actual, v.labelled_forecast, valid_a, valid_f, quarantine, v.completeness)

@@ -24,7 +24,7 @@ from lakemeter.plans.bindings import (AS_OF, BIN_HOURS, EVENTS_DOMAIN, events_ac
                                       events_forecast, table)
 from lakemeter.plans.lakehouse import RuleOptions, label_rows, measurement_rules, validate_pair
 from lakemeter.sources.contracts import check_payloads, reconcile
-from lakemeter.sources.parse import parse_actual
+from lakemeter.sources.parse import parse_actual, parse_forecast
 from lakemeter.sources.payloads import with_lineage
 
 RANGE = ("2024-01-05", "2024-01-20")
@@ -301,6 +301,29 @@ def q_parse_payloads(spark, sf):
         "interval_start_utc", "region", "actual_load_mw")
 
 
+def q_parse_forecast_payloads(spark, sf):
+    ev = table(spark, sf, "events")
+    start = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    rec = F.to_json(F.struct(
+        F.struct(start.alias("start")).alias("timeInterval"), F.col("event_type").alias("region"),
+        F.concat(F.lit("z"), (F.col("user_id") % 10 + 1).cast("string")).alias("localResourceZone"),
+        F.col("value").alias("loadForecast"), F.date_format("ts", "yyyy-MM-dd").alias("init")))
+    bronze = ev.select(F.col("event_id").cast("string").alias("raw_file_name"),
+                       F.concat(F.lit('{"data":['), rec, F.lit("]}")).alias("raw_payload"))
+    bronze = with_lineage(bronze, "events", D.FORECAST_DATASET, "batch-0", ingested_at=AS_OF)
+    return parse_forecast(bronze, EVENTS_DOMAIN.tz, AS_OF).select(
+        F.col("raw_file_name").cast("bigint").alias("event_id"), "market_date", "forecast_init_date",
+        "interval_start_utc", "region", "local_resource_zone", "load_forecast_mw")
+
+
+def q_error_observations(spark, sf):
+    fact = _fact(spark, sf)
+    th = quality.error_thresholds(fact, quantile=0.9, exact=True)
+    out = quality.observations(fact, th)
+    return out.select("market_date", "interval_start_utc", "region", _r("absolute_error_mw").alias("absolute_error_mw"),
+                      _r("error_threshold_mw").alias("error_threshold_mw"))
+
+
 def q_payload_contract(spark, sf):
     ev = table(spark, sf, "events")
     first, start = _event_payload()
@@ -374,7 +397,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "payload_dedup": q_payload_dedup,
     "manifest_reconcile": q_manifest_reconcile,
     "parse_payloads": q_parse_payloads,
+    "parse_forecast_payloads": q_parse_forecast_payloads,
     "payload_contract": q_payload_contract,
+    "error_observations": q_error_observations,
     "utc_normalise": q_utc_normalise,
     "price_distribution": q_price_distribution,
     "display_numbers": q_display_numbers,

@@ -426,3 +426,17 @@ SELECT o_orderkey, '$' || format('{:,.2f}', o_totalprice) AS shown,
        CAST(replace(replace('$' || format('{:,.2f}', o_totalprice), '$', ''), ',', '') AS DOUBLE) AS parsed_value
 FROM orders
 """
+
+SQL["parse_forecast_payloads"] = f"""
+SELECT event_id, CAST(ts AS DATE) AS market_date, CAST(ts AS DATE) AS forecast_init_date,
+       {_utc('ts')} AS interval_start_utc, upper(trim(event_type)) AS region,
+       'Z' || CAST(user_id % 10 + 1 AS VARCHAR) AS local_resource_zone, value AS load_forecast_mw
+FROM events
+"""
+
+SQL["error_observations"] = _with("""
+, th AS (SELECT region, quantile_cont(absolute_error_mw, 0.9) AS error_threshold_mw FROM fact GROUP BY region)
+SELECT f.market_date, f.interval_start_utc, f.region, round(f.absolute_error_mw, 6) AS absolute_error_mw,
+       round(th.error_threshold_mw, 6) AS error_threshold_mw
+FROM fact f JOIN th ON f.region = th.region
+WHERE f.absolute_error_mw > th.error_threshold_mw""")

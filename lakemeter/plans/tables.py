@@ -170,15 +170,29 @@ class TableStore:
                 if fs.exists(p):
                     fs.delete(p, True)
 
+    def insert_new(self, table: str, source: DataFrame, keys: Sequence[str]) -> tuple[dict, DataFrame]:
+        """Append the rows whose key is not yet in the table.
+
+        One aggregate both reduces repeats of a key inside the source (greatest row wins)
+        and counts the rows seen; the new rows are written once to the checkpoint folder,
+        then appended.  Returns the counts and the appended rows.
+        """
+        row = F.struct(*[F.col(f"`{c}`") for c in source.columns])
+        reduced = materialize(source.groupBy(*keys).agg(F.max_by(row, row).alias("_r"),
+                                                        F.count(F.lit(1)).alias("_n")))
+        seen = reduced.agg(F.sum("_n")).first()[0] or 0
+        rows = reduced.select("_r.*")
+        if self.exists(table):
+            tgt_keys = _renamed_keys(self.read(table), keys)
+            rows = materialize(rows.join(tgt_keys, _key_match(rows, tgt_keys, keys), "left_anti"))
+        inserted = rows.count()
+        if inserted or not self.exists(table):
+            self._write(table, rows, "append" if self.exists(table) else "overwrite")
+        return {"seen": int(seen), "inserted": int(inserted)}, rows
+
     def insert_only(self, table: str, source: DataFrame, keys: Sequence[str]) -> dict:
-        """Append unseen keys.  Returns rows seen and inserted (one job for both counts)."""
-        target = self.read(table) if self.exists(table) else None
-        fresh = materialize(insert_only(target, source, keys, new_only=True))
-        counts = source.agg(F.count(F.lit(1)).alias("seen")).first()["seen"]
-        inserted = fresh.count()
-        if inserted or target is None:
-            self._write(table, fresh, "append" if target is not None else "overwrite")
-        return {"seen": int(counts), "inserted": int(inserted)}
+        """Append unseen keys; returns rows seen and inserted."""
+        return self.insert_new(table, source, keys)[0]
 
     def upsert(self, table: str, source: DataFrame, keys: Sequence[str], check_unique: bool = True) -> None:
         if check_unique and duplicate_keys(source, keys).limit(1).count():

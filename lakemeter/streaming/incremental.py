@@ -24,7 +24,6 @@ from pyspark.sql.types import TimestampNTZType
 from lakemeter import domain as D
 from lakemeter.functions.timeutil import instant_to_ntz, ntz_to_instant
 from lakemeter.plans.lakehouse import Lakehouse
-from lakemeter.sources.parse import parse_actual, parse_forecast
 from lakemeter.sources.payloads import with_lineage
 
 
@@ -46,18 +45,14 @@ def start_landing(house: Lakehouse, path: str, dataset: str, checkpoint: str,
                   on_batch: Callable[[int, dict], None] | None = None,
                   glob: str | None = None) -> StreamingQuery:
     spark = house.store.spark
-    table = house.ACTUAL_RAW if dataset == D.ACTUAL_DATASET else house.FORECAST_RAW
-    parse = parse_actual if dataset == D.ACTUAL_DATASET else parse_forecast
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         batch_id = f"{batch_prefix}{epoch_id:08d}"
         bronze = with_lineage(batch, source_name, dataset, batch_id)
-        counts = house.store.insert_only(table, bronze, ["record_checksum"])
+        counts = house.ingest_frame(bronze, dataset)
         if rebuild_silver and counts["inserted"] and house.store.exists(house.ACTUAL_RAW) \
                 and house.store.exists(house.FORECAST_RAW):
-            touched = parse(bronze, house.dom.tz).select("market_date").where(
-                F.col("market_date").isNotNull()).distinct()
-            house.build_silver(run_id=batch_id, dates=touched)
+            house.build_silver(run_id=batch_id, dates=house.batch_dates(dataset, batch_id))
         if on_batch:
             on_batch(epoch_id, counts)
 

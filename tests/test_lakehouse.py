@@ -153,6 +153,8 @@ def test_incremental_dates_restriction(spark, scratch):
     house.build_silver("run1", as_of="2024-01-01 00:00:00")
     assert house.store.read(Lakehouse.ACTUAL).count() == 144
     only = spark.createDataFrame([("2023-09-02",)], "market_date string").select(F.col("market_date").cast("date"))
+    files = [r.raw_file_name for r in house.bronze_for_dates(D.ACTUAL_DATASET, only).collect()]
+    assert len(files) == 1 and files[0].endswith("a2023-09-02.json")
     v = house.build_silver("run2", as_of="2024-01-01 00:00:00", dates=only)
     assert v.valid_actual.count() == 72
     assert house.store.read(Lakehouse.ACTUAL).count() == 144
