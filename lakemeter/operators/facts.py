@@ -94,3 +94,23 @@ def split_daily_stats(stats: DataFrame, as_of=None) -> tuple[DataFrame, DataFram
     peak = stats.select("market_date", "region", "peak_demand_mw", "peak_interval_utc", now)
     perf = stats.select("market_date", "region", "mae_mw", "mape_percent", "rmse_mw", "hour_count", now)
     return peak, perf
+
+
+def coverage(observations: DataFrame, mapping: DataFrame, *, location_col: str, zone_col: str,
+             by: Sequence[str] = ()) -> DataFrame:
+    """Share of each zone's mapped locations that report, per zone (and ``by`` columns).
+
+    ``mapping`` assigns locations to zones (one row per location).  Expected counts come
+    from the mapping; reporting counts are distinct locations seen in ``observations``,
+    first reduced per (location, by) so a chatty location is combined map-side.  Zones with
+    no report at all appear with coverage 0 only when ``by`` is empty.
+    """
+    expected = mapping.groupBy(zone_col).agg(F.count_distinct(location_col).alias("expected_locations"))
+    seen = observations.select(location_col, *by).where(F.col(location_col).isNotNull()).distinct()
+    reporting = (seen.join(mapping.select(location_col, zone_col), location_col, "inner")
+                 .groupBy(zone_col, *by).agg(F.count_distinct(location_col).alias("reporting_locations")))
+    if by:
+        out = reporting.join(expected, zone_col, "inner")
+    else:
+        out = expected.join(reporting, zone_col, "left").fillna(0, ["reporting_locations"])
+    return out.withColumn("coverage", F.col("reporting_locations") / F.col("expected_locations"))

@@ -363,6 +363,16 @@ def q_display_numbers(spark, sf):
     return o.select("o_orderkey", shown.alias("shown"), clean_number(shown).alias("parsed_value"))
 
 
+def q_coverage(spark, sf):
+    """Locations = nations mapped to zones = regions; observations = customers by segment."""
+    nation = table(spark, sf, "nation")
+    customer = table(spark, sf, "customer")
+    return facts.coverage(
+        customer.select(F.col("c_nationkey").alias("location"), "c_mktsegment"),
+        nation.select(F.col("n_nationkey").alias("location"), F.col("n_regionkey").alias("zone")),
+        location_col="location", zone_col="zone", by=["c_mktsegment"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_peak": q_daily_peak,
     "dedup_latest": q_dedup_latest,
@@ -403,4 +413,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "utc_normalise": q_utc_normalise,
     "price_distribution": q_price_distribution,
     "display_numbers": q_display_numbers,
+    "coverage": q_coverage,
 }

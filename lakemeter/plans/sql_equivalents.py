@@ -440,3 +440,16 @@ SELECT f.market_date, f.interval_start_utc, f.region, round(f.absolute_error_mw,
        round(th.error_threshold_mw, 6) AS error_threshold_mw
 FROM fact f JOIN th ON f.region = th.region
 WHERE f.absolute_error_mw > th.error_threshold_mw""")
+
+SQL["coverage"] = """
+WITH expected AS (SELECT n_regionkey AS zone, count(DISTINCT n_nationkey) AS expected_locations
+                  FROM nation GROUP BY n_regionkey),
+seen AS (SELECT DISTINCT c_nationkey AS location, c_mktsegment FROM customer WHERE c_nationkey IS NOT NULL),
+reporting AS (
+  SELECT n.n_regionkey AS zone, s.c_mktsegment, count(DISTINCT s.location) AS reporting_locations
+  FROM seen s JOIN nation n ON n.n_nationkey = s.location GROUP BY n.n_regionkey, s.c_mktsegment
+)
+SELECT r.zone, r.c_mktsegment, r.reporting_locations, e.expected_locations,
+       r.reporting_locations / e.expected_locations AS coverage
+FROM reporting r JOIN expected e ON e.zone = r.zone
+"""

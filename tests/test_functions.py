@@ -47,3 +47,12 @@ def test_utc_now_and_instant_round_trip(spark):
     t = dt.datetime(2024, 7, 1, 12, 30, 15, 123456)
     back = spark.createDataFrame([(t,)], "t timestamp_ntz").select(instant_to_ntz(ntz_to_instant("t")).alias("x")).first()
     assert back.x == t
+
+
+def test_layer_names():
+    import pytest
+
+    from lakemeter.domain import table_name
+    assert table_name("silver", "actual_load_hourly") == "silver.actual_load_hourly"
+    with pytest.raises(ValueError):
+        table_name("platinum", "x")

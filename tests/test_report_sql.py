@@ -1,0 +1,67 @@
+"""SQL reports agree with the DataFrame reports on the events-derived Gold tables."""
+
+import datetime as dt
+
+import pytest
+
+from lakemeter.operators import facts, quality
+from lakemeter.plans import registry as R
+from lakemeter.plans import reports
+from lakemeter.plans.report_sql import run_report
+
+SF = "/root/testdata/sf0.01"
+START, END = dt.date(2024, 1, 5), dt.date(2024, 1, 20)
+
+
+@pytest.fixture(scope="module")
+def gold(spark):
+    v = R._validation(spark, SF)
+    fact = R._fact(spark, SF, v)
+    peak, perf = R._performance(spark, SF, fact)
+    qual = quality.evaluate(v.valid_actual, v.valid_forecast, v.quarantine, "r1", "2024-02-01 00:00:00")
+    return {"fact": fact, "peak": peak, "performance": perf, "quality": qual, "actual": v.valid_actual}
+
+
+def _same(a, b, cols, tol=1e-9):
+    ra = sorted(tuple(r[c] for c in cols) for r in a.collect())
+    rb = sorted(tuple(r[c] for c in cols) for r in b.collect())
+    assert len(ra) == len(rb) and len(ra) > 0
+    for x, y in zip(ra, rb):
+        for u, w in zip(x, y):
+            assert (abs(u - w) <= tol) if isinstance(u, float) else u == w
+
+
+@pytest.mark.parametrize("name,fn,table", [
+    ("actual_vs_forecast", reports.actual_vs_forecast, "fact"),
+    ("error_trend", reports.error_trend, "fact"),
+    ("daily_peak", reports.daily_peak, "peak"),
+    ("scorecard", reports.scorecard, "performance"),
+    ("hour_profile", reports.hour_profile, "fact"),
+])
+def test_range_reports(spark, gold, name, fn, table):
+    sql = run_report(spark, name, {table: gold[table]}, start_date=START, end_date=END)
+    df = fn(gold[table], START.isoformat(), END.isoformat())
+    assert sql.columns == df.columns
+    _same(sql, df, df.columns)
+
+
+def test_status_and_freshness(spark, gold):
+    _same(run_report(spark, "quality_status", {"quality": gold["quality"]}),
+          reports.quality_status(gold["quality"]), ["dataset_name", "rule_name", "status"])
+    sql = run_report(spark, "freshness", {"actual": gold["actual"]}, as_of="2024-02-15 00:00:00")
+    _same(sql, reports.freshness(gold["actual"], as_of="2024-02-15 00:00:00"), ["latest_measurement_utc", "age_hours"])
+
+
+def test_price_and_weather_sql(spark, gold):
+    prices = gold["fact"].select("interval_start_utc", gold["fact"].actual_load_mw.alias("lmp_usd_per_mwh"))
+    sql = run_report(spark, "price_distribution", {"prices": prices}).collect()
+    df = {r.interval_hour: r for r in reports.price_distribution(prices).collect()}
+    assert len(sql) == len(df)
+    for r in sql:
+        mine = df[r.interval_hour]
+        assert abs(r.p05_p50_p95[0] - mine.p05) < 1e-9 and abs(r.p05_p50_p95[1] - mine.p50) < 1e-9
+        assert abs(r.p05_p50_p95[2] - mine.p95) < 1e-9 and r.min_value == mine.min_value
+    weather = gold["fact"].select("interval_start_utc", (gold["fact"].hour * 1.0).alias("temperature_2m_c"),
+                                  (gold["fact"].hour * 2.0).alias("relative_humidity_percent")).distinct()
+    assert run_report(spark, "weather_vs_demand", {"fact": gold["fact"], "weather": weather}).count() == \
+        reports.weather_vs_demand(gold["fact"], weather).count()
