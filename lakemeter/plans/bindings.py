@@ -37,12 +37,16 @@ def spread(df: DataFrame) -> DataFrame:
     fewer splits than the default parallelism is it repartitioned (round-robin, which
     sorts locally first so a retried task sees the same rows); large inputs pass unchanged.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # remote session: partition counts are not visible, leave as is
+        return df
+    return df.repartition(slots) if splits < slots else df
 
 
 def _lineage(events: DataFrame):
-    return [F.concat(F.lit("events-"), F.date_format("ts", "yyyyMMdd")).alias("batch_id"),
+    return [F.concat(F.lit("events-"), F.date_format(F.col("ts").cast("date"), "yyyyMMdd")).alias("batch_id"),
             F.lit("events").alias("raw_file_name"),
             F.col("ts").alias("ingestion_timestamp_utc"),
             F.col("event_id").alias("record_index")]

@@ -283,8 +283,13 @@ def q_manifest_reconcile(spark, sf):
     return reconcile(declared, landed).select("file_name", "declared_rows", "landed_rows", "status")
 
 
+def _iso_local(col: str = "ts"):
+    """ISO text of a ``timestamp_ntz`` without going through the session time zone."""
+    return F.regexp_replace(F.col(col).cast("string"), " ", "T")
+
+
 def _event_payload(with_second: bool = True):
-    start = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    start = _iso_local("ts")
     first = F.to_json(F.struct(F.struct(start.alias("start")).alias("timeInterval"),
                                F.col("event_type").alias("region"), F.col("value").alias("load")))
     return first, start
@@ -303,11 +308,11 @@ def q_parse_payloads(spark, sf):
 
 def q_parse_forecast_payloads(spark, sf):
     ev = table(spark, sf, "events")
-    start = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    start = _iso_local("ts")
     rec = F.to_json(F.struct(
         F.struct(start.alias("start")).alias("timeInterval"), F.col("event_type").alias("region"),
         F.concat(F.lit("z"), (F.col("user_id") % 10 + 1).cast("string")).alias("localResourceZone"),
-        F.col("value").alias("loadForecast"), F.date_format("ts", "yyyy-MM-dd").alias("init")))
+        F.col("value").alias("loadForecast"), F.col("ts").cast("date").cast("string").alias("init")))
     bronze = ev.select(F.col("event_id").cast("string").alias("raw_file_name"),
                        F.concat(F.lit('{"data":['), rec, F.lit("]}")).alias("raw_payload"))
     bronze = with_lineage(bronze, "events", D.FORECAST_DATASET, "batch-0", ingested_at=AS_OF)

@@ -42,14 +42,19 @@ def build_session(master: str | None = None, app_name: str = "lakemeter",
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder; a private one is made only for an unset local session."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get(_CKPT_KEY, None) or sc.getConf().get(_CKPT_KEY, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no context here: use the conf only
+        sc = None
+    current = (sc.getCheckpointDir() if sc else None) or spark.conf.get(_CKPT_KEY, None) \
+        or (sc.getConf().get(_CKPT_KEY, None) if sc else None)
     if not current:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise RuntimeError(f"{_CKPT_KEY} must name a shared folder on a cluster")
         current = tempfile.mkdtemp(prefix="lakemeter-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set(_CKPT_KEY, current)
-    if not sc.getCheckpointDir():
+    if sc and not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current
 
