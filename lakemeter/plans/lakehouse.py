@@ -229,7 +229,7 @@ class Lakehouse:
         spark = self.store.spark
         fact = materialize(facts.compare(self.store.read(self.ACTUAL), self.store.read(self.FORECAST),
                                          self.dom.tz, as_of))
-        stats = facts.daily_stats(fact)
+        stats = materialize(facts.daily_stats(fact))  # small; feeds two tables
         peak, perf = facts.split_daily_stats(stats, as_of)
         self.store.overwrite(self.FACT, fact)
         self.store.overwrite(self.DIM_DATE, dims.dim_date(fact))

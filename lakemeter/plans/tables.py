@@ -14,6 +14,7 @@ Insert-only writes are plain appends.  One writer per table at a time.
 from __future__ import annotations
 
 import json
+from urllib.parse import urlparse
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -146,16 +147,34 @@ class TableStore:
             finally:
                 out.close()
 
+    def _reads(self, table: str, df: DataFrame) -> bool:
+        """Does ``df`` read files of ``table``?  Only then must its lineage be cut before the
+        table is overwritten."""
+        if not self.exists(table):
+            return False
+        fs, p = self._fs(self.path(table))
+        root = urlparse(fs.makeQualified(p).toString())
+        prefix = root.path.rstrip("/") + "/"
+        for f in df.inputFiles():
+            u = urlparse(f)
+            if (u.scheme or "file") == (root.scheme or "file") and u.netloc == root.netloc \
+                    and u.path.startswith(prefix):
+                return True
+        return False
+
     def overwrite(self, table: str, df: DataFrame) -> None:
         """Replace the whole table (every partition) with ``df``."""
-        if self.exists(table):
+        if self._reads(table, df):
             df = materialize(df)
         self._write(table, df, "overwrite", overwrite="static")
 
     def _replace(self, table: str, content: DataFrame, affected: DataFrame | None) -> None:
         """Rewrite the table, or only the affected partitions of a partitioned table."""
         part = self.partitions.get(table)
-        content = materialize(content)
+        if self._reads(table, content) or (affected is not None and self._reads(table, affected)):
+            content = materialize(content)
+            if affected is not None:
+                affected = materialize(affected.select(part)) if part else affected
         if not part:
             self._write(table, content, "overwrite")
             return
