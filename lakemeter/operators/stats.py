@@ -1,9 +1,14 @@
-"""Exact interpolated percentiles that scale with repeated values.
+"""Exact interpolated percentiles that hold up when one group holds most of the rows.
+
+1. Count rows per (group, value): combines map-side, so repeated values cost nothing.
+2. Range-partition the distinct (group, value) pairs: a large group is cut into several
+   contiguous value slices, each handled by its own task; a running count inside each
+   slice gives local positions.
+3. Slice totals (one row per group and slice, so bounded by groups x slices) give each
+   slice its offset inside its group and the group size.
+4. Each requested position is read off with a conditional ``max`` per group, which is
+   combined map-side again, so no task ever holds a whole group.
 
-Values are first counted per (group, value), which combines map-side; the running count
-over the sorted distinct values then gives each value its position range, and the
-requested positions are read off in the same partitioning (no further shuffle).  The work
-per group is bounded by its distinct values, and the window spills to disk.
 Interpolation matches ``percentile``: position p * (n - 1) between neighbouring values.
 """
 
@@ -16,24 +21,41 @@ from pyspark.sql import functions as F
 
 
 def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                      probs: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
+                      probs: Sequence[float], names: Sequence[str] | None = None,
+                      slices: int | None = None) -> DataFrame:
     names = list(names or [f"p{int(round(p * 100)):02d}" for p in probs])
-    counts = (df.where(F.col(value_col).isNotNull())
-              .groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_c")))
-    running = Window.partitionBy(*group_cols).orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*group_cols)
-    ranked = (counts.withColumn("_hi", F.sum("_c").over(running))
-              .withColumn("_n", F.sum("_c").over(whole))
+    g = list(group_cols)
+    n_slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    v = F.col(value_col)
+
+    counts = df.where(v.isNotNull()).groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_c"))
+    ranged = (counts.repartitionByRange(n_slices, *[F.col(c).asc_nulls_first() for c in g], v.asc())
+              .withColumn("_slice", F.spark_partition_id()))
+    upto_here = Window.partitionBy(*g, "_slice").orderBy(value_col) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.withColumn("_hi_local", F.sum("_c").over(upto_here))
+
+    totals = ranged.groupBy(*g, "_slice").agg(F.sum("_c").alias("_t"))
+    before = Window.partitionBy(*g).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *[F.col(c).alias(f"_g{i}") for i, c in enumerate(g)], F.col("_slice").alias("_s"),
+        F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"),
+        F.sum("_t").over(Window.partitionBy(*g)).alias("_n"))
+    cond = [local[c].eqNullSafe(offsets[f"_g{i}"]) for i, c in enumerate(g)] + \
+        [local["_slice"] == offsets["_s"]]
+    placed = (local.join(offsets, cond, "inner")
+              .withColumn("_hi", F.col("_off") + F.col("_hi_local"))
               .withColumn("_lo", F.col("_hi") - F.col("_c")))
+
     aggs = []
     for p, name in zip(probs, names):
         pos = (F.col("_n") - 1) * F.lit(float(p))
-        lower, upper = F.floor(pos), F.ceil(pos)
-        at = lambda i: F.max(F.when((F.col("_lo") <= i) & (i < F.col("_hi")), F.col(value_col)))
-        aggs += [at(lower).alias(f"_{name}_lo"), at(upper).alias(f"_{name}_hi"),
-                 F.first(pos).alias(f"_{name}_pos")]
-    out = ranked.groupBy(*group_cols).agg(*aggs)
-    cols = [F.col(c) for c in group_cols]
+        def at(i):
+            return F.max(F.when((F.col("_lo") <= i) & (i < F.col("_hi")), v))
+        aggs += [at(F.floor(pos)).alias(f"_{name}_lo"), at(F.ceil(pos)).alias(f"_{name}_hi"),
+                 F.max(pos).alias(f"_{name}_pos")]
+    out = placed.groupBy(*g).agg(*aggs)
+    cols = [F.col(c) for c in g]
     for name in names:
         lo, hi, pos = F.col(f"_{name}_lo"), F.col(f"_{name}_hi"), F.col(f"_{name}_pos")
         fl, ce = F.floor(pos), F.ceil(pos)

@@ -54,3 +54,17 @@ def test_error_observations(spark):
     th = quality.error_thresholds(fact, quantile=0.99)
     flagged = quality.observations(fact, th).count()
     assert 5 <= flagged <= 15
+
+
+def test_exact_percentiles_on_a_hot_group_and_null_group(spark):
+    hot = spark.range(0, 30000).select(F.lit(1).alias("g"), ((F.col("id") * 7919) % 10007 / 3.0).alias("v"))
+    cold = spark.range(0, 300).select(F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 3 + 1).alias("g"),
+                                      (F.col("id") / 7.0).alias("v"))
+    df = hot.unionByName(cold)
+    probs = [0.05, 0.5, 0.95]
+    ours = {r.g: r for r in exact_percentiles(df, ["g"], "v", probs, slices=16).collect()}
+    ref = {r.g: r.p for r in df.groupBy("g").agg(F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("p")).collect()}
+    assert set(ours) == set(ref)
+    for gkey, expected in ref.items():
+        got = [ours[gkey][n] for n in ("p05", "p50", "p95")]
+        assert all(abs(x - y) < 1e-9 for x, y in zip(got, expected)), (gkey, got, expected)
