@@ -96,10 +96,17 @@ def weather_vs_demand(fact: DataFrame, weather: DataFrame, time_col: str = "inte
 
 def price_distribution(prices: DataFrame, time_col: str = "interval_start_utc",
                        value_col: str = "lmp_usd_per_mwh",
-                       probs: Sequence[float] = (0.05, 0.5, 0.95)) -> DataFrame:
-    """Hourly exact (interpolated) percentiles, minimum and maximum."""
+                       probs: Sequence[float] = (0.05, 0.5, 0.95),
+                       approx: bool = False, accuracy: int = 10000) -> DataFrame:
+    """Hourly percentiles (exact and interpolated, or a mergeable sketch), minimum and maximum."""
     hourly = prices.select(floor_hours(time_col, 1).alias("interval_hour"), F.col(value_col))
-    pct = exact_percentiles(hourly, ["interval_hour"], value_col, probs)
+    names = [f"p{int(round(p * 100)):02d}" for p in probs]
+    if approx:
+        sketch = F.percentile_approx(value_col, list(probs), accuracy)
+        pct = hourly.groupBy("interval_hour").agg(sketch.alias("_p")).select(
+            "interval_hour", *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
+    else:
+        pct = exact_percentiles(hourly, ["interval_hour"], value_col, probs, names)
     span = hourly.groupBy("interval_hour").agg(F.min(value_col).alias("min_value"),
                                                F.max(value_col).alias("max_value"))
     return span.join(pct, "interval_hour", "left")

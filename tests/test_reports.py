@@ -19,3 +19,20 @@ def test_weather_vs_demand_and_prices_and_freshness(spark):
     assert p.min_value == 0.0 and p.max_value == 110.0 and abs(p.p50 - 55.0) < 1e-9 and abs(p.p05 - 5.5) < 1e-9
     f = reports.freshness(fact, as_of="2024-01-01 08:59:00").first()
     assert f.latest_measurement_utc == t0 + dt.timedelta(hours=1) and f.age_hours == 2
+
+
+def test_price_distribution_sketch_is_close(spark):
+    t0 = dt.datetime(2024, 1, 1, 5)
+    prices = spark.range(0, 5000).select((F.lit(t0) + F.make_interval(secs=F.col("id") % 3600)).alias("interval_start_utc"),
+                                         (F.col("id") % 1000 * 1.0).alias("lmp_usd_per_mwh"))
+    exact = reports.price_distribution(prices).first()
+    approx = reports.price_distribution(prices, approx=True).first()
+    assert abs(exact.p50 - approx.p50) <= 2.0 and exact.max_value == approx.max_value
+
+
+def test_ensure_layers(spark, scratch):
+    import os
+
+    from lakemeter.plans.tables import TableStore
+    TableStore(spark, scratch).ensure_layers()
+    assert sorted(os.listdir(scratch)) == ["bronze", "gold", "ops", "silver"]
