@@ -94,8 +94,10 @@ def validate_pair(actual: DataFrame, forecast: DataFrame, dom: MarketDomain = Ma
     if persist:  # reused by the profile and the routing join: compute once
         a_lab, f_lab = materialize_all(a_lab, f_lab)
     passing = F.col(REASON).isNull()
+    # rule-passing rows: entities are in the domain (or NULL), intervals within one day
     profile = C.paired_completeness(a_lab.where(passing), f_lab.where(passing),
-                                    expected_actual=len(dom.regions), expected_forecast=len(dom.zones))
+                                    expected_actual=len(dom.regions), expected_forecast=len(dom.zones),
+                                    bounded=True)
     dates = C.date_set(C.complete_dates(profile).withColumn("_complete", F.lit(True)))
 
     def route(labelled: DataFrame) -> DataFrame:

@@ -16,6 +16,8 @@ def test_paired_completeness(spark):
     A = spark.createDataFrame(a, "market_date date, interval_start_utc timestamp_ntz, region string")
     F_ = spark.createDataFrame(f, "market_date date, interval_start_utc timestamp_ntz, local_resource_zone string")
     prof = {r.market_date.isoformat(): r for r in C.paired_completeness(A, F_).collect()}
+    bounded = {r.market_date.isoformat(): r for r in C.paired_completeness(A, F_, bounded=True).collect()}
+    assert bounded == prof
     assert prof["2024-01-01"].is_complete
     assert prof["2024-01-01"].actual_rows == 72 and prof["2024-01-01"].forecast_rows == 240
     assert not prof["2024-01-02"].is_complete          # one actual record missing
