@@ -115,15 +115,22 @@ def price_distribution(prices: DataFrame, time_col: str = "interval_start_utc",
 def kpis(fact: DataFrame, peak: DataFrame, performance: DataFrame, quarantine: DataFrame,
          start=None, end=None, regions: Sequence[str] | None = None) -> DataFrame:
     """KPI row: latest measurement, peak demand, mean regional MAE and quarantined rows,
-    for one date range and region selection.  Four one-row aggregates, joined on a constant."""
-    f = _regions(_in_range(fact, start, end), regions).agg(
-        F.max("interval_start_utc").alias("latest_measurement_utc"))
-    p = _regions(_in_range(peak, start, end), regions).agg(F.max("peak_demand_mw").alias("peak_demand_mw"))
-    m = _regions(_in_range(performance, start, end), regions).agg(F.avg("mae_mw").alias("mean_mae_mw"))
-    q = _regions(_in_range(quarantine, start, end), regions).agg(
-        F.count(F.lit(1)).alias("quarantined_rows"))
-    one = [f, p, m, q]
-    out = one[0].withColumn("_k", F.lit(1))
-    for other in one[1:]:
-        out = out.join(F.broadcast(other.withColumn("_k", F.lit(1))), "_k")
-    return out.drop("_k")
+    for one date range and region selection.
+
+    Each measure is a one-row aggregate of its own table; the four partial rows are stacked
+    and folded by one more aggregate, so no join (let alone a cross join) is involved.
+    """
+    blank = {"latest_measurement_utc": F.lit(None).cast("timestamp_ntz"),
+             "peak_demand_mw": F.lit(None).cast("double"),
+             "mean_mae_mw": F.lit(None).cast("double"),
+             "quarantined_rows": F.lit(None).cast("bigint")}
+
+    def part(df: DataFrame, name: str, measure) -> DataFrame:
+        one = _regions(_in_range(df, start, end), regions).agg(measure.alias(name))
+        return one.select(*[F.col(name) if k == name else v.alias(k) for k, v in blank.items()])
+
+    stacked = (part(fact, "latest_measurement_utc", F.max("interval_start_utc"))
+               .unionByName(part(peak, "peak_demand_mw", F.max("peak_demand_mw")))
+               .unionByName(part(performance, "mean_mae_mw", F.avg("mae_mw")))
+               .unionByName(part(quarantine, "quarantined_rows", F.count(F.lit(1)))))
+    return stacked.agg(*[F.max(k).alias(k) for k in blank])
