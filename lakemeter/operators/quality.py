@@ -113,3 +113,24 @@ def evaluate_runs(valid_actual: DataFrame, valid_forecast: DataFrame, quarantine
         (~is_q).alias("is_blocking"),
         F.col("_run").alias(run_col),
     ).withColumn("evaluated_at_utc", evaluated_at).drop(run_col)
+
+
+def unmatched_rows(valid_actual: DataFrame, valid_forecast: DataFrame, run_id, evaluated_at=None,
+                   keys=("market_date", "interval_start_utc", "region")) -> DataFrame:
+    """Non-blocking outcomes: actual rows with no forecast, and forecast roll-up rows with no
+    actual (both vanish in the inner fact join).  One full outer join on the fact keys,
+    then one aggregate."""
+    a = valid_actual.select(*keys).distinct().withColumn("_a", F.lit(True))
+    f = valid_forecast.select(*keys).distinct().withColumn("_f", F.lit(True))
+    j = a.join(f, list(keys), "full")
+    counts = j.agg(F.count(F.when(F.col("_f").isNull(), 1)).alias("actual_without_forecast"),
+                   F.count(F.when(F.col("_a").isNull(), 1)).alias("forecast_without_actual"))
+    rid = F.lit(run_id) if isinstance(run_id, str) else run_id
+    ts = evaluated_at if isinstance(evaluated_at, Column) else utc_now(evaluated_at)
+    rows = F.array(F.struct(F.lit("actual_load_hourly").alias("d"), F.col("actual_without_forecast").alias("n")),
+                   F.struct(F.lit("load_forecast_hourly").alias("d"), F.col("forecast_without_actual").alias("n")))
+    return counts.select(F.explode(rows).alias("_o")).select(
+        rid.cast("string").alias("run_id"), F.col("_o.d").alias("dataset_name"),
+        F.lit("unmatched_fact_rows").alias("rule_name"), F.col("_o.n").cast("bigint").alias("failed_row_count"),
+        F.when(F.col("_o.n") == 0, "PASS").otherwise("WARN").alias("status"),
+        F.lit(False).alias("is_blocking"), ts.alias("evaluated_at_utc"))

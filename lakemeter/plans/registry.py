@@ -213,6 +213,11 @@ def q_quality_outcomes(spark, sf):
     return _quality_runs(spark, sf)
 
 
+def q_unmatched_fact_rows(spark, sf):
+    v = _validation(spark, sf)
+    return quality.unmatched_rows(v.valid_actual, v.valid_forecast, "r1", AS_OF)
+
+
 def q_quality_status(spark, sf):
     return reports.quality_status(_quality_runs(spark, sf))
 
@@ -403,6 +408,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "freshness": q_freshness,
     "quality_outcomes": q_quality_outcomes,
     "quality_status": q_quality_status,
+    "unmatched_fact_rows": q_unmatched_fact_rows,
     "dim_date": q_dim_date,
     "dim_time": q_dim_time,
     "dim_entity": q_dim_entity,

@@ -453,3 +453,21 @@ SELECT r.zone, r.c_mktsegment, r.reporting_locations, e.expected_locations,
        r.reporting_locations / e.expected_locations AS coverage
 FROM reporting r JOIN expected e ON e.zone = r.zone
 """
+
+SQL["unmatched_fact_rows"] = _with("""
+, a AS (SELECT DISTINCT market_date, interval_start_utc, region FROM valid_act),
+f AS (SELECT DISTINCT market_date, interval_start_utc, region FROM valid_fc),
+c AS (
+  SELECT count(*) FILTER (WHERE f.region IS NULL AND f.market_date IS NULL) AS actual_without_forecast,
+         count(*) FILTER (WHERE a.region IS NULL AND a.market_date IS NULL) AS forecast_without_actual
+  FROM a FULL OUTER JOIN f
+    ON a.market_date = f.market_date AND a.interval_start_utc = f.interval_start_utc AND a.region = f.region
+)
+SELECT 'r1' AS run_id, 'actual_load_hourly' AS dataset_name, 'unmatched_fact_rows' AS rule_name,
+       actual_without_forecast AS failed_row_count,
+       CASE WHEN actual_without_forecast = 0 THEN 'PASS' ELSE 'WARN' END AS status, false AS is_blocking,
+       TIMESTAMP '2024-02-15 00:00:00' AS evaluated_at_utc FROM c
+UNION ALL
+SELECT 'r1', 'load_forecast_hourly', 'unmatched_fact_rows', forecast_without_actual,
+       CASE WHEN forecast_without_actual = 0 THEN 'PASS' ELSE 'WARN' END, false,
+       TIMESTAMP '2024-02-15 00:00:00' FROM c""")
