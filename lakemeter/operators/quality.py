@@ -134,3 +134,20 @@ def unmatched_rows(valid_actual: DataFrame, valid_forecast: DataFrame, run_id, e
         F.lit("unmatched_fact_rows").alias("rule_name"), F.col("_o.n").cast("bigint").alias("failed_row_count"),
         F.when(F.col("_o.n") == 0, "PASS").otherwise("WARN").alias("status"),
         F.lit(False).alias("is_blocking"), ts.alias("evaluated_at_utc"))
+
+
+def count_rule(df: DataFrame, run_id, dataset_name: str, rule_name: str, *, blocking: bool,
+               fail_when_empty: bool, evaluated_at=None) -> DataFrame:
+    """One outcome row from a row count: ``fail_when_empty`` rules fail on 0 rows (non-empty
+    output), the others fail (blocking) or warn (non-blocking) on any row."""
+    n = F.col("n")
+    rid = F.lit(run_id) if isinstance(run_id, str) else run_id
+    ts = evaluated_at if isinstance(evaluated_at, Column) else utc_now(evaluated_at)
+    bad = F.lit("FAIL") if blocking else F.lit("WARN")
+    failed = F.when(n > 0, 0).otherwise(1) if fail_when_empty else n
+    status = (F.when(n > 0, "PASS").otherwise(bad) if fail_when_empty
+              else F.when(n == 0, "PASS").otherwise(bad))
+    return df.agg(F.count(F.lit(1)).alias("n")).select(
+        rid.cast("string").alias("run_id"), F.lit(dataset_name).alias("dataset_name"),
+        F.lit(rule_name).alias("rule_name"), failed.cast("bigint").alias("failed_row_count"),
+        status.alias("status"), F.lit(blocking).alias("is_blocking"), ts.alias("evaluated_at_utc"))

@@ -40,6 +40,12 @@ class RuleOptions:
     non_finite: bool = False         # reject NaN / infinite measurements
 
 
+@dataclass(frozen=True)
+class QualityOptions:
+    batch_nonempty: bool = False      # also require valid rows from this run's own batch
+    quarantine_blocking: bool = False  # treat any quarantined row as a blocking failure
+
+
 @dataclass
 class Validation:
     labelled_actual: DataFrame
@@ -190,7 +196,8 @@ class Lakehouse:
 
     # -- Silver -------------------------------------------------------------------------
     def build_silver(self, run_id: str, as_of=None, options: RuleOptions = RuleOptions(),
-                     dates: DataFrame | None = None) -> Validation:
+                     dates: DataFrame | None = None, checks: QualityOptions = QualityOptions(),
+                     batch_id: str | None = None) -> Validation:
         """Validate Bronze (all of it, or every row of the given market dates) and publish."""
         if dates is None:
             a_raw, f_raw = self.store.read(self.ACTUAL_RAW), self.store.read(self.FORECAST_RAW)
@@ -208,6 +215,15 @@ class Lakehouse:
         v = Validation(v.labelled_actual, v.labelled_forecast, valid_a, valid_f, quarantine, v.completeness)
         self.publish_silver(v)
         results = quality.evaluate(valid_a, valid_f, quarantine, run_id, as_of)
+        if checks.quarantine_blocking:
+            results = results.where(F.col("rule_name") != "quarantined_rows").unionByName(
+                quality.count_rule(quarantine, run_id, "historical_load", "quarantined_rows",
+                                   blocking=True, fail_when_empty=False, evaluated_at=as_of))
+        if checks.batch_nonempty and batch_id is not None:
+            for name, valid in (("actual_load_hourly", valid_a), ("load_forecast_hourly", valid_f)):
+                results = results.unionByName(quality.count_rule(
+                    valid.where(F.col("batch_id") == batch_id), run_id, name, "nonempty_batch_output",
+                    blocking=True, fail_when_empty=True, evaluated_at=as_of))
         self.store.insert_only(self.QUALITY, results, list(D.QUALITY_KEYS))
         return v
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lakemeter import domain as D
 from lakemeter.operators.quality import BlockingFailure
 from lakemeter.plans import reports
-from lakemeter.plans.lakehouse import Lakehouse, MarketDomain, RuleOptions
+from lakemeter.plans.lakehouse import Lakehouse, MarketDomain, QualityOptions, RuleOptions
 from tests import payloads as P
 
 DAY = "2023-09-01T00:00:00"
@@ -158,3 +158,26 @@ def test_incremental_dates_restriction(spark, scratch):
     v = house.build_silver("run2", as_of="2024-01-01 00:00:00", dates=only)
     assert v.valid_actual.count() == 72
     assert house.store.read(Lakehouse.ACTUAL).count() == 144
+
+
+def test_optional_blocking_checks(spark, scratch):
+    house = _house(spark, scratch)
+    _land(scratch, "a", "a.json", P.actual_records(DAY))
+    _land(scratch, "f", "f.json", P.forecast_records(DAY))
+    house.ingest(os.path.join(scratch, "a"), D.ACTUAL_DATASET, "b1")
+    house.ingest(os.path.join(scratch, "f"), D.FORECAST_DATASET, "b1")
+    house.build_silver("run1", as_of="2024-01-01 00:00:00")
+    # a later batch with only a bad record: old dates stay valid, the default gate passes
+    bad = P.actual_records("2023-09-02T00:00:00", hours=[0], regions=["Central"], load=lambda h, r: -1.0)
+    _land(scratch, "a2", "a.json", bad)
+    house.ingest(os.path.join(scratch, "a2"), D.ACTUAL_DATASET, "b2")
+    house.build_silver("run2", as_of="2024-01-02 00:00:00")
+    assert house.gate() == 3
+    house.build_silver("run3", as_of="2024-01-03 00:00:00", batch_id="b2",
+                       checks=QualityOptions(batch_nonempty=True, quarantine_blocking=True))
+    latest = {(r.dataset_name, r.rule_name): r.status
+              for r in reports.quality_status(house.store.read(Lakehouse.QUALITY)).collect()}
+    assert latest[("actual_load_hourly", "nonempty_batch_output")] == "FAIL"
+    assert latest[("historical_load", "quarantined_rows")] == "FAIL"
+    with pytest.raises(BlockingFailure):
+        house.gate()
