@@ -107,3 +107,28 @@ def ordinary_days(df: DataFrame, *, date_col: str, interval_col: str, entity_col
         & (F.col(f"{prefix}entities") == n)
         & (F.col(f"{prefix}known_entities") == n),
     )
+
+
+def publication_completeness(actual: DataFrame, forecast: DataFrame, *, date_col: str = "market_date",
+                             publication_col: str = "forecast_init_date",
+                             interval_col: str = "interval_start_utc", actual_entity: str = "region",
+                             forecast_entity: str = "local_resource_zone", expected_actual: int = 3,
+                             expected_forecast: int = 10) -> DataFrame:
+    """Per (date, forecast publication): both profiles and ``is_complete``.
+
+    The completeness test of ``paired_completeness``, but the forecast side is profiled per
+    publication, so a second (partial or complete) publication no longer spoils a date.
+    Inputs are rule-passing rows, so the per-group sets are bounded (see ``day_profile``).
+    """
+    a = day_profile(actual, date_col, interval_col, actual_entity,
+                    ("actual_rows", "actual_intervals", "region_count"), bounded=True)
+    f = forecast.groupBy(date_col, publication_col).agg(
+        F.count(F.lit(1)).alias("forecast_rows"),
+        F.size(F.collect_set(interval_col)).cast("bigint").alias("forecast_intervals"),
+        F.size(F.collect_set(forecast_entity)).cast("bigint").alias("zone_count"))
+    ok = ((F.col("region_count") == expected_actual)
+          & (F.col("zone_count") == expected_forecast)
+          & (F.col("actual_rows") == F.col("actual_intervals") * expected_actual)
+          & (F.col("forecast_rows") == F.col("forecast_intervals") * expected_forecast)
+          & (F.col("actual_intervals") == F.col("forecast_intervals")))
+    return a.join(f, date_col, "full").withColumn("is_complete", F.coalesce(ok, F.lit(False)))

@@ -38,6 +38,7 @@ class RuleOptions:
     rank_before_rules: bool = True   # a newer invalid row still outranks an older valid one
     strict_domain: bool = False      # flag NULL region/zone as unexpected
     non_finite: bool = False         # reject NaN / infinite measurements
+    per_publication: bool = False    # judge completeness per forecast publication
 
 
 @dataclass(frozen=True)
@@ -101,18 +102,29 @@ def validate_pair(actual: DataFrame, forecast: DataFrame, dom: MarketDomain = Ma
         a_lab, f_lab = materialize_all(a_lab, f_lab)
     passing = F.col(REASON).isNull()
     # rule-passing rows: entities are in the domain (or NULL), intervals within one day
-    profile = C.paired_completeness(a_lab.where(passing), f_lab.where(passing),
-                                    expected_actual=len(dom.regions), expected_forecast=len(dom.zones),
-                                    bounded=True)
-    dates = C.date_set(C.complete_dates(profile).withColumn("_complete", F.lit(True)))
-
-    def route(labelled: DataFrame) -> DataFrame:
+    if options.per_publication:
+        profile = C.publication_completeness(a_lab.where(passing), f_lab.where(passing),
+                                             expected_actual=len(dom.regions),
+                                             expected_forecast=len(dom.zones))
+        pubs = profile.where("is_complete").select("market_date", "forecast_init_date")
+        # one row per date and publication: bounded by the calendar times publications a day
+        f_keys = C.date_set(pubs.withColumn("_complete", F.lit(True)))
+        dates = C.date_set(pubs.select("market_date").distinct().withColumn("_complete", F.lit(True)))
+    else:
+        profile = C.paired_completeness(a_lab.where(passing), f_lab.where(passing),
+                                        expected_actual=len(dom.regions), expected_forecast=len(dom.zones),
+                                        bounded=True)
+        dates = C.date_set(C.complete_dates(profile).withColumn("_complete", F.lit(True)))
+        f_keys = dates
+
+    def route(labelled: DataFrame, keys: DataFrame) -> DataFrame:
         reason = F.when(F.col(REASON).isNull() & F.col("_complete").isNull(),
                         F.lit(D.INCOMPLETE_MARKET_DATE)).otherwise(F.col(REASON))
-        return (labelled.join(dates, "market_date", "left")
+        on = [c for c in keys.columns if c != "_complete"]
+        return (labelled.join(keys, on, "left")
                 .withColumn(REASON, reason).drop("_complete", "record_index"))
 
-    a_all, f_all = route(a_lab), route(f_lab)
+    a_all, f_all = route(a_lab, dates), route(f_lab, f_keys)
     rejected = F.col(REASON).isNotNull()
     quarantine = to_quarantine(a_all.where(rejected), D.ACTUAL_DATASET, "actual_load_mw",
                                as_of=as_of).unionByName(

@@ -117,6 +117,20 @@ def test_bad_values_and_domains(spark, scratch):
     assert _reasons(strict)[("actual_load", D.UNEXPECTED_REGION)] == 2
 
 
+def test_per_publication_completeness(spark, scratch):
+    house = _house(spark, scratch)
+    _land(scratch, "a", "a.json", P.actual_records(DAY))
+    _land(scratch, "f", "f1.json", P.forecast_records(DAY, init="2023-08-31"))
+    _land(scratch, "f", "f2.json", P.forecast_records(DAY, init="2023-08-30", hours=range(12)))
+    house.ingest(os.path.join(scratch, "a"), D.ACTUAL_DATASET, "b1")
+    house.ingest(os.path.join(scratch, "f"), D.FORECAST_DATASET, "b1")
+    v = house.build_silver("run1", as_of="2024-01-01 00:00:00", options=RuleOptions(per_publication=True))
+    assert v.valid_actual.count() == 72
+    assert {str(r.forecast_init_date) for r in v.valid_forecast.collect()} == {"2023-08-31"}
+    assert v.valid_forecast.count() == 240
+    assert _reasons(v) == {("load_forecast", D.INCOMPLETE_MARKET_DATE): 120}
+
+
 def test_two_forecast_publications_make_date_incomplete(spark, scratch):
     house = _house(spark, scratch)
     _land(scratch, "a", "a.json", P.actual_records(DAY))
