@@ -195,3 +195,33 @@ def test_optional_blocking_checks(spark, scratch):
     assert latest[("historical_load", "quarantined_rows")] == "FAIL"
     with pytest.raises(BlockingFailure):
         house.gate()
+
+
+def test_incremental_gold(spark, scratch):
+    house = _house(spark, scratch)
+    d1, d2 = "2023-09-01T00:00:00", "2023-09-02T00:00:00"
+    _land(scratch, "a1", "a1.json", P.actual_records(d1))
+    _land(scratch, "f1", "f1.json", P.forecast_records(d1))
+    house.ingest(os.path.join(scratch, "a1"), D.ACTUAL_DATASET, "b1")
+    house.ingest(os.path.join(scratch, "f1"), D.FORECAST_DATASET, "b1")
+    house.build_silver("run1", as_of="2024-01-01 00:00:00")
+    house.build_gold(as_of="2024-01-01 00:00:00")
+    _land(scratch, "a2", "a2.json", P.actual_records(d2))
+    _land(scratch, "f2", "f2.json", P.forecast_records(d2))
+    house.ingest(os.path.join(scratch, "a2"), D.ACTUAL_DATASET, "b2")
+    house.ingest(os.path.join(scratch, "f2"), D.FORECAST_DATASET, "b2")
+    day2 = house.batch_dates(D.ACTUAL_DATASET, "b2")
+    house.build_silver("run2", as_of="2024-01-02 00:00:00", dates=day2)
+    house.build_gold(as_of="2024-01-02 00:00:00", dates=day2)
+    assert house.store.read(Lakehouse.FACT).count() == 144
+    assert house.store.read(Lakehouse.PEAK).count() == 6 and house.store.read(Lakehouse.DIM_DATE).count() == 2
+    # a correction batch repeats one day-2 record with a negative load: day 2 turns incomplete
+    bad = P.actual_records(d2, hours=[5], regions=["North"], load=lambda h, r: -1.0)
+    _land(scratch, "a3", "a3.json", bad)
+    house.ingest(os.path.join(scratch, "a3"), D.ACTUAL_DATASET, "b3")
+    day2 = house.batch_dates(D.ACTUAL_DATASET, "b3")
+    house.build_silver("run3", as_of="2024-01-03 00:00:00", dates=day2)
+    house.build_gold(as_of="2024-01-03 00:00:00", dates=day2)
+    fact = house.store.read(Lakehouse.FACT)
+    assert fact.count() == 72 and {str(r.market_date) for r in fact.select("market_date").distinct().collect()} == {"2023-09-01"}
+    assert house.store.read(Lakehouse.PERFORMANCE).count() == 3
