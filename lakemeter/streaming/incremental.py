@@ -23,6 +23,7 @@ from pyspark.sql.types import TimestampNTZType
 
 from lakemeter import domain as D
 from lakemeter.functions.timeutil import instant_to_ntz, ntz_to_instant
+from lakemeter.operators.quality import BlockingFailure
 from lakemeter.plans.lakehouse import Lakehouse
 from lakemeter.sources.payloads import with_lineage
 
@@ -41,6 +42,7 @@ def landing_stream(spark: SparkSession, path: str, glob: str | None = None,
 
 def start_landing(house: Lakehouse, path: str, dataset: str, checkpoint: str,
                   source_name: str = "market", rebuild_silver: bool = False,
+                  rebuild_gold: bool = False,
                   batch_prefix: str = "stream-", available_now: bool = True,
                   on_batch: Callable[[int, dict], None] | None = None,
                   glob: str | None = None) -> StreamingQuery:
@@ -52,7 +54,13 @@ def start_landing(house: Lakehouse, path: str, dataset: str, checkpoint: str,
         counts = house.ingest_frame(bronze, dataset)
         if rebuild_silver and counts["inserted"] and house.store.exists(house.ACTUAL_RAW) \
                 and house.store.exists(house.FORECAST_RAW):
-            house.build_silver(run_id=batch_id, dates=house.batch_dates(dataset, batch_id))
+            touched = house.batch_dates(dataset, batch_id)
+            house.build_silver(run_id=batch_id, dates=touched)
+            if rebuild_gold:
+                try:
+                    house.build_gold(dates=touched)
+                except BlockingFailure:
+                    pass  # Gold stays as it was; the failing outcome is in the quality table
         if on_batch:
             on_batch(epoch_id, counts)
 

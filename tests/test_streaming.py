@@ -19,11 +19,12 @@ def test_landing_stream_feeds_bronze_and_silver(spark, scratch):
     P.write(land, "a2.json", P.actual_records(DAY, hours=range(12, 24)))
     seen = []
     q = start_landing(house, land, D.ACTUAL_DATASET, os.path.join(scratch, "ckpt"), rebuild_silver=True,
-                      on_batch=lambda e, c: seen.append(c))
+                      rebuild_gold=True, on_batch=lambda e, c: seen.append(c))
     q.awaitTermination(120)
     assert sum(c["inserted"] for c in seen) == 2
     assert house.store.read(Lakehouse.ACTUAL_RAW).count() == 2
     assert house.store.read(Lakehouse.ACTUAL).count() == 72
+    assert house.store.read(Lakehouse.FACT).count() == 72
     # restart on the same checkpoint: nothing new is processed
     seen.clear()
     q2 = start_landing(house, land, D.ACTUAL_DATASET, os.path.join(scratch, "ckpt"),
