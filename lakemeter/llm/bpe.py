@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: matches kept with their ids in each worker; the memory is emptied when full
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 200_000
 CACHE_BYTES = 64
 #: matches up to this size are merged many at a time, longer ones alone
 SHARED_BYTES = 64
@@ -31,6 +31,7 @@ ROWS = 1_000
 _NONE = np.int64(1 << 62)
 
 _loaded: dict[tuple[str, str], "Vocabulary"] = {}
+_decoders: dict[str, "Decoder"] = {}
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -46,7 +47,6 @@ class Vocabulary:
 
         self.ranks = ranks
         self.longest = max(map(len, ranks), default=0)
-        self.token = {rank: token for token, rank in ranks.items()}
         self.id_bytes = {token: rank.to_bytes(4, "little") for token, rank in ranks.items()}
         self.pattern = regex.compile(pattern)
         # A single space between other characters always begins a match, so texts are cut there
@@ -107,8 +107,8 @@ class Vocabulary:
                 for x in group:
                     self.pieces[x] = b"".join([self.id_bytes[t] for t in merge(x, self.ranks, self.longest)])
             else:
-                for at in range(0, len(group), 20_000):
-                    some = group[at:at + 20_000]
+                for at in range(0, len(group), 8_000):
+                    some = group[at:at + 8_000]
                     self.pieces.update(zip(some, self.merge_many(some, size)))
 
     def _pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -163,6 +163,19 @@ class Vocabulary:
         ends = np.cumsum(live.sum(axis=1)) * 4
         return [ids[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
+
+class Decoder:
+    """Ids back to bytes; it holds the tokens alone."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.token = {rank: token for token, rank in ranks.items()}
+
+    @classmethod
+    def load(cls, path: str) -> "Decoder":
+        if path not in _decoders:
+            _decoders[path] = cls(load_ranks(path))
+        return _decoders[path]
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
@@ -262,15 +275,17 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {kind}, token_ids binary")
 
 
-def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id") -> DataFrame:
+def decode(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
     """``encode``'s rows with ``decoded``, the bytes that the ids stand for (null ids: empty)."""
     kind = encoded.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary.load(path, pattern)
+        decoder = Decoder.load(path)
         for batch in batches:
-            texts = [vocabulary.decode(x.as_py() or b"") for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], names=[id_col, "token_ids", "decoded"])
+            for at in range(0, batch.num_rows, ROWS):
+                some = batch.slice(at, ROWS)
+                texts = [decoder.decode(x.as_py() or b"") for x in some.column(1)]
+                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(texts, pa.binary())], names=[id_col, "token_ids", "decoded"])
 
     return encoded.select(F.col(id_col), F.col("token_ids")).mapInArrow(run, f"`{id_col}` {kind}, token_ids binary, decoded binary")
 

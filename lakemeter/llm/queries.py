@@ -9,8 +9,9 @@ from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakemeter.llm import bpe
+from lakemeter.llm import ann, bpe, exact_topk, jaccard, mixing, suffix
 from lakemeter.llm.texts import table
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -30,11 +31,32 @@ def _importable(query: Callable) -> Callable:
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decode(encoded, RANKS, public_tokenizers.PATTERN))
+    return bpe.digests(bpe.decode(encoded, RANKS))
+
+
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix.report(suffix.remove_repeats(docs))
+
+
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(mixing.plan_mix(table(spark, sf_dir, "documents")))
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: _importable(q) for q in (
-    op1_bpe,
+    op1_bpe, op2_exact_topk, op3_suffix_dedup, op5_ann, op7_mixing, op9_jaccard_join,
 )}
 
 SQL: dict[str, str] = {}

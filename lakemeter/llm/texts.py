@@ -161,7 +161,7 @@ def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
         if rest:
             size = len(power) - width
             power = power[:size] * scale + power[width:width + size]
-            scale = scale * scale
+            scale = np.uint64(int(scale) ** 2 % (1 << 64))
             width *= 2
     return mix(out)
 
