@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemeter.llm import ann, bpe, exact_topk, jaccard, mixing, suffix
+from lakemeter.llm import ann, bpe, debruijn, exact_topk, jaccard, mixing, suffix
 from lakemeter.llm.texts import table
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -43,6 +43,11 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.report(suffix.remove_repeats(docs))
 
 
+def op4_debruijn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return debruijn.report(debruijn.remove_repeats(docs))
+
+
 def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
@@ -56,7 +61,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: _importable(q) for q in (
-    op1_bpe, op2_exact_topk, op3_suffix_dedup, op5_ann, op7_mixing, op9_jaccard_join,
+    op1_bpe, op2_exact_topk, op3_suffix_dedup, op4_debruijn_dedup, op5_ann, op7_mixing, op9_jaccard_join,
 )}
 
 SQL: dict[str, str] = {}
