@@ -96,6 +96,14 @@ class Vocabulary:
                     del cache[key]
         return out
 
+    def pieces_of(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each byte string as one match, not remembered."""
+        own, self.pieces = self.pieces, {}
+        self._learn(set(pieces))
+        found = [self.pieces[x] for x in pieces]
+        self.pieces = own
+        return found
+
     def _learn(self, pieces: set[bytes]) -> None:
         self.pieces.update((x, self.id_bytes[x]) for x in pieces if x in self.id_bytes)
         new = [x for x in pieces if x not in self.id_bytes]

@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemeter.llm import ann, bpe, debruijn, exact_topk, jaccard, mixing, suffix
-from lakemeter.llm.texts import table
+from lakemeter.llm import ann, bpe, debruijn, exact_topk, jaccard, licenses, lm, mixing, suffix, toxicity
+from lakemeter.llm.texts import crc_mod, table
 
 ROOT = str(Path(__file__).resolve().parents[2])
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -52,16 +52,35 @@ def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), crc_mod("doc_id", 5) != 0)
+    scored = toxicity.score(docs, model, score_col="score")
+    return scored.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(mixing.plan_mix(table(spark, sf_dir, "documents")))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = lm.score(docs, crc_mod("doc_id", 7) == 2, RANKS)
+    return out.select("doc_id", (crc_mod("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: _importable(q) for q in (
-    op1_bpe, op2_exact_topk, op3_suffix_dedup, op4_debruijn_dedup, op5_ann, op7_mixing, op9_jaccard_join,
+    op1_bpe, op2_exact_topk, op3_suffix_dedup, op4_debruijn_dedup, op5_ann,
+    op6_toxicity, op7_mixing, op8_license_scan, op9_jaccard_join, op10_lm_scoring,
 )}
 
 SQL: dict[str, str] = {}

@@ -95,6 +95,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+#: all ASCII bytes but letters and digits
+NOT_ALNUM = np.array([x < 128 and not chr(x).isalnum() for x in range(256)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -109,10 +111,11 @@ class Words:
     bounds: np.ndarray
 
 
-def word_ranges(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_ranges(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Byte ranges of the runs of bytes other than ``between``, inside documents."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    inside = ~SPACE[data]
+    inside = ~between[data]
     starts = inside.copy()
     starts[1:] &= ~inside[:-1]
     ends = inside.copy()
@@ -133,9 +136,9 @@ def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mix(h + (end - start).astype(np.uint64))
 
 
-def words(block_data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
+def words(block_data: np.ndarray, offsets: np.ndarray, lower: bool = False, between: np.ndarray = SPACE) -> Words:
     data = LOWER[block_data] if lower else block_data
-    start, end = word_ranges(data, offsets)
+    start, end = word_ranges(data, offsets, between)
     doc = np.searchsorted(offsets, start, "right") - 1
     bounds = np.searchsorted(start, offsets)
     return Words(start, end, doc, range_hashes(data, start, end), bounds)
@@ -231,3 +234,32 @@ def crc_mod(col: str, n: int) -> Column:
 
 def packed(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values).tobytes()
+
+
+# -- sums of fixed-size tables over all tasks ---------------------------------------------
+SUM_SLICES = 16
+
+
+def table_rows(values: np.ndarray) -> pa.RecordBatch:
+    """A task's table (any numbers), in slices, for ``table_sum``; the task number spreads the sums."""
+    from pyspark import TaskContext
+
+    parts = np.array_split(values.astype(np.float64).ravel(), SUM_SLICES)
+    context = TaskContext.get()
+    return pa.RecordBatch.from_arrays(
+        [pa.array(range(SUM_SLICES), pa.int32()), pa.array([(context.partitionId() if context else 0) % 1024] * SUM_SLICES, pa.int32()),
+         pa.array([packed(x) for x in parts], pa.binary())], names=["slice", "part", "counts"])
+
+
+def table_sum(rows: DataFrame, size: int) -> np.ndarray:
+    """The sum of all tasks' tables of ``size`` numbers, added in two steps and then collected."""
+    def add(key, table):
+        total = sum(np.frombuffer(x.as_py(), np.float64) for x in table["counts"])
+        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([packed(total)], pa.binary())})
+
+    for keys in (["slice", "part"], ["slice"]):
+        rows = rows.groupBy(*keys).applyInArrow(add, "slice int, counts binary")
+    parts = np.array_split(np.zeros(size), SUM_SLICES)
+    for r in rows.collect():  # SUM_SLICES rows of fixed size
+        parts[r["slice"]] = np.frombuffer(r["counts"], np.float64)
+    return np.concatenate(parts)
