@@ -298,8 +298,9 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
     return encoded.select(F.col(id_col), F.col("token_ids")).mapInArrow(run, f"`{id_col}` {kind}, token_ids binary, decoded binary")
 
 
-def digests(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) of ``decode``'s rows."""
+def digests(decoded: DataFrame, id_col: str = "doc_id", keep_ids: bool = False) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256) of ``decode``'s rows, and the ids themselves if wanted."""
     return decoded.select(
         F.col(id_col), (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+        F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+        *([F.col("token_ids")] if keep_ids else []))

@@ -34,7 +34,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemeter.llm import texts as T
@@ -428,3 +428,14 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     component = F.coalesce("component_id", "id")
     return out.select(null_id.alias(id_col), F.col("n").alias("n_shingles"),
                       F.when(component == T.NULL_ID, F.lit(None).cast("long")).otherwise(component).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without near duplicates: of each component the document of the smallest id stays, and
+    of rows that repeat an id the one of least text (then least other columns).  Sets that are
+    empty link with nothing, so texts without words stay."""
+    joined = join(docs, id_col, text_col)
+    stay = joined.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(T.id_key(id_col).alias("_jaccard_key")).distinct()
+    rows = docs.withColumn("_jaccard_key", T.id_key(id_col)).join(stay, "_jaccard_key")
+    order = Window.partitionBy("_jaccard_key").orderBy(text_col, *[c for c in docs.columns if c not in (id_col, text_col)])
+    return rows.withColumn("_jaccard_nth", F.row_number().over(order)).filter("_jaccard_nth = 1").select(*docs.columns)

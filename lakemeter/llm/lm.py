@@ -5,13 +5,14 @@ ids of a public vocabulary; a document ends with an end id.  The model gives the
 one layer of causal self-attention over a window of ids, trained in numpy, and the id in its class
 by its training frequency.  Classes are kept apart by whether their ids begin a word, so the model
 also says where a word ends; a word's probability is that of its ids and of ending there.  It is
-mixed with the word's training frequency among the ``TABLE_WORDS`` most frequent words.
+mixed, for the ``TABLE_WORDS`` most frequent words, with the class the attention expects times the
+word's training frequency among the words whose first id has that class.
 
 Learning covers all training documents:
 * counts of every word, in shards by word hash (the base model and the table are read off them);
 * one word window in ``SAMPLE`` of every document, by hash, as training text: counts of ids and of
   their company (summed over all tasks), classes by k-means on the company, and the attention
-  weights, by local gradient descent in every task and averaging, ``ROUNDS`` times.
+  weights, by local gradient descent in every task and averaging, once for each of ``RATES``.
 
 Scoring walks every whole document in overlapping windows: each scores its last ``STRIDE`` ids
 only, so every id counts once, with at least ``CONTEXT - STRIDE`` ids before it (or the whole
@@ -40,11 +41,13 @@ from lakemeter.session import materialize
 
 TABLE_WORDS = 1 << 17
 SHARD_WORDS = 4_000_000
-#: words of a training window, one window in so many, rounds of averaging
+#: words of a training window, one window in so many, training windows that one task descends on,
+#: steps it takes at least if three walks give them, and the step sizes of the rounds of averaging
 WINDOW_WORDS = 24
-SAMPLE = 32
-ROUNDS = 2
-STEPS = 150
+SAMPLE = 8
+TASK_WINDOWS = 32_000
+STEPS = 1500
+RATES = (0.01, 0.003)
 #: units (frequent ids with a vector of their own), width, classes of each kind, ids in view
 UNITS = 4096
 WIDTH = 16
@@ -52,8 +55,6 @@ KINDS = 24
 CONTEXT = 32
 STRIDE = 24
 COMPANY = 64
-#: share of the attention model in the mixture
-SHARE = 0.5
 IDS = 1 << 16
 END_WORD = np.uint64(0x0123456789ABCDEF)
 
@@ -114,59 +115,62 @@ def subwords(path: str) -> Subwords:
 
 
 # -- counts and training windows -----------------------------------------------------------
-_GATHERED = "shard long, words binary, windows binary"
-_COUNT = np.dtype([("word", np.uint64), ("n", np.int64)])
+_GATHERED = "shard long, words binary, windows binary, slice int, part int, counts binary"
+_COUNT = np.dtype([("word", np.uint64), ("n", np.int64), ("first", np.int64)])
 
 
 def gather(docs: DataFrame, path: str, end_id: int, shards: int) -> DataFrame:
-    """Rows with a shard: counts of a task's words; others: training windows (ids, ``0xFFFF`` between)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        n = 0
-
-        def flush():
-            rows = np.concatenate(held) if held else np.zeros(0, _COUNT)
-            rows = _added(rows)
-            parts = _split(rows, rows["word"] % np.uint64(shards))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([k for k, _ in parts], pa.int64()), pa.array([T.packed(x) for _, x in parts], pa.binary()),
-                 pa.nulls(len(parts), pa.binary())], names=["shard", "words", "windows"])
-
-        for block in T.blocks(batches):
-            w = T.words(block.data, block.offsets, lower=True)
-            unique, count = np.unique(w.hash, return_counts=True)
-            rows = np.zeros(len(unique) + 1, _COUNT)
-            rows["word"][:-1], rows["n"][:-1] = unique, count
-            rows["word"][-1], rows["n"][-1] = END_WORD, len(block)
-            held.append(rows)
-            n += len(rows)
-            if n > 2_000_000:
-                yield flush()
-                held, n = [], 0
-            # windows of words, chosen by document and place
-            place = np.arange(len(w.hash)) - w.bounds[w.doc]
-            lead = np.flatnonzero(place % WINDOW_WORDS == 0)
-            chosen = T.mix(block.ids[w.doc[lead]].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + place[lead].astype(np.uint64)) % np.uint64(SAMPLE) == 0
-            lead = lead[chosen]
-            if len(lead):
-                size = np.minimum(WINDOW_WORDS, w.bounds[w.doc[lead] + 1] - lead)
-                spot = np.repeat(lead - (np.cumsum(size) - size), size) + np.arange(size.sum())
-                ids, sizes = subwords(path).look_up(w.hash[spot], T.LOWER[block.data], w.start[spot], w.end[spot])
-                upto = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(size)])]
-                out = []
-                for i in range(len(lead)):
-                    if place[lead[i]] == 0:
-                        out.append(np.array([end_id], np.uint16))
-                    out.append(ids[upto[i]:upto[i + 1]])
-                    if lead[i] + size[i] == w.bounds[w.doc[lead[i]] + 1]:
-                        out.append(np.array([end_id], np.uint16))
-                    out.append(np.array([0xFFFF], np.uint16))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([T.packed(np.concatenate(out))], pa.binary())],
-                    names=["shard", "words", "windows"])
-        yield flush()
-
-    return docs.mapInArrow(run, _GATHERED)
+    """Rows with a shard: counts of a task's words; with windows: training windows (ids, ``0xFFFF``
+    between); with a slice: counts of the ids of all words."""
+    return docs.mapInArrow(lambda batches: gather_batches(batches, path, end_id, shards), _GATHERED)
+
+
+def _row_batch(n: int, **columns) -> pa.RecordBatch:
+    kinds = {"shard": pa.int64(), "words": pa.binary(), "windows": pa.binary(), "slice": pa.int32(), "part": pa.int32(), "counts": pa.binary()}
+    return pa.RecordBatch.from_arrays([columns.get(k, pa.nulls(n, t)) for k, t in kinds.items()], names=list(kinds))
+
+
+def gather_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int, shards: int) -> Iterator[pa.RecordBatch]:
+    held: list[np.ndarray] = []
+    n = 0
+    id_counts = np.zeros(IDS)
+
+    def flush() -> pa.RecordBatch:
+        rows = _added(np.concatenate(held) if held else np.zeros(0, _COUNT))
+        parts = _split(rows, rows["word"] % np.uint64(shards))
+        return _row_batch(len(parts), shard=pa.array([k for k, _ in parts], pa.int64()), words=pa.array([T.packed(x) for _, x in parts], pa.binary()))
+
+    for block in T.blocks(batches):
+        w = T.words(block.data, block.offsets, lower=True)
+        ids, sizes = subwords(path).look_up(w.hash, T.LOWER[block.data], w.start, w.end)
+        id_counts += np.bincount(ids, minlength=IDS)
+        id_counts[end_id] += len(block)
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        unique, at, count = np.unique(w.hash, return_index=True, return_counts=True)
+        rows = np.zeros(len(unique) + 1, _COUNT)
+        rows["word"][:-1], rows["n"][:-1], rows["first"][:-1] = unique, count, ids[upto[at]]
+        rows[-1] = (END_WORD, len(block), end_id)
+        held.append(rows)
+        n += len(rows)
+        if n > 2_000_000:
+            yield flush()
+            held, n = [], 0
+        # windows of words, chosen by document and place
+        place = np.arange(len(w.hash)) - w.bounds[w.doc]
+        lead = np.flatnonzero(place % WINDOW_WORDS == 0)
+        chosen = T.mix(block.ids[w.doc[lead]].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + place[lead].astype(np.uint64)) % np.uint64(SAMPLE) == 0
+        out = []
+        for i in lead[chosen].tolist():
+            last = w.bounds[w.doc[i] + 1]
+            if place[i] == 0:
+                out.append(np.array([end_id], np.uint16))
+            out.append(ids[upto[i]:upto[min(i + WINDOW_WORDS, last)]])
+            out.append(np.array([end_id, 0xFFFF] if i + WINDOW_WORDS >= last else [0xFFFF], np.uint16))
+        if out:
+            yield _row_batch(1, windows=pa.array([T.packed(np.concatenate(out))], pa.binary()))
+    yield flush()
+    table = T.table_rows(id_counts)
+    yield _row_batch(table.num_rows, slice=table["slice"], part=table["part"], counts=table["counts"])
 
 
 def _added(rows: np.ndarray) -> np.ndarray:
@@ -322,14 +326,15 @@ def train_windows(ids: np.ndarray, model: Model, end_id: int) -> tuple[np.ndarra
 
 
 def descend(p: dict[str, np.ndarray], data, steps: int, rate: float, seed: int) -> dict[str, np.ndarray]:
-    """Adam over shuffled batches of 64 windows: one walk over the data, ``steps`` steps at least."""
+    """Adam over shuffled batches of 64 windows: one walk over the data, or up to three until ``steps`` steps."""
     u, target, weight = data
     p = {k: v.copy() for k, v in p.items()}
     m = {k: np.zeros_like(v) for k, v in p.items()}
     s = {k: np.zeros_like(v) for k, v in p.items()}
     r = np.random.Generator(np.random.PCG64(seed))
     batch, step = 64, 0
-    while step < max(steps, -(-len(u) // batch)):
+    once = -(-len(u) // batch)
+    while step < max(min(steps, 3 * once), once):
         order = r.permutation(len(u))
         for at in range(0, len(u), batch):
             some = order[at:at + batch]
@@ -374,8 +379,8 @@ def clusters(company: np.ndarray, weight: np.ndarray, k: int) -> np.ndarray:
     return own
 
 
-def learn(windows: DataFrame, path: str, end_id: int) -> Model:
-    """Id counts, classes and attention weights of all training windows."""
+def learn(windows: DataFrame, count: np.ndarray, path: str, end_id: int) -> Model:
+    """Classes and attention weights of all training windows; ``count``: of every id in all training text."""
     token = bpe.Decoder.load(path).token
     begin = np.zeros(IDS, bool)
     begin[[i for i, t in token.items() if t[:1] == b" "]] = True
@@ -389,8 +394,6 @@ def learn(windows: DataFrame, path: str, end_id: int) -> Model:
                 yield T.table_rows(table(np.concatenate(parts)))
         return windows.mapInArrow(run, "slice int, part int, counts binary")
 
-    count = T.table_sum(over(lambda ids: np.bincount(ids, minlength=IDS)), IDS)
-    count[0xFFFF] = 0
     order = np.argsort(-count, kind="stable")[:UNITS - 2]
     order = order[count[order] > 0]
     unit = np.where(begin, 0, 1).astype(np.int64)  # two units for all other ids
@@ -424,7 +427,7 @@ def learn(windows: DataFrame, path: str, end_id: int) -> Model:
             begin_kinds = first
     kind[end_id] = 0
     kinds = first
-    mass = count + 0.5
+    mass = count + 0.1
     mass[[i for i in range(IDS) if i not in token and i != end_id]] = 0
     total = np.bincount(kind, weights=mass, minlength=kinds)
     inside = np.log(np.maximum(mass, 1e-9) / np.maximum(total, 1e-9)[kind]).astype(np.float32)
@@ -432,12 +435,12 @@ def learn(windows: DataFrame, path: str, end_id: int) -> Model:
     share = np.bincount(kind, weights=count, minlength=kinds) + 0.5
     model.p["b"] = np.log(share / share.sum()).astype(np.float32)
     size = len(flat(model.p))
-    for turn in range(ROUNDS if count.sum() else 0):
+    for turn in range(len(RATES) if count.sum() else 0):
         def step(ids: np.ndarray, start=model, turn=turn) -> np.ndarray:
             data = train_windows(ids, start, end_id)
             if not len(data[0]):
                 return np.zeros(size + 1)
-            done = descend(start.p, data, STEPS, 0.01 if turn == 0 else 0.004, turn)
+            done = descend(start.p, data, STEPS, RATES[turn], turn)
             return np.concatenate([flat(done) * len(data[0]), [len(data[0])]])
 
         total = T.table_sum(over(step), size + 1)
@@ -481,62 +484,80 @@ _SCORED = "key long, id long, n_tokens long, n_known long, base double, score do
 _RARE = np.dtype([("key", np.int64), ("word", np.uint64)])
 
 
-def score_rows(docs: DataFrame, model: Model, table: np.ndarray, tokens: int, distinct: int, path: str, end_id: int, shards: int) -> DataFrame:
+@dataclass
+class Table:
+    """The most frequent words (sorted hashes), with the numbers that scoring needs of each."""
+    words: np.ndarray
+    base: np.ndarray      # log10 of the smoothed unigram probability
+    in_class: np.ndarray  # natural log of the word's share of its class
+    share: float          # of the pure subword model in the mixture
+    unknown: float        # base of a word that was never seen
+
+    @classmethod
+    def of(cls, rows: np.ndarray, model: Model, tokens: int, distinct: int) -> "Table":
+        n = rows["n"].astype(np.float64)
+        kind = model.kind[rows["first"]]
+        mass = np.bincount(kind, weights=n, minlength=int(model.kind.max()) + 1)
+        outside = 1 - n.sum() / max(tokens, 1)
+        return cls(np.ascontiguousarray(rows["word"]), np.log10((n + 1) / (tokens + distinct + 1)), np.log(n / mass[kind]),
+                   min(0.9, 0.15 + outside) if len(rows) else 1.0, float(np.log10(1 / (tokens + distinct + 1))))
+
+
+def score_rows(docs: DataFrame, model: Model, table: Table, path: str, end_id: int, shards: int) -> DataFrame:
     """Rows with a key: each document's score and the part of its base that the table holds; with a shard: its other words."""
+    return docs.mapInArrow(lambda batches: score_batches(batches, model, table, path, end_id, shards), _SCORED)
+
+
+def score_batches(batches: Iterator[pa.RecordBatch], model: Model, table: Table, path: str, end_id: int, shards: int) -> Iterator[pa.RecordBatch]:
     names = ["key", "id", "n_tokens", "n_known", "base", "score", "shard", "rare"]
-    words, counts = np.ascontiguousarray(table["word"]), np.ascontiguousarray(table["n"])
-    share = SHARE if len(words) else 1.0
-    log_frequency = np.log(counts / counts.sum()) if len(words) else np.zeros(0)
-    log_base = np.log10((counts + 1) / (tokens + distinct + 1))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = model.prepared()
-        key = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 36
-        for block in T.blocks(batches):
-            k = len(block)
-            w = T.words(block.data, block.offsets, lower=True)
-            ids, sizes = subwords(path).look_up(w.hash, T.LOWER[block.data], w.start, w.end)
-            # each document's words and its end: word slots, then id slots
-            n_words = np.diff(w.bounds)
-            slot_bounds = np.concatenate([[0], np.cumsum(n_words + 1)])
-            is_end = np.zeros(slot_bounds[-1], bool)
-            is_end[slot_bounds[1:] - 1] = True
-            slot_hash = np.full(slot_bounds[-1], END_WORD)
-            slot_hash[~is_end] = w.hash
-            slot_size = np.ones(slot_bounds[-1], np.int64)
-            slot_size[~is_end] = sizes
-            upto = np.concatenate([[0], np.cumsum(slot_size)])
-            every = np.full(upto[-1], end_id, np.int64)
-            every[np.repeat(~is_end, slot_size)] = ids
-            log_id, log_any = id_scores(model, t, every, upto[slot_bounds], end_id)
-            # a word: its ids, given that a word begins, and that the next begins after it
-            total = np.concatenate([[0.0], np.cumsum(log_id, dtype=np.float64)])
-            word = total[upto[1:]] - total[upto[:-1]] - log_any[upto[:-1]]
-            after = np.minimum(upto[1:], len(every) - 1)
-            word += np.where(is_end, 0.0, log_any[after])
-            at = np.minimum(np.searchsorted(words, slot_hash), max(len(words) - 1, 0)) if len(words) else np.zeros(len(slot_hash), np.int64)
-            in_table = words[at] == slot_hash if len(words) else np.zeros(len(slot_hash), bool)
-            mixed = word + np.log(share)
-            if len(words):
-                mixed[in_table] = np.logaddexp(mixed[in_table], log_frequency[at[in_table]] + np.log(1 - share))
-            doc = np.repeat(np.arange(k), n_words + 1)
-            score = np.bincount(doc, weights=mixed, minlength=k) / np.log(10)
-            base = np.bincount(doc[in_table], weights=log_base[at[in_table]], minlength=k)
-            known = np.bincount(doc[in_table], minlength=k)
-            keys = key + np.arange(k)
-            key += k
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys), pa.array(block.ids), pa.array(n_words + 1), pa.array(known), pa.array(base), pa.array(score),
-                 pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary())], names=names)
-            rare = np.zeros(int((~in_table).sum()), _RARE)
-            rare["key"], rare["word"] = keys[doc[~in_table]], slot_hash[~in_table]
-            parts = _split(rare, rare["word"] % np.uint64(shards))
-            none = [pa.nulls(len(parts), x) for x in (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-            yield pa.RecordBatch.from_arrays(
-                [*none, pa.array([x for x, _ in parts], pa.int64()),
-                 pa.array([T.packed(x["key"]) + T.packed(x["word"]) for _, x in parts], pa.binary())], names=names)
-
-    return docs.mapInArrow(run, _SCORED)
+    t = model.prepared()
+    key = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 36
+    for block in T.blocks(batches):
+        k = len(block)
+        w = T.words(block.data, block.offsets, lower=True)
+        ids, sizes = subwords(path).look_up(w.hash, T.LOWER[block.data], w.start, w.end)
+        # each document's words and its end: word slots, then id slots
+        n_words = np.diff(w.bounds)
+        slot_bounds = np.concatenate([[0], np.cumsum(n_words + 1)])
+        is_end = np.zeros(slot_bounds[-1], bool)
+        is_end[slot_bounds[1:] - 1] = True
+        slot_hash = np.full(slot_bounds[-1], END_WORD)
+        slot_hash[~is_end] = w.hash
+        slot_size = np.ones(slot_bounds[-1], np.int64)
+        slot_size[~is_end] = sizes
+        upto = np.concatenate([[0], np.cumsum(slot_size)])
+        every = np.full(upto[-1], end_id, np.int64)
+        every[np.repeat(~is_end, slot_size)] = ids
+        log_id, log_any = id_scores(model, t, every, upto[slot_bounds], end_id)
+        # a word: its ids, given that a word begins, and that the next begins after it
+        total = np.concatenate([[0.0], np.cumsum(log_id, dtype=np.float64)])
+        first = upto[:-1]
+        mixed = total[upto[1:]] - total[first] - log_any[first] + np.log(table.share)
+        mixed += np.where(is_end, 0.0, log_any[np.minimum(upto[1:], len(every) - 1)])
+        if len(table.words):
+            at = np.minimum(np.searchsorted(table.words, slot_hash), len(table.words) - 1)
+            in_table = table.words[at] == slot_hash
+            spot, at = first[in_table], at[in_table]
+            by_class = log_id[spot] - model.inside[every[spot]] - log_any[spot] + table.in_class[at]
+            mixed[in_table] = np.logaddexp(mixed[in_table], by_class + np.log(1 - table.share))
+        else:
+            in_table, at = np.zeros(len(slot_hash), bool), np.zeros(0, np.int64)
+        doc = np.repeat(np.arange(k), n_words + 1)
+        score = np.bincount(doc, weights=mixed, minlength=k) / np.log(10)
+        base = np.bincount(doc[in_table], weights=table.base[at], minlength=k)
+        known = np.bincount(doc[in_table], minlength=k)
+        keys = key + np.arange(k)
+        key += k
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys), pa.array(block.ids), pa.array(n_words + 1), pa.array(known), pa.array(base), pa.array(score),
+             pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary())], names=names)
+        rare = np.zeros(int((~in_table).sum()), _RARE)
+        rare["key"], rare["word"] = keys[doc[~in_table]], slot_hash[~in_table]
+        parts = _split(rare, rare["word"] % np.uint64(shards))
+        none = [pa.nulls(len(parts), x) for x in (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+        yield pa.RecordBatch.from_arrays(
+            [*none, pa.array([x for x, _ in parts], pa.int64()),
+             pa.array([T.packed(x["key"]) + T.packed(x["word"]) for _, x in parts], pa.binary())], names=names)
 
 
 def rare_rows(scored: DataFrame, counts: DataFrame, tokens: int, distinct: int) -> DataFrame:
@@ -571,9 +592,12 @@ def score(docs: DataFrame, held_out: Column, path: str, id_col: str = "doc_id",
     counts = materialize(shard_counts(gathered))
     stats = counts.agg(F.sum("tokens").alias("n"), F.sum("distinct").alias("v")).first()
     tokens, distinct = stats["n"] or 0, stats["v"] or 0
+    count = T.table_sum(gathered.filter(F.col("slice").isNotNull()).select("slice", "part", "counts"), IDS)
     windows = gathered.filter(F.col("windows").isNotNull()).select("windows")
-    model = learn(windows, path, end_id)
-    scored = materialize(score_rows(rows, model, frequent_words(counts), tokens, distinct, path, end_id, shards))
+    tasks = max(1, tokens // SAMPLE // WINDOW_WORDS // TASK_WINDOWS)
+    model = learn(materialize(windows.repartition(int(tasks))), count, path, end_id)
+    table = Table.of(frequent_words(counts), model, tokens, distinct)
+    scored = materialize(score_rows(rows, model, table, path, end_id, shards))
     rare = rare_rows(scored, counts, tokens, distinct).groupBy("key").agg(F.sum("known").alias("known"), F.sum("rest").alias("rest"))
     out = scored.filter(F.col("key").isNotNull()).join(rare, "key", "left")
     null_id = F.when(F.col("id") == T.NULL_ID, F.lit(None).cast("long")).otherwise(F.col("id"))

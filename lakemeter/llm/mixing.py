@@ -203,13 +203,13 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         shards: int = SHARDS) -> DataFrame:
-    """The mixed rows: each document of ``docs``, all columns, once for each copy, with ``_shard`` and
-    ``_position`` (the order inside the shard).  Rows that repeat an id get the id's copies each."""
+    """The mixed rows: each document of ``docs``, all columns, once for each copy, with ``_mix_shard`` and
+    ``_mix_position`` (the order inside the shard).  Rows that repeat an id get the id's copies each."""
     plan = plan_mix(docs, id_col, text_col, source_col, shards).filter("copies > 0")
     plan = plan.groupBy(F.col(id_col).alias("_id"), F.col(source_col).alias("_src")).agg(F.max("shards").alias("_shards"))
     rows = docs.join(plan, F.col(id_col).eqNullSafe(F.col("_id")) & F.col(source_col).eqNullSafe(F.col("_src")))
-    rows = rows.select(*[docs[c] for c in docs.columns], F.posexplode("_shards").alias("_copy", "_shard"))
-    return rows.withColumn("_position", F.xxhash64(F.col(id_col), "_copy")).drop("_copy")
+    rows = rows.select(*[docs[c] for c in docs.columns], F.posexplode("_shards").alias("_mix_copy", "_mix_shard"))
+    return rows.withColumn("_mix_position", F.xxhash64(F.col(id_col), "_mix_copy")).drop("_mix_copy")
 
 
 def report(plan: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -18,13 +18,16 @@ ROOT = str(Path(__file__).resolve().parents[2])
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
-def _importable(query: Callable) -> Callable:
+def importable(spark: SparkSession) -> None:
     """Python workers find this library where the driver does, unless the session says otherwise."""
+    if ROOT not in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+
+
+def _ready(query: Callable) -> Callable:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
-        if ROOT not in paths:
-            spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+        importable(spark)
         return query(spark, sf_dir)
     return run
 
@@ -78,7 +81,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (crc_mod("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: _importable(q) for q in (
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: _ready(q) for q in (
     op1_bpe, op2_exact_topk, op3_suffix_dedup, op4_debruijn_dedup, op5_ann,
     op6_toxicity, op7_mixing, op8_license_scan, op9_jaccard_join, op10_lm_scoring,
 )}

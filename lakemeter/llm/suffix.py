@@ -274,8 +274,8 @@ def merge_shards(heads: DataFrame, buckets: int) -> DataFrame:
             .mapInArrow(run, A.SPANS))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (the bytes that stay)."""
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: str = "") -> DataFrame:
+    """``docs`` with ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (the bytes that stay), names after ``prefix``."""
     plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     total = A.sizes(docs, text_col)
     shards = max(8, total // 40 // 1_000_000 + 1)
@@ -300,12 +300,33 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         size = np.diff(bounds)
         upto = np.concatenate([[0], np.cumsum(size - removed)])
         kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(upto.astype(np.int64)), pa.py_buffer(data[~mask].tobytes())])
-        return table.append_column("n_bytes", pa.array(size)).append_column("n_removed", pa.array(removed)) \
-            .append_column("n_spans", pa.array(runs)).append_column("kept", kept.cast(pa.binary()))
+        for name, values in (("n_bytes", pa.array(size)), ("n_removed", pa.array(removed)), ("n_spans", pa.array(runs)), ("kept", kept.cast(pa.binary()))):
+            table = table.append_column(prefix + name, values)
+        return table
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return A.apply_spans(docs, spans, buckets, cut, f"{fields}, n_bytes long, n_removed long, n_spans long, kept binary", id_col)
+    return A.apply_spans(docs, spans, buckets, cut, f"{fields}, `{prefix}n_bytes` long, `{prefix}n_removed` long, `{prefix}n_spans` long, `{prefix}kept` binary", id_col)
 
 
 def report(cut: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return cut.select(id_col, "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def cut_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """``docs`` with the repeats taken out of the texts (a character cut in two goes whole)."""
+    prefix = "_suffix_"
+    done = remove_repeats(docs, id_col, text_col, prefix)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = {f.name: batch.column(i) for i, f in enumerate(batch.schema)}
+            texts, removed = columns[text_col].to_pylist(), columns[prefix + "n_removed"].to_pylist()
+            kept = [t if not n else k.as_py().decode("utf-8", "ignore") for t, n, k in zip(texts, removed, columns[prefix + "kept"])]
+            columns[text_col] = pa.array(kept, columns[text_col].type)
+            if chars_col in columns:
+                old = columns[chars_col].to_pylist()
+                columns[chars_col] = pa.array([o if not n else len(k) for o, n, k in zip(old, removed, kept)], columns[chars_col].type)
+            names = [x for x in columns if not x.startswith(prefix)]
+            yield pa.RecordBatch.from_arrays([columns[x] for x in names], names=names)
+
+    return done.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
