@@ -79,3 +79,36 @@ def materialize_all(*dfs: DataFrame) -> list[DataFrame]:
     from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
         return list(pool.map(materialize, dfs))
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Cut lineage by a reliable checkpoint: Spark removes its files with the frame where
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on.  For small results that outlive the
+    function that makes them; large intermediate frames belong in a ``Scratch``."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
+class Scratch:
+    """Intermediate frames of one computation; leaving the ``with`` block removes their folders.
+
+    Nothing that is still to be evaluated may read them afterwards: ``settle`` the result first."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.root = f"{checkpoint_dir(spark).rstrip('/')}/lakemeter-scratch-{uuid.uuid4().hex}"
+        self.count = 0
+
+    def save(self, df: DataFrame) -> DataFrame:
+        self.count += 1
+        path = f"{self.root}/{self.count}"
+        df.write.mode("errorifexists").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *error) -> None:
+        jvm = self.spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(self.root)
+        folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
