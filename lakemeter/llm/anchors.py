@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 from lakemeter.llm import texts as T
 
 #: one segment: gram hash, hash of the covered text, document id, first window, number of windows,
-#: number of the segment in its document
-RECORD = np.dtype([("gram", np.uint64), ("text", np.uint64), ("id", np.int64), ("start", np.uint32), ("windows", np.uint32), ("seq", np.uint32)])
-#: records that a task holds before it sends them on, and about as many as a shard gets
-HELD = 1_500_000
+#: number of the segment in its document, whether its task met it in a later document too
+RECORD = np.dtype([("gram", np.uint64), ("text", np.uint64), ("id", np.int64), ("start", np.uint32), ("windows", np.uint32), ("seq", np.uint32),
+                   ("more", np.uint8)])
+#: records that a task holds before it sends them on, and that a shard gets about
+HELD = 500_000
+SHARD = 300_000
 SPAN = np.dtype([("id", np.int64), ("start", np.int64), ("end", np.int64)])
 
 
@@ -84,7 +86,7 @@ def by_class(r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return r, head
 
 
-_COLUMNS = ("gram", "text", "id", "start", "windows", "seq")
+_COLUMNS = ("gram", "text", "id", "start", "windows", "seq", "more")
 
 
 def pack(r: np.ndarray) -> bytes:

@@ -31,33 +31,87 @@ from pyspark.sql import functions as F
 
 from lakemeter.llm import anchors as A
 from lakemeter.llm import texts as T
-from lakemeter.session import materialize
+from lakemeter.session import Scratch, settle
 
 WINDOW = 50
 GRAM = 16
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 #: windows that a task holds before it sends the firsts on, and about as many as a shard gets
-HELD = 1_500_000
+HELD = 500_000
 
 _KIND = np.dtype([("a", np.uint64), ("b", np.uint64), ("id", np.int64), ("start", np.int64)])
 
 
-def edges(docs: DataFrame) -> DataFrame:
-    """(gram, text, id, seq, start, windows): the edges of each document in order."""
+_EDGE = "gram long, text long, id long, seq int, start int, windows int"
+
+
+def _edge_columns(r: np.ndarray) -> list[pa.Array]:
+    column = lambda c, kind: pa.array(np.ascontiguousarray(r[c]).view(np.int64) if kind is None else r[c].astype(kind))
+    return [column("gram", None), column("text", None), column("id", None), column("seq", np.int32), column("start", np.int32), column("windows", np.int32)]
+
+
+def edges(docs: DataFrame, shards: int) -> DataFrame:
+    """Rows with a shard: packed edges, of each kind those of its first document in the task; others:
+    the edges of later documents, one a row."""
+    def flush(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        if not held:
+            return
+        r, head = A.by_class(np.concatenate(held))
+        at = np.flatnonzero(head)
+        kind = np.cumsum(head) - 1
+        first = r["id"] == r["id"][at][kind]
+        r["more"] = np.logical_or.reduceat(~first, at)[kind]
+        kept = list(A.split(r[first], (T.mix(r["gram"][first]) % np.uint64(shards)).astype(np.int64)))
+        none = [pa.nulls(len(kept), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())]
+        names = ["shard", "records", "gram", "text", "id", "seq", "start", "windows"]
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in kept], pa.int64()), pa.array([A.pack(x) for _, x in kept], pa.binary()), *none], names=names)
+        later = r[~first]
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(later), pa.int64()), pa.nulls(len(later), pa.binary()), *_edge_columns(later)], names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for block in T.blocks(batches):
             w = T.words(block.data, block.offsets)
-            r = A.records(block.ids, w.bounds, A.segments(w.hash, w.bounds, WINDOW, GRAM))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ascontiguousarray(r["gram"]).view(np.int64)), pa.array(np.ascontiguousarray(r["text"]).view(np.int64)),
-                 pa.array(np.ascontiguousarray(r["id"])), pa.array(r["seq"].astype(np.int32)), pa.array(r["start"].astype(np.int32)),
-                 pa.array(r["windows"].astype(np.int32))],
-                names=["gram", "text", "id", "seq", "start", "windows"])
+            held.append(A.records(block.ids, w.bounds, A.segments(w.hash, w.bounds, WINDOW, GRAM)))
+            n += len(held[-1])
+            if n >= A.HELD:
+                yield from flush(held)
+                held, n = [], 0
+        yield from flush(held)
 
-    return docs.mapInArrow(run, "gram long, text long, id long, seq int, start int, windows int")
+    return docs.mapInArrow(run, "shard long, records binary, " + _EDGE)
 
 
-def paths(repeats: DataFrame) -> DataFrame:
+#: rows of ``repeated_edges``: a repeated kind of edge, an occurrence of one, a part of a crowded gram
+KIND, OCCURRENCE, CROWD = 0, 1, 2
+
+
+def repeated_edges(packed: DataFrame) -> DataFrame:
+    """Of each shard: KIND rows (each repeated edge with its first document), OCCURRENCE rows (where it
+    stands), CROWD rows (first occurrences of grams that have several edges in several documents)."""
+    def run(key, table):
+        r, head = A.by_class(np.concatenate([A.unpack(x.as_py()) for x in table["records"]]))
+        at = np.flatnonzero(head)
+        kind = np.cumsum(head) - 1
+        first_id, first_start = r["id"][at], r["start"][at].astype(np.int64)
+        repeated = (np.maximum.reduceat(r["id"], at) > first_id) | (np.maximum.reduceat(r["more"], at) > 0)
+        occurs = repeated[kind]
+        gram = r["gram"][at]
+        new = np.ones(len(gram), bool)
+        new[1:] = gram[1:] != gram[:-1]
+        start = np.flatnonzero(new)
+        many = (np.diff(np.append(start, len(gram))) > 1) & (np.maximum.reduceat(first_id, start) > np.minimum.reduceat(first_id, start))
+        crowd = many[np.cumsum(new) - 1][kind] & (r["id"] == first_id[kind])
+        parts = []
+        for code, rows, own in ((KIND, r[at][repeated], kind[at][repeated]), (OCCURRENCE, r[occurs], kind[occurs]), (CROWD, r[crowd], kind[crowd])):
+            parts.append(pa.table([pa.array(np.full(len(rows), code, np.int32)), *_edge_columns(rows), pa.array(first_id[own]), pa.array(first_start[own])],
+                                  names=["what", "gram", "text", "id", "seq", "start", "windows", "first_id", "first_start"]))
+        return pa.concat_tables(parts)
+
+    return packed.groupBy("shard").applyInArrow(run, f"what int, {_EDGE}, first_id long, first_start long")
+
+
+def paths(repeats: DataFrame, scratch: Scratch) -> DataFrame:
     """(gram, text, head, rank): the compacted path of each repeated edge and its place on it."""
     u = F.struct("gram", "text")
     follow = Window.partitionBy("id").orderBy("seq")
@@ -67,29 +121,29 @@ def paths(repeats: DataFrame) -> DataFrame:
     pair = pair.filter((F.col("next.seq") == F.col("seq") + 1)).select(
         "u", F.col("next.v").alias("v"),
         ((F.col("next.first_id") == F.col("first_id")) & (F.col("next.first_start") > F.col("first_start"))).alias("same")).distinct()
-    pair = materialize(pair)
+    pair = scratch.save(pair)
     out = pair.groupBy("u").agg(F.count(F.lit(1)).alias("out")).filter("out = 1").select("u")
     into = pair.groupBy("v").agg(F.count(F.lit(1)).alias("into")).filter("into = 1").select("v")
     step = pair.filter("same").join(out, "u", "left_semi").join(into, "v", "left_semi").select(F.col("v").alias("node"), F.col("u").alias("ptr"))
     nodes = repeats.select(u.alias("node")).distinct()
     # starts rise along a path, so there is no cycle and doubling ends
-    chain = materialize(nodes.join(step, "node", "left").select(
+    chain = scratch.save(nodes.join(step, "node", "left").select(
         "node", F.coalesce("ptr", "node").alias("ptr"), F.when(F.col("ptr").isNull(), 0).otherwise(1).alias("rank")))
     while True:
         far = chain.filter("rank > 0").select(F.col("node").alias("ptr"), F.col("ptr").alias("far"), F.col("rank").alias("more"))
         if not chain.join(far, "ptr", "left_semi").limit(1).count():
             return chain.select(F.col("node.gram").alias("gram"), F.col("node.text").alias("text"), F.col("ptr").alias("head"), "rank")
-        chain = materialize(chain.join(far, "ptr", "left").select(
+        chain = scratch.save(chain.join(far, "ptr", "left").select(
             "node", F.coalesce("far", "ptr").alias("ptr"), (F.col("rank") + F.coalesce("more", F.lit(0))).alias("rank")))
 
 
-def path_spans(repeats: DataFrame, compact: DataFrame) -> DataFrame:
+def path_spans(repeats: DataFrame, compact: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, start, end): what later documents lose to the first document of their paths.
 
     A document's run on a path is one span if it is whole and as long as the same ranks are in the
     first document; the edges of other runs are spans of their own."""
     end = F.col("start") + F.col("windows") + F.lit(WINDOW - 1)
-    placed = materialize(repeats.join(compact, ["gram", "text"]).select(
+    placed = scratch.save(repeats.join(compact, ["gram", "text"]).select(
         "id", "first_id", "head", "rank", "start", end.alias("end"), (F.col("seq") - F.col("rank")).alias("line")))
     run = placed.filter("id > first_id").groupBy("id", "head", "line").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.min("rank").alias("low"), F.max("rank").alias("high"),
@@ -98,7 +152,7 @@ def path_spans(repeats: DataFrame, compact: DataFrame) -> DataFrame:
     run = (run.join(source.select("head", F.col("rank").alias("low"), "at"), ["head", "low"])
            .join(source.select("head", F.col("rank").alias("high"), "to"), ["head", "high"]))
     verified = (F.col("ranks") == F.col("high") - F.col("low") + 1) & (F.col("to") - F.col("at") == F.col("end") - F.col("start"))
-    run = materialize(run.select("id", "head", "line", "start", "end", verified.alias("verified")))
+    run = scratch.save(run.select("id", "head", "line", "start", "end", verified.alias("verified")))
     single = placed.join(run.filter("not verified").select("id", "head", "line"), ["id", "head", "line"], "left_semi")
     return run.filter("verified").select("id", "start", "end").unionByName(single.filter("id > first_id").select("id", "start", "end"))
 
@@ -188,24 +242,24 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     total = A.sizes(docs, text_col)
     buckets = max(8, total // BUCKET_BYTES + 1)
-    every = materialize(edges(plain))
-    kinds = materialize(every.groupBy("gram", "text").agg(F.min(F.struct("id", "start")).alias("first"), F.max("id").alias("last_id"))
-                        .select("gram", "text", F.col("first.id").alias("first_id"), F.col("first.start").alias("first_start"), "last_id"))
-    repeated = kinds.filter("first_id < last_id").select("gram", "text", "first_id", "first_start")
-    repeats = materialize(every.join(repeated, ["gram", "text"]))
-    spans = _packed(path_spans(repeats, paths(repeats)), buckets)
-
-    # grams with several edges: their first documents' windows one by one
-    crowd = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"), F.min("first_id").alias("a"), F.max("first_id").alias("b")) \
-        .filter("kinds > 1 and a < b").select("gram")
-    firsts = kinds.join(crowd, "gram", "left_semi").select("gram", "text", F.col("first_id").alias("id"))
-    firsts = every.join(firsts, ["gram", "text", "id"]).groupBy("id").agg(
-        F.collect_list("start").alias("starts"), F.collect_list("windows").alias("windows"))  # of one document
-    texts = plain.select(T.id_key("doc_id").alias("id"), "text")
-    pieces = texts.join(firsts, "id").select("id", "text", "starts", "windows")
-    rows = materialize(window_rows(pieces, max(8, total // 12 // HELD + 1), buckets))
-    spans = spans.unionByName(rows.filter(F.col("bucket").isNotNull()).select("bucket", "spans"))
-    spans = spans.unionByName(shard_spans(rows.filter(F.col("shard").isNotNull()).select("shard", "rows"), buckets))
+    with Scratch(docs.sparkSession) as scratch:
+        every = scratch.save(edges(plain, max(8, total // 100 // A.SHARD + 1)))
+        kinds = scratch.save(repeated_edges(every.filter(F.col("shard").isNotNull()).select("shard", "records")))
+        columns = ["gram", "text", "id", "seq", "start", "windows", "first_id", "first_start"]
+        later = every.filter(F.col("shard").isNull()).select(*columns[:6]) \
+            .join(kinds.filter(F.col("what") == KIND).select("gram", "text", "first_id", "first_start"), ["gram", "text"])
+        repeats = scratch.save(kinds.filter(F.col("what") == OCCURRENCE).select(*columns).unionByName(later.select(*columns)))
+        spans = _packed(path_spans(repeats, paths(repeats, scratch), scratch), buckets)
+
+        # grams with several edges: their first documents' windows one by one
+        firsts = kinds.filter(F.col("what") == CROWD).groupBy("id").agg(
+            F.collect_list("start").alias("starts"), F.collect_list("windows").alias("windows"))  # of one document
+        texts = plain.select(T.id_key("doc_id").alias("id"), "text")
+        # the list of firsts grows with the corpus: one plan at every size, no broadcast
+        pieces = texts.join(firsts.hint("merge"), "id").select("id", "text", "starts", "windows")
+        rows = scratch.save(window_rows(pieces, max(8, total // 36 // HELD + 1), buckets))
+        spans = spans.unionByName(rows.filter(F.col("bucket").isNotNull()).select("bucket", "spans"))
+        spans = settle(spans.unionByName(shard_spans(rows.filter(F.col("shard").isNotNull()).select("shard", "rows"), buckets)))
 
     def cut(table: pa.Table, own: np.ndarray) -> pa.Table:
         data, offsets = T.string_buffers(table[text_col])

@@ -38,14 +38,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemeter.llm import texts as T
-from lakemeter.session import materialize
+from lakemeter.session import Scratch, settle
 
 SHINGLE = 5
 #: link when OF * intersection >= NEAR * union
 NEAR, OF = 80, 100
-#: slots of the table of counts (fixed size: 2 MB), slices of it in a shuffle
-SLOTS = 1 << 18
-SLICES = 16
+#: slots of the table of counts (fixed size: 8 MB), slices of it in a shuffle
+SLOT_BITS = 21
+SLOTS = 1 << SLOT_BITS
+SLICES = 64
 #: listed shingles in a shard; a shingle whose slot counts more than this is dealt over several
 SHARD = 1_000_000
 HOT = 200_000
@@ -78,22 +79,26 @@ def _sets(block: T.Block):
     return doc, value, n, bounds, total(value), total(T.mix(value ^ np.uint64(0xA5A5A5A5DEADBEEF)))
 
 
+def slots(value: np.ndarray) -> np.ndarray:
+    return (value >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
 _PROFILE = "kind int, id long, n long, set1 long, set2 long, slice int, counts binary"
 
 
 def profile(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows of kind 0: each document's set size and set hashes; of kind 1: counts of shingles by slot."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SLOTS, np.int64)
+        counts = np.zeros(SLOTS, np.uint32)
         for block in T.blocks(batches):
             doc, value, n, _, one, two = _sets(block)
-            counts += np.bincount((value >> np.uint64(46)).astype(np.int64), minlength=SLOTS)
+            np.add.at(counts, slots(value), np.uint32(1))
             k = len(n)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(k, np.int32)), pa.array(block.ids), pa.array(n), pa.array(one.view(np.int64)),
                  pa.array(two.view(np.int64)), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
                 names=["kind", "id", "n", "set1", "set2", "slice", "counts"])
-        parts = [T.packed(x) for x in np.split(counts, SLICES)]
+        parts = [T.packed(x) for x in np.split(np.minimum(counts, 0xFFFF).astype(np.uint16), SLICES)]
         long, task = pa.nulls(SLICES, pa.int64()), pa.array([TaskContext.get().partitionId()] * SLICES, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.ones(SLICES, np.int32)), long, task, long, long, pa.array(np.arange(SLICES, dtype=np.int32)), pa.array(parts, pa.binary())],
@@ -104,21 +109,22 @@ def profile(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def slot_counts(profiled: DataFrame) -> np.ndarray:
     """The summed table of counts (SLOTS numbers, whatever the input)."""
-    def add(key, table):
-        total = np.zeros(SLOTS // SLICES, np.int64)
-        for x in table["counts"]:
-            total += np.frombuffer(x.as_py(), np.int64)
-        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([T.packed(total)], pa.binary())})
+    def adder(kind):
+        def add(key, table):
+            total = np.zeros(SLOTS // SLICES, np.int64)
+            for x in table["counts"]:
+                total += np.frombuffer(x.as_py(), kind)
+            return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([T.packed(total)], pa.binary())})
+        return add
 
     # summed in two steps, so no task meets the parts of all tasks
     parts = profiled.filter("kind = 1").select("slice", F.pmod("n", F.lit(1024)).alias("part"), "counts")
-    for keys in (["slice", "part"], ["slice"]):
-        parts = parts.groupBy(*keys).applyInArrow(add, "slice int, counts binary")
-    rows = parts.collect()  # SLICES rows
+    parts = parts.groupBy("slice", "part").applyInArrow(adder(np.uint16), "slice int, counts binary")
+    rows = parts.groupBy("slice").applyInArrow(adder(np.int64), "slice int, counts binary").collect()  # SLICES rows
     out = np.zeros((SLICES, SLOTS // SLICES), np.int64)
     for r in rows:
         out[r["slice"]] = np.frombuffer(r["counts"], np.int64)
-    return out.ravel()
+    return np.minimum(out.ravel(), 0xFFFFFFFF).astype(np.uint32)
 
 
 # -- groups of sets that share a listed shingle ------------------------------------------
@@ -126,8 +132,6 @@ def shared_lists(docs: DataFrame, counts: np.ndarray, shards: int, id_col: str,
     """(pivot, member, shared, shingle): for each group with two sets or more, its members under its
     least set; ``shared`` counts the groups.  Shingles dealt over several shards keep their
     members one by one (pivot null), to be grouped by a join-free aggregate."""
-    salts = np.minimum(counts // HOT + 1, 1 << 20).astype(np.uint64)
-
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, None] = {}
         for block in T.blocks(batches):
@@ -142,13 +146,13 @@ def shared_lists(docs: DataFrame, counts: np.ndarray, shards: int, id_col: str,
                     fresh[i] = True
             keep = fresh[doc]
             doc, value = doc[keep], value[keep]
-            slot = (value >> np.uint64(46)).astype(np.int64)
+            slot = slots(value)
             order = np.lexsort((value, counts[slot], doc))
             doc, value, slot = doc[order], value[order], slot[order]
             first = np.searchsorted(doc, doc)
             keep = np.arange(len(doc)) - first < front(n[doc])
             doc, value, slot = doc[keep], value[keep], slot[keep]
-            salt = T.mix(one[doc]) % salts[slot]
+            salt = T.mix(one[doc]) % (counts[slot] // HOT + 1).astype(np.uint64)
             shard = (T.mix(value + salt * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             edges = np.flatnonzero(np.diff(shard[order])) + 1
@@ -168,7 +172,7 @@ def shared_lists(docs: DataFrame, counts: np.ndarray, shards: int, id_col: str,
         new = np.ones(len(rows), bool)
         new[1:] = (rows["v"][1:] != rows["v"][:-1]) | (rows["s"][1:] != rows["s"][:-1])
         rows = rows[new]
-        hot = salts[(rows["v"] >> np.uint64(46)).astype(np.int64)] > 1
+        hot = counts[slots(rows["v"])] >= HOT
         alone, many = rows[~hot], rows[hot]
         head = np.ones(len(alone), bool)
         head[1:] = alone["v"][1:] != alone["v"][:-1]
@@ -188,13 +192,13 @@ def shared_lists(docs: DataFrame, counts: np.ndarray, shards: int, id_col: str,
     return lists.groupBy("shard").applyInArrow(group, "pivot long, member long, shared long, shingle long")
 
 
-def regions(groups: DataFrame, classes: DataFrame) -> DataFrame:
+def regions(groups: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
     """(region, id, n): the members of each region that can link with something, by their class's least id."""
     dealt = groups.filter(F.col("pivot").isNull()).select("shingle", "member")
     heads = dealt.groupBy("shingle").agg(F.min("member").alias("pivot"), F.max("member").alias("last"))
     dealt = dealt.join(heads.filter("pivot < last"), "shingle").select("pivot", "member", F.lit(1).cast("long").alias("shared"))
     pairs = groups.filter(F.col("pivot").isNotNull()).select("pivot", "member", "shared").unionByName(dealt)
-    pairs = materialize(pairs.groupBy("pivot", "member").agg(F.sum("shared").alias("shared")))
+    pairs = scratch.save(pairs.groupBy("pivot", "member").agg(F.sum("shared").alias("shared")))
     totals = pairs.groupBy("member").agg(F.sum("shared").alias("shared"))
     n = F.col("n")
     # a linked set has at least 0.8 n shingles; both lists then share 1 + (0.8 n) // 20 at least
@@ -300,24 +304,22 @@ def _from_table(table: pa.Table) -> Members:
     return members_of(ids, data, offsets)
 
 
-def small_regions(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links of the regions that one task can hold."""
+def small_regions(rows: DataFrame) -> DataFrame:
+    """Links of the regions that one task can hold; ``rows``: (region, id, members, text)."""
     def run(key, table):
         m = _from_table(table)
         return _links(pivot_join(m), m.ids)
 
-    rows = members.filter(F.col("members") <= REGION).select("region", "id").join(texts, "id").select("region", "id", "text")
-    return rows.groupBy("region").applyInArrow(run, _LINK)
+    return rows.filter(F.col("members") <= REGION).select("region", "id", "text").groupBy("region").applyInArrow(run, _LINK)
 
 
-def large_regions(members: DataFrame, texts: DataFrame) -> DataFrame | None:
+def large_regions(every: DataFrame, scratch: Scratch) -> DataFrame | None:
     """Links of the others: the ball of a central pivot first, then what it leaves, in blocks."""
-    large = members.filter(F.col("members") > REGION)
+    large = every.filter(F.col("members") > REGION)
     if not large.limit(1).count():
         return None
     shares = F.ceil(F.col("members") / (REGION // 4)).cast("int")
-    rows = materialize(large.join(texts, "id").select(
-        "region", "id", "text", shares.alias("shares"), F.pmod(F.xxhash64("id"), shares).alias("share")))
+    rows = scratch.save(large.select("region", "id", "text", shares.alias("shares"), F.pmod(F.xxhash64("id"), shares).alias("share")))
 
     # a central member of one share (a bounded sample) is the pivot of the region
     def centre(key, table):
@@ -344,7 +346,7 @@ def large_regions(members: DataFrame, texts: DataFrame) -> DataFrame | None:
                     [some["region"], some["id"], some["p_id"], pa.array(near), pa.array(distance)],
                     names=["region", "id", "p_id", "near", "distance"])
 
-    tried = materialize(rows.join(pivots, "region").select("region", "id", "text", "p_id", "p_text")
+    tried = scratch.save(rows.join(pivots, "region").select("region", "id", "text", "p_id", "p_text")
                         .mapInArrow(ball, "region long, id long, p_id long, near boolean, distance double"))
     links = tried.filter("near and id != p_id").select(F.col("p_id").alias("a"), F.col("id").alias("b"))
     # outside the ball: each against all that its distance to the pivot allows
@@ -376,25 +378,25 @@ def large_regions(members: DataFrame, texts: DataFrame) -> DataFrame | None:
             return _links(pivot_join(m), m.ids)
         return _links(pivot_join(m, active=own == row, block=own), m.ids)
 
-    found = tiles.join(texts, "id").select("region", "row", "column", "own", "id", "text") \
+    found = tiles.join(rows.select("region", "id", "text"), ["region", "id"]).select("region", "row", "column", "own", "id", "text") \
         .groupBy("region", "row", "column").applyInArrow(tile, _LINK)
     return links.unionByName(found)
 
 
 # -- components ---------------------------------------------------------------------------
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, component): the least id reachable, for every id in a link.
 
     Each round joins every node's least neighbour to its neighbours' (large star, then small
     star); the links of a component become a star round its least id after logarithmically many."""
-    edges = materialize(links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    edges = scratch.save(links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        new = materialize(small.select("e.*").filter("a != b").distinct())
+        new = scratch.save(small.select("e.*").filter("a != b").distinct())
         if not new.exceptAll(edges).limit(1).count() and not edges.exceptAll(new).limit(1).count():
             return new.select(F.col("a").alias("id"), F.col("b").alias("component"))
         edges = new
@@ -402,32 +404,32 @@ def components(links: DataFrame) -> DataFrame:
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of each row of ``docs``."""
-    spark = docs.sparkSession
-    profiled = materialize(profile(docs, id_col, text_col))
-    sets = profiled.filter("kind = 0").select("id", "n", "set1", "set2")
-    counts = slot_counts(profiled)
-    classes = materialize(sets.filter("n > 0").groupBy("n", "set1", "set2").agg(F.min("id").alias("id")))
-    shards = max(8, int(counts.sum() // 4 // SHARD) + 1)
-    groups = materialize(shared_lists(docs, counts, shards, id_col, text_col))
-    members = materialize(regions(groups, classes.select("set1", "id", "n")))
-    wanted = members.select("id").distinct()
-    texts = docs.select(T.id_key(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi")
-    texts = materialize(texts)
-    links = small_regions(members, texts)
-    more = large_regions(members, texts)
-    if more is not None:
-        links = links.unionByName(more)
-    # rows that repeat an id with other texts hang together through the id
-    key = ["n", "set1", "set2"]
-    several = sets.filter("n > 0").groupBy("id").agg(F.min(F.struct(*key)).alias("x"), F.max(F.struct(*key)).alias("y")).filter("x < y")
-    same = sets.join(several.select("id"), "id").join(classes.withColumnRenamed("id", "b"), key).select(F.col("id").alias("a"), "b")
-    of_class = components(links.unionByName(same))
-    classed = classes.join(of_class, "id", "left").select("n", "set1", "set2", F.coalesce("component", "id").alias("component_id"))
-    out = sets.join(classed, ["n", "set1", "set2"], "left")
-    null_id = F.when(F.col("id") == T.NULL_ID, F.lit(None).cast("long")).otherwise(F.col("id"))
-    component = F.coalesce("component_id", "id")
-    return out.select(null_id.alias(id_col), F.col("n").alias("n_shingles"),
-                      F.when(component == T.NULL_ID, F.lit(None).cast("long")).otherwise(component).alias("component_id"))
+    with Scratch(docs.sparkSession) as scratch:
+        profiled = scratch.save(profile(docs, id_col, text_col))
+        sets = profiled.filter("kind = 0").select("id", "n", "set1", "set2")
+        counts = slot_counts(profiled)
+        key = ["n", "set1", "set2"]
+        classes = scratch.save(sets.filter("n > 0").groupBy(*key).agg(F.min("id").alias("id")))
+        shards = max(8, int(counts.sum(dtype=np.int64)) // 4 // SHARD + 1)
+        groups = scratch.save(shared_lists(docs, counts, shards, id_col, text_col))
+        members = scratch.save(regions(groups, classes.select("set1", "id", "n"), scratch))
+        # the list of members grows with the corpus: one plan at every size, no broadcast
+        texts = docs.select(T.id_key(id_col).alias("id"), F.col(text_col).alias("text"))
+        rows = scratch.save(texts.join(members.select("region", "id", "members").hint("merge"), "id"))
+        links = small_regions(rows)
+        more = large_regions(rows, scratch)
+        if more is not None:
+            links = links.unionByName(more)
+        # rows that repeat an id with other texts hang together through the id
+        several = sets.filter("n > 0").groupBy("id").agg(F.min(F.struct(*key)).alias("x"), F.max(F.struct(*key)).alias("y")).filter("x < y")
+        same = sets.join(several.select("id"), "id").join(classes.withColumnRenamed("id", "b"), key).select(F.col("id").alias("a"), "b")
+        of_class = components(links.unionByName(same), scratch)
+        classed = classes.join(of_class, "id", "left").select(*key, F.coalesce("component", "id").alias("component_id"))
+        out = sets.join(classed, key, "left")
+        null_id = F.when(F.col("id") == T.NULL_ID, F.lit(None).cast("long")).otherwise(F.col("id"))
+        component = F.coalesce("component_id", "id")
+        return settle(out.select(null_id.alias(id_col), F.col("n").alias("n_shingles"),
+                                 F.when(component == T.NULL_ID, F.lit(None).cast("long")).otherwise(component).alias("component_id")))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

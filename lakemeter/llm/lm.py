@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from lakemeter.llm import bpe
 from lakemeter.llm import texts as T
-from lakemeter.session import materialize
+from lakemeter.session import Scratch, settle
 
 TABLE_WORDS = 1 << 17
 SHARD_WORDS = 4_000_000
@@ -588,19 +588,20 @@ def score(docs: DataFrame, held_out: Column, path: str, id_col: str = "doc_id",
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     shards = max(8, total // 6 // SHARD_WORDS + 1)
     training = docs.filter(~held_out).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    gathered = materialize(gather(training, path, end_id, shards))
-    counts = materialize(shard_counts(gathered))
-    stats = counts.agg(F.sum("tokens").alias("n"), F.sum("distinct").alias("v")).first()
-    tokens, distinct = stats["n"] or 0, stats["v"] or 0
-    count = T.table_sum(gathered.filter(F.col("slice").isNotNull()).select("slice", "part", "counts"), IDS)
-    windows = gathered.filter(F.col("windows").isNotNull()).select("windows")
-    tasks = max(1, tokens // SAMPLE // WINDOW_WORDS // TASK_WINDOWS)
-    model = learn(materialize(windows.repartition(int(tasks))), count, path, end_id)
-    table = Table.of(frequent_words(counts), model, tokens, distinct)
-    scored = materialize(score_rows(rows, model, table, path, end_id, shards))
-    rare = rare_rows(scored, counts, tokens, distinct).groupBy("key").agg(F.sum("known").alias("known"), F.sum("rest").alias("rest"))
-    out = scored.filter(F.col("key").isNotNull()).join(rare, "key", "left")
-    null_id = F.when(F.col("id") == T.NULL_ID, F.lit(None).cast("long")).otherwise(F.col("id"))
-    return out.select(
-        null_id.alias(id_col), "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), "score")
+    with Scratch(docs.sparkSession) as scratch:
+        gathered = scratch.save(gather(training, path, end_id, shards))
+        counts = scratch.save(shard_counts(gathered))
+        stats = counts.agg(F.sum("tokens").alias("n"), F.sum("distinct").alias("v")).first()
+        tokens, distinct = stats["n"] or 0, stats["v"] or 0
+        count = T.table_sum(gathered.filter(F.col("slice").isNotNull()).select("slice", "part", "counts"), IDS)
+        windows = gathered.filter(F.col("windows").isNotNull()).select("windows")
+        tasks = max(1, tokens // SAMPLE // WINDOW_WORDS // TASK_WINDOWS)
+        model = learn(scratch.save(windows.repartition(int(tasks))), count, path, end_id)
+        table = Table.of(frequent_words(counts), model, tokens, distinct)
+        scored = scratch.save(score_rows(rows, model, table, path, end_id, shards))
+        rare = rare_rows(scored, counts, tokens, distinct).groupBy("key").agg(F.sum("known").alias("known"), F.sum("rest").alias("rest"))
+        out = scored.filter(F.col("key").isNotNull()).join(rare, "key", "left")
+        null_id = F.when(F.col("id") == T.NULL_ID, F.lit(None).cast("long")).otherwise(F.col("id"))
+        return settle(out.select(
+            null_id.alias(id_col), "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
+            F.lit(tokens).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), "score"))

@@ -33,14 +33,14 @@ from pyspark.sql import functions as F
 
 from lakemeter.llm import anchors as A
 from lakemeter.llm import texts as T
-from lakemeter.session import materialize
+from lakemeter.session import Scratch, settle
 
 WINDOW = 100
 GRAM = 32
 #: bytes of text in a shard of suffixes, classes of one gram in a shard, bytes of a bucket of documents
-SHARD_BYTES = 4 << 20
-CLASSES = 8192
-BUCKET_BYTES = 8 << 20
+SHARD_BYTES = 1 << 20
+CLASSES = 4096
+BUCKET_BYTES = 4 << 20
 
 
 # -- suffix arrays -------------------------------------------------------------------------
@@ -278,20 +278,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``docs`` with ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (the bytes that stay), names after ``prefix``."""
     plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     total = A.sizes(docs, text_col)
-    shards = max(8, total // 40 // 1_000_000 + 1)
     buckets = max(8, total // BUCKET_BYTES + 1)
-    rows = materialize(segment_rows(plain, shards, buckets))
-    classes = materialize(class_rows(rows.filter(F.col("shard").isNotNull()).select("shard", "records"), buckets, max(8, total // 4 // SHARD_BYTES + 1)))
-    firsts = classes.filter(F.col("part").isNotNull()).select("part", "share", "id", "start", "windows")
-    texts = plain.select(T.id_key("doc_id").alias("id"), F.col("text").cast("binary").alias("text"))
-    piece = F.substring(F.col("text"), (F.col("start") + 1).cast("int"), (F.col("windows") + WINDOW - 1).cast("int"))
-    firsts = firsts.join(texts, "id").select("part", "share", "id", "start", "windows", piece.alias("piece")) \
-        .filter(F.octet_length("piece") == F.col("windows") + WINDOW - 1)
-    found = materialize(shard_rows(firsts, buckets))
-    crossing = merge_shards(found.filter(F.col("window").isNotNull()).select("window", "id", "start"), buckets)
-    spans = crossing
-    for part in (rows, classes, found):
-        spans = spans.unionByName(part.filter(F.col("bucket").isNotNull()).select("bucket", "spans"))
+    with Scratch(docs.sparkSession) as scratch:
+        rows = scratch.save(segment_rows(plain, max(8, total // 40 // A.SHARD + 1), buckets))
+        packed = rows.filter(F.col("shard").isNotNull()).select("shard", "records")
+        classes = scratch.save(class_rows(packed, buckets, max(8, total // 4 // SHARD_BYTES + 1)))
+        firsts = classes.filter(F.col("part").isNotNull()).select("part", "share", "id", "start", "windows")
+        texts = plain.select(T.id_key("doc_id").alias("id"), F.col("text").cast("binary").alias("text"))
+        piece = F.substring(F.col("text"), (F.col("start") + 1).cast("int"), (F.col("windows") + WINDOW - 1).cast("int"))
+        # the list of firsts grows with the corpus: one plan at every size, no broadcast
+        firsts = texts.join(firsts.hint("merge"), "id").select("part", "share", "id", "start", "windows", piece.alias("piece")) \
+            .filter(F.octet_length("piece") == F.col("windows") + WINDOW - 1)
+        found = scratch.save(shard_rows(firsts, buckets))
+        spans = merge_shards(found.filter(F.col("window").isNotNull()).select("window", "id", "start"), buckets)
+        for part in (rows, classes, found):
+            spans = spans.unionByName(part.filter(F.col("bucket").isNotNull()).select("bucket", "spans"))
+        spans = settle(spans)
 
     def cut(table: pa.Table, own: np.ndarray) -> pa.Table:
         data, bounds = T.string_buffers(table[text_col])

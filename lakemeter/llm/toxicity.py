@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemeter.llm import texts as T
-from lakemeter.session import materialize
+from lakemeter.session import Scratch
 
 DISCOUNT = 3.0
 #: labelled rows of each class for the word models, and of both for the curve
@@ -94,7 +94,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, train, id_col: str, text
     parts.append(rows.filter("curve").orderBy("order", "id").limit(CURVE_ROWS))
     chosen = parts[0].unionByName(parts[1]).unionByName(parts[2]).drop("order")
     chosen = F.broadcast(chosen)  # 2 * MODEL_ROWS + CURVE_ROWS rows at most
-    return materialize(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(chosen, "id"))
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(chosen, "id")
 
 
 def continuations(sample: DataFrame) -> DataFrame:
@@ -118,8 +118,13 @@ def continuations(sample: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """A model of the labelled rows for which the condition ``train`` holds."""
-    sample = labelled_sample(docs, labels, train, id_col, text_col, label_col)
-    counts = materialize(continuations(sample.filter("not curve")))
+    with Scratch(docs.sparkSession) as scratch:
+        sample = scratch.save(labelled_sample(docs, labels, train, id_col, text_col, label_col))
+        return fit_sample(sample, scratch.save(continuations(sample.filter("not curve"))))
+
+
+def fit_sample(sample: DataFrame, counts: DataFrame) -> Model:
+    """The model of a labelled sample and its ``continuations``."""
     d = F.lit(DISCOUNT)
     t = counts.agg(F.sum("c0").alias("n0"), F.sum("c1").alias("n1"), F.sum(F.least("c0", "c1")).alias("common"), F.count(F.lit(1)).alias("words"),
                    F.sum(F.least(F.col("c0").cast("double"), d)).alias("d0"), F.sum(F.least(F.col("c1").cast("double"), d)).alias("d1")).first()
