@@ -46,8 +46,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, with digests of the ids and of the bytes they decode to."""
     importable(spark)
-    decoded = bpe.decode(bpe.encode(docs, RANKS, public_tokenizers.PATTERN), RANKS)
-    return bpe.digests(decoded, keep_ids=True)
+    return bpe.digests(bpe.encode(docs, RANKS, public_tokenizers.PATTERN, decoded=True), keep_ids=True)
 
 
 STAGES = [

@@ -166,7 +166,9 @@ def apply_spans(docs: DataFrame, spans: DataFrame, buckets: int, cut, schema: st
 
     def run(left, right):
         parts = [np.frombuffer(x.as_py(), SPAN) for x in right["spans"]]
-        return cut(left.drop_columns(["_bucket"]), np.concatenate(parts) if parts else np.zeros(0, SPAN))
+        out = cut(left.drop_columns(["_bucket"]), np.concatenate(parts) if parts else np.zeros(0, SPAN))
+        T.release()
+        return out
 
     return keyed.groupBy("_bucket").cogroup(spans.withColumnRenamed("bucket", "_bucket").groupBy("_bucket")).applyInArrow(run, schema)
 

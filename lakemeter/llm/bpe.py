@@ -21,13 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakemeter.llm.texts import release
+
 #: matches kept with their ids in each worker; the memory is emptied when full
 CACHE_ENTRIES = 200_000
 CACHE_BYTES = 64
 #: matches up to this size are merged many at a time, longer ones alone
 SHARED_BYTES = 64
 #: texts encoded at a time
-ROWS = 1_000
+ROWS = 256
 _NONE = np.int64(1 << 62)
 
 _loaded: dict[tuple[str, str], "Vocabulary"] = {}
@@ -59,6 +61,7 @@ class Vocabulary:
                  for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks}
         self.pair_keys = np.array(sorted(pairs), np.int64)
         self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int64)
+        del pairs
         self.byte_ids = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
 
     @classmethod
@@ -268,19 +271,28 @@ def merge(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[bytes]:
     return out
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, token_ids): the ids of each whole text as little-endian unsigned 32-bit integers."""
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+           decoded: bool = False) -> DataFrame:
+    """(id, token_ids): the ids of each whole text as little-endian unsigned 32-bit integers.
+
+    ``decoded``: also the bytes that the ids decode to, in the same pass (one Python worker a task)."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary.load(path, pattern)
+        back = Decoder.load(path) if decoded else None
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 some = batch.slice(at, ROWS)
                 ids = vocabulary.encode_many([x or "" for x in some.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(ids, pa.binary())], names=[id_col, "token_ids"])
-
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {kind}, token_ids binary")
+                columns = {id_col: some.column(0), "token_ids": pa.array(ids, pa.binary())}
+                if back:
+                    columns["decoded"] = pa.array([back.decode(x) for x in ids], pa.binary())
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+            release()
+
+    schema = f"`{id_col}` {kind}, token_ids binary" + ", decoded binary" * decoded
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:

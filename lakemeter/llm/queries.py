@@ -33,8 +33,7 @@ def _ready(query: Callable) -> Callable:
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decode(encoded, RANKS))
+    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN, decoded=True))
 
 
 def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -209,6 +209,7 @@ def class_rows(packed: DataFrame, buckets: int, parts: int) -> DataFrame:
         part = np.where(many > CLASSES, (one["gram"] >> np.uint64(1)).astype(np.int64) | (1 << 62), (T.mix(one["gram"]) % np.uint64(parts)).astype(np.int64))
         share = np.where(many > CLASSES, 1 + nth // CLASSES, 0)
         k, m = len(one), spans.num_rows
+        T.release()
         none = lambda n, kind: pa.nulls(n, kind)
         return pa.table({
             "part": pa.chunked_array([pa.array(part), none(m, pa.int64())]), "share": pa.chunked_array([pa.array(share.astype(np.int32)), none(m, pa.int32())]),
@@ -235,6 +236,7 @@ def shard_rows(firsts: DataFrame, buckets: int) -> DataFrame:
         found["start"] = (start[seg] + step)[~same]
         found["end"] = found["start"] + WINDOW
         spans = A.span_batch(A.merged(found), buckets)
+        T.release()
         if key[1].as_py():
             at = (offsets[:-1][seg] + step)[head]
             own_id, own_start = ids[seg][head], (start[seg] + step)[head]

@@ -8,6 +8,7 @@ equal hashes on every executor and after a retry.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,7 +22,12 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: stands for a null document id in shuffles: after every other document
 NULL_ID = 2 ** 63 - 1
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
+
+try:
+    _LIBC = ctypes.CDLL("libc.so.6") if hasattr(ctypes.CDLL("libc.so.6"), "malloc_trim") else None
+except OSError:  # another C library
+    _LIBC = None
 
 _ODD = 0x9E3779B97F4A7C15
 _INV = pow(_ODD, -1, 1 << 64)
@@ -74,6 +80,14 @@ def blocks(batches: Iterator[pa.RecordBatch], id_col: str = "doc_id", text_col:
             end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1)
             yield Block(ids[row:end], data[offsets[row]:offsets[end]], offsets[row:end + 1] - offsets[row], row, batch)
             row = end
+        release()
+
+
+def release() -> None:
+    """Give freed memory back to the system: a worker outlives its task, and Spark keeps it for the next."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
