@@ -155,22 +155,26 @@ def apply_spans(docs: DataFrame, spans: DataFrame, buckets: int, cut, schema: st
     """``cut(table, spans)`` for each bucket of documents and the spans of its documents.
 
     Buckets are hashes of the id, of about equal bytes; ``docs`` keeps its columns."""
+    key = "_bucket"
+    while key in docs.columns:
+        key += "_"
+
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = T.id_values(batch.column(batch.schema.get_field_index(id_col)))
             bucket = (T.mix(ids.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bucket)], names=[*batch.schema.names, "_bucket"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bucket)], names=[*batch.schema.names, key])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    keyed = docs.mapInArrow(number, f"{fields}, _bucket long")
+    keyed = docs.mapInArrow(number, f"{fields}, `{key}` long")
 
     def run(left, right):
         parts = [np.frombuffer(x.as_py(), SPAN) for x in right["spans"]]
-        out = cut(left.drop_columns(["_bucket"]), np.concatenate(parts) if parts else np.zeros(0, SPAN))
+        out = cut(left.drop_columns([key]), np.concatenate(parts) if parts else np.zeros(0, SPAN))
         T.release()
         return out
 
-    return keyed.groupBy("_bucket").cogroup(spans.withColumnRenamed("bucket", "_bucket").groupBy("_bucket")).applyInArrow(run, schema)
+    return keyed.groupBy(key).cogroup(spans.withColumnRenamed("bucket", key).groupBy(key)).applyInArrow(run, schema)
 
 
 def cover(ids: np.ndarray, bounds: np.ndarray, spans: np.ndarray) -> np.ndarray:

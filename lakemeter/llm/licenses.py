@@ -159,6 +159,8 @@ class Scanner:
         for name in self.names:
             own = hit[np.isin(self.all, self.hashes[name])[which]]
             need = int(np.ceil(self.least * len(self.words[name])))
+            if len(own) < need:
+                continue
             first, last = own[:len(own) - need + 1], own[need - 1:]
             near = (last - first < ROOM * len(self.words[name])) & (w.doc[first] == w.doc[last])
             docs.update(w.doc[first[near]].tolist())

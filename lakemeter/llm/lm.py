@@ -544,7 +544,7 @@ def score_batches(batches: Iterator[pa.RecordBatch], model: Model, table: Table,
             in_table, at = np.zeros(len(slot_hash), bool), np.zeros(0, np.int64)
         doc = np.repeat(np.arange(k), n_words + 1)
         score = np.bincount(doc, weights=mixed, minlength=k) / np.log(10)
-        base = np.bincount(doc[in_table], weights=table.base[at], minlength=k)
+        base = np.bincount(doc[in_table], weights=table.base[at], minlength=k).astype(np.float64)  # whole numbers if there are none
         known = np.bincount(doc[in_table], minlength=k)
         keys = key + np.arange(k)
         key += k
@@ -576,7 +576,7 @@ def rare_rows(scored: DataFrame, counts: DataFrame, tokens: int, distinct: int)
             n = np.where(own["word"][at] == word, own["n"][at], 0)
         unique, back = np.unique(key, return_inverse=True)
         return pa.table({"key": pa.array(unique), "known": pa.array(np.bincount(back[n > 0], minlength=len(unique))),
-                         "rest": pa.array(np.bincount(back, weights=np.log10((n + 1) / (tokens + distinct + 1)), minlength=len(unique)))})
+                         "rest": pa.array(np.bincount(back, weights=np.log10((n + 1) / (tokens + distinct + 1)), minlength=len(unique)), pa.float64())})
 
     left = scored.filter(F.col("shard").isNotNull()).select("shard", "rare").groupBy("shard")
     return left.cogroup(counts.select("shard", "words").groupBy("shard")).applyInArrow(run, "key long, known long, rest double")
