@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakemeter.session import materialize
 
 def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                       probs: Sequence[float], names: Sequence[str] | None = None,
@@ -29,8 +30,9 @@ def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     v = F.col(value_col)
 
     counts = df.where(v.isNotNull()).groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_c"))
-    ranged = (counts.repartitionByRange(n_slices, *[F.col(c).asc_nulls_first() for c in g], v.asc())
-              .withColumn("_slice", F.spark_partition_id()))
+    # written once: both uses below must see the same slices, whatever the planner reuses
+    ranged = materialize(counts.repartitionByRange(n_slices, *[F.col(c).asc_nulls_first() for c in g], v.asc())
+                         .withColumn("_slice", F.spark_partition_id()))
     upto_here = Window.partitionBy(*g, "_slice").orderBy(value_col) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.withColumn("_hi_local", F.sum("_c").over(upto_here))

@@ -107,8 +107,7 @@ def validate_pair(actual: DataFrame, forecast: DataFrame, dom: MarketDomain = Ma
                                              expected_actual=len(dom.regions),
                                              expected_forecast=len(dom.zones))
         pubs = profile.where("is_complete").select("market_date", "forecast_init_date")
-        # one row per date and publication: bounded by the calendar times publications a day
-        f_keys = C.date_set(pubs.withColumn("_complete", F.lit(True)))
+        f_keys = pubs.withColumn("_complete", F.lit(True))  # publications a day have no bound: no hint
         dates = C.date_set(pubs.select("market_date").distinct().withColumn("_complete", F.lit(True)))
     else:
         profile = C.paired_completeness(a_lab.where(passing), f_lab.where(passing),
@@ -177,13 +176,19 @@ class Lakehouse:
         return self.ingest_frame(frame, dataset)
 
     def ingest_frame(self, bronze: DataFrame, dataset: str) -> dict:
-        """Insert-only on the checksum, then index the market dates of the new files, so a
-        later rebuild of some dates reads only the Bronze files that hold them."""
+        """Insert-only on the checksum, then index the market dates of all files that Bronze
+        holds and the index does not (also those of an attempt that failed in between)."""
         table, index = self._raw(dataset)
-        counts, fresh = self.store.insert_new(table, bronze, ["record_checksum"])
-        if counts["inserted"]:
+        counts, _ = self.store.insert_new(table, bronze, ["record_checksum"])
+        landed = self.store.read(table)
+        keys = landed.select("record_checksum").distinct()
+        if self.store.exists(index):
+            keys = keys.join(self.store.read(index).select("record_checksum").distinct(), "record_checksum", "left_anti")
+        keys = materialize(keys)
+        if not keys.isEmpty():
             schema = D.actual_payload_schema() if dataset == D.ACTUAL_DATASET else D.forecast_payload_schema()
-            self.store.insert_only(index, record_dates(fresh, schema), ["record_checksum", "market_date"])
+            unindexed = landed.join(keys, "record_checksum", "left_semi")
+            self.store.insert_only(index, record_dates(unindexed, schema), ["record_checksum", "market_date"])
         return counts
 
     def bronze_for_dates(self, dataset: str, dates: DataFrame) -> DataFrame:
@@ -219,9 +224,12 @@ class Lakehouse:
         actual = parse_actual(a_raw, self.dom.tz, as_of)
         forecast = parse_forecast(f_raw, self.dom.tz, as_of)
         if dates is not None:
-            wanted = C.date_set(dates.select("market_date").distinct())
-            actual = actual.join(wanted, "market_date", "left_semi")
-            forecast = forecast.join(wanted, "market_date", "left_semi")
+            # rows without a date are evidence of every run: quarantine keeps them once
+            wanted = C.date_set(dates.select("market_date").where(F.col("market_date").isNotNull())
+                                .distinct().withColumn("_wanted", F.lit(True)))
+            of_run = F.col("_wanted") | F.col("market_date").isNull()
+            actual = actual.join(wanted, "market_date", "left").where(of_run).drop("_wanted")
+            forecast = forecast.join(wanted, "market_date", "left").where(of_run).drop("_wanted")
         v = validate_pair(actual, forecast, self.dom, options, as_of, persist=True)
         valid_a, valid_f, quarantine = materialize_all(v.valid_actual, v.valid_forecast, v.quarantine)
         v = Validation(v.labelled_actual, v.labelled_forecast, valid_a, valid_f, quarantine, v.completeness)
@@ -247,11 +255,13 @@ class Lakehouse:
         for table, valid, name in ((self.ACTUAL, v.valid_actual, D.ACTUAL_DATASET),
                                    (self.FORECAST, v.valid_forecast, D.FORECAST_DATASET)):
             affected = valid.select("market_date").unionByName(
-                q.where(F.col("dataset_name") == name).select("market_date")).distinct()
+                q.where(F.col("dataset_name") == name).select("market_date")) \
+                .where(F.col("market_date").isNotNull()).distinct()
             # delete the affected dates, then upsert the valid rows == make those dates hold them
             self.store.replace_partitions(table, valid, affected)
         if not q.isEmpty():
-            self.store.insert_only(self.QUARANTINE, q, list(D.QUARANTINE_KEYS))
+            # every rejected row is evidence: rows that share a key are all kept, a rerun adds none
+            self.store.insert_only(self.QUARANTINE, q, list(D.QUARANTINE_KEYS), keep_repeats=True)
 
     # -- gate + Gold --------------------------------------------------------------------
     def gate(self) -> int:

@@ -182,25 +182,38 @@ class TableStore:
         # partitions left with no rows must be dropped explicitly
         self._write(table, content, "overwrite")
         if affected is not None:
-            emptied = (affected.select(F.col(part)).where(F.col(part).isNotNull()).distinct()
-                       .join(content.select(part).distinct(), part, "left_anti"))
-            for row in emptied.toLocalIterator():  # affected partitions: one row per date
-                fs, p = self._fs(f"{self.path(table)}/{part}={row[0]}")
-                if fs.exists(p):
-                    fs.delete(p, True)
-
-    def insert_new(self, table: str, source: DataFrame, keys: Sequence[str]) -> tuple[dict, DataFrame]:
-        """Append the rows whose key is not yet in the table.
+            left = content.select(F.col(part).alias("_kept")).distinct()
+            was = affected.select(F.col(part)).distinct()
+            emptied = was.join(left, was[part].eqNullSafe(left["_kept"]), "left_anti")
+            self._drop_partitions(table, part, emptied)
+
+    def _drop_partitions(self, table: str, part: str, values: DataFrame) -> None:
+        """Remove the folders of partition values (one row per value), named as Spark names them."""
+        name = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        for row in values.select(F.col(part).cast("string")).toLocalIterator():
+            fs, p = self._fs(self.path(table))
+            folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, name.getPartitionPathString(part, row[0]))
+            if fs.exists(folder):
+                fs.delete(folder, True)
+
+    def insert_new(self, table: str, source: DataFrame, keys: Sequence[str],
+                   keep_repeats: bool = False) -> tuple[dict, DataFrame]:
+        """Append the rows whose key is not yet in the table (``keep_repeats``: all of them, also
+        where the source repeats a key).
 
         One aggregate both reduces repeats of a key inside the source (greatest row wins)
         and counts the rows seen; the new rows are written once to the checkpoint folder,
         then appended.  Returns the counts and the appended rows.
         """
-        row = F.struct(*[F.col(f"`{c}`") for c in source.columns])
-        reduced = materialize(source.groupBy(*keys).agg(F.max_by(row, row).alias("_r"),
-                                                        F.count(F.lit(1)).alias("_n")))
-        seen = reduced.agg(F.sum("_n")).first()[0] or 0
-        rows = reduced.select("_r.*")
+        if keep_repeats:
+            rows = materialize(source)
+            seen = rows.count()
+        else:
+            row = F.struct(*[F.col(f"`{c}`") for c in source.columns])
+            reduced = materialize(source.groupBy(*keys).agg(F.max_by(row, row).alias("_r"),
+                                                            F.count(F.lit(1)).alias("_n")))
+            seen = reduced.agg(F.sum("_n")).first()[0] or 0
+            rows = reduced.select("_r.*")
         if self.exists(table):
             tgt_keys = _renamed_keys(self.read(table), keys)
             rows = materialize(rows.join(tgt_keys, _key_match(rows, tgt_keys, keys), "left_anti"))
@@ -209,9 +222,9 @@ class TableStore:
             self._write(table, rows, "append" if self.exists(table) else "overwrite")
         return {"seen": int(seen), "inserted": int(inserted)}, rows
 
-    def insert_only(self, table: str, source: DataFrame, keys: Sequence[str]) -> dict:
+    def insert_only(self, table: str, source: DataFrame, keys: Sequence[str], keep_repeats: bool = False) -> dict:
         """Append unseen keys; returns rows seen and inserted."""
-        return self.insert_new(table, source, keys)[0]
+        return self.insert_new(table, source, keys, keep_repeats)[0]
 
     def upsert(self, table: str, source: DataFrame, keys: Sequence[str], check_unique: bool = True) -> None:
         if check_unique and duplicate_keys(source, keys).limit(1).count():
@@ -222,8 +235,12 @@ class TableStore:
         part = self.partitions.get(table)
         target = self.read(table)
         if part:
-            touched = source.select(part).distinct()
-            target = target.join(touched, part, "left_semi")
+            # the source's partitions and those that hold matched keys (a key may change partition)
+            keyed = _renamed_keys(source, keys)
+            held = target.join(keyed, _key_match(target, keyed, keys), "left_semi").select(part)
+            touched = materialize(source.select(part).unionByName(held).distinct())
+            same = touched.select(F.col(part).alias("_touched"))
+            target = target.join(same, target[part].eqNullSafe(same["_touched"]), "left_semi")
             self._replace(table, upsert(target, source, keys), touched)
         else:
             self._replace(table, upsert(target, source, keys), None)
@@ -236,14 +253,13 @@ class TableStore:
         target = self.read(table)
         if part == column:
             # whole partitions go: drop their directories, nothing is rewritten
-            for row in vals.toLocalIterator():
-                fs, p = self._fs(f"{self.path(table)}/{part}={row[0]}")
-                if fs.exists(p):
-                    fs.delete(p, True)
+            self._drop_partitions(table, part, vals)
             return
         if part:
-            touched = target.join(vals, column, "left_semi").select(part).distinct()
-            self._replace(table, delete_matching(target.join(touched, part, "left_semi"), vals, column), touched)
+            touched = materialize(target.join(vals, column, "left_semi").select(part).distinct())
+            same = touched.select(F.col(part).alias("_touched"))
+            target = target.join(same, target[part].eqNullSafe(same["_touched"]), "left_semi")
+            self._replace(table, delete_matching(target, vals, column), touched)
         else:
             self._replace(table, delete_matching(target, vals, column), None)
 

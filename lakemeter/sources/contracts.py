@@ -8,6 +8,8 @@ The raw JSON type of each value is read from a VARIANT, which (unlike a typed
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,26 +86,26 @@ def manifest_entries(manifests: DataFrame, payload_col: str = "raw_payload", kee
                         F.lower(F.col("_f.sha256")).alias("declared_sha256"))
 
 
-def canonical_checksum(payload: Column) -> Column:
-    """SHA-256 of compact JSON with sorted keys (VARIANT objects keep keys sorted)."""
-    return F.sha2(F.to_json(F.try_parse_json(payload)), 256)
-
-
-def landed_files(bronze: DataFrame, convention: str = "raw", payload_col: str = "raw_payload",
-                 file_col: str = "raw_file_name") -> DataFrame:
-    """Per landed file: base name, record count of ``data`` and checksum by convention."""
-    data = F.expr(f"try_variant_get(try_parse_json({payload_col}), '$.data', 'array<variant>')")
-    digest = checksum(payload_col) if convention == "raw" else canonical_checksum(F.col(payload_col))
+def landed_files(bronze: DataFrame, payload_col: str = "raw_payload", file_col: str = "raw_file_name") -> DataFrame:
+    """Per landed file: the date folder it lies in (NULL without one), base name, record count of
+    ``data`` and raw-byte checksum."""
+    data = F.expr(f"try_variant_get(try_parse_json(`{payload_col}`), '$.data', 'array<variant>')")
+    day = F.regexp_extract(F.col(file_col), r"/(\d{4}-\d{2}-\d{2})/", 1)
     return bronze.select(
+        F.when(day != "", day).alias("market_date"),
         F.regexp_extract(F.col(file_col), r"([^/]+)$", 1).alias("file_name"),
         F.coalesce(F.size(data), F.lit(0)).cast("bigint").alias("landed_rows"),
-        digest.alias("landed_sha256"),
+        checksum(payload_col).alias("landed_sha256"),
     )
 
 
-def reconcile(declared: DataFrame, landed: DataFrame, key: str = "file_name") -> DataFrame:
-    """Full outer comparison of what a manifest declares with what landed."""
-    j = declared.join(landed, key, "full")
+def reconcile(declared: DataFrame, landed: DataFrame, key: str | Sequence[str] = "file_name") -> DataFrame:
+    """Full outer comparison of what manifests declare with what landed.
+
+    Every day's pages have the same base names, so several days need the date in ``key``
+    (``["market_date", "file_name"]``)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    j = declared.join(landed.select(*keys, *[c for c in landed.columns if c not in declared.columns]), keys, "full")
     status = (F.when(F.col("declared_rows").isNull() & F.col("declared_sha256").isNull()
                      & F.col("landed_sha256").isNotNull(), "UNLISTED")
               .when(F.col("landed_sha256").isNull() & F.col("landed_rows").isNull(), "MISSING")

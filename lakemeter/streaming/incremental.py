@@ -52,15 +52,17 @@ def start_landing(house: Lakehouse, path: str, dataset: str, checkpoint: str,
         batch_id = f"{batch_prefix}{epoch_id:08d}"
         bronze = with_lineage(batch, source_name, dataset, batch_id)
         counts = house.ingest_frame(bronze, dataset)
-        if rebuild_silver and counts["inserted"] and house.store.exists(house.ACTUAL_RAW) \
-                and house.store.exists(house.FORECAST_RAW):
+        if rebuild_silver and house.store.exists(house.ACTUAL_RAW) and house.store.exists(house.FORECAST_RAW):
+            # by what Bronze holds of this batch, not by what this attempt inserted: a replay after
+            # a failure inserts nothing but still owes Silver (and Gold) its dates
             touched = house.batch_dates(dataset, batch_id)
-            house.build_silver(run_id=batch_id, dates=touched)
-            if rebuild_gold:
-                try:
-                    house.build_gold(dates=touched)
-                except BlockingFailure:
-                    pass  # Gold stays as it was; the failing outcome is in the quality table
+            if not touched.isEmpty():
+                house.build_silver(run_id=batch_id, dates=touched)
+                if rebuild_gold:
+                    try:
+                        house.build_gold(dates=touched)
+                    except BlockingFailure:
+                        pass  # Gold stays as it was; the failing outcome is in the quality table
         if on_batch:
             on_batch(epoch_id, counts)
 

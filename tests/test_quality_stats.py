@@ -68,3 +68,18 @@ def test_exact_percentiles_on_a_hot_group_and_null_group(spark):
     for gkey, expected in ref.items():
         got = [ours[gkey][n] for n in ("p05", "p50", "p95")]
         assert all(abs(x - y) < 1e-9 for x, y in zip(got, expected)), (gkey, got, expected)
+
+
+def test_exact_percentiles_do_not_need_exchange_reuse(spark):
+    from pyspark.sql import functions as F
+
+    from lakemeter.operators.stats import exact_percentiles
+    df = spark.range(200_000).select((F.col("id") % 3).alias("g"), F.rand(7).alias("v"))
+    df = df.withColumn("v", F.round("v", 9))
+    want = {r["g"]: r["m"] for r in df.groupBy("g").agg(F.percentile("v", F.lit(0.5)).alias("m")).collect()}
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = {r["g"]: r["p50"] for r in exact_percentiles(df, ["g"], "v", [0.5], slices=7).collect()}
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+    assert got.keys() == want.keys() and all(abs(got[g] - want[g]) < 1e-9 for g in want)

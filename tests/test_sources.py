@@ -82,12 +82,6 @@ def test_manifest_reconcile_both_layouts(spark):
                    "other.json": "MISSING", "extra.json": "UNLISTED"}
 
 
-def test_canonical_checksum_sorts_keys(spark):
-    df = spark.createDataFrame([('{"b": 1, "a": [1, 2]}',), ('{"a":[1,2],"b":1}',)], "p string")
-    c = [r[0] for r in df.select(contracts.canonical_checksum(F.col("p"))).collect()]
-    assert c[0] == c[1]
-
-
 def test_parallel_arrays_fuel_mix_and_snapshot(spark):
     w = {"hourly": {"time": ["2024-01-01T00:00", "2024-01-01T01:00"], "temperature_2m": [1.5, 2.5],
                     "relative_humidity_2m": [80.0]}}
@@ -108,3 +102,18 @@ def test_parallel_arrays_fuel_mix_and_snapshot(spark):
     s = parse_snapshot(spark.createDataFrame([(json.dumps(snap),)], "raw_payload string")).collect()
     assert [r.metric_value for r in s] == [87490.0, 30.92]
     assert str(s[0].observed_at_utc) == "2026-08-23 02:15:00"
+
+
+def test_reconcile_several_days_with_equal_page_names(spark):
+    import hashlib
+    body = '{"data": [{"x": 1}]}'
+    sha = hashlib.sha256(body.encode()).hexdigest()
+    days = ["2023-09-01", "2023-09-02", "2023-09-03", "2023-09-04"]
+    declared = spark.createDataFrame(
+        [(days[0], "p_0001.json", 1, sha), (days[1], "p_0001.json", 2, sha), (days[2], "p_0001.json", 1, "0" * 64), (days[2], "p_0002.json", 1, sha)],
+        "market_date string, file_name string, declared_rows long, declared_sha256 string")
+    bronze = spark.createDataFrame([(f"/land/{d}/p_0001.json", body) for d in days], "raw_file_name string, raw_payload string")
+    got = {(r["market_date"], r["file_name"]): r["status"]
+           for r in contracts.reconcile(declared, contracts.landed_files(bronze), ["market_date", "file_name"]).collect()}
+    assert got == {(days[0], "p_0001.json"): "OK", (days[1], "p_0001.json"): "ROW_COUNT_MISMATCH", (days[2], "p_0001.json"): "CHECKSUM_MISMATCH",
+                   (days[2], "p_0002.json"): "MISSING", (days[3], "p_0001.json"): "UNLISTED"}

@@ -46,3 +46,26 @@ def test_store_insert_only_counts(spark, scratch):
     assert store.read("bronze.raw").count() == 3
     store.overwrite("bronze.raw", _df(spark, [(9, D1, 9.0)]))
     assert [r.k for r in store.read("bronze.raw").collect()] == [9]
+
+
+def test_upsert_follows_keys_that_change_partition_and_null_partitions(spark, scratch):
+    from lakemeter.plans.tables import TableStore
+    store = TableStore(spark, scratch, {"silver.t": "p"})
+    make = lambda rows: spark.createDataFrame(rows, "k long, v string, p string")
+    read = lambda: sorted(((r["k"], r["v"], r["p"]) for r in store.read("silver.t").collect()), key=repr)
+    store.upsert("silver.t", make([(1, "a", "x"), (2, "b", "x"), (8, "n", None), (5, "c", "a:b")]), ["k"])
+    store.upsert("silver.t", make([(1, "A", "y"), (9, "m", None)]), ["k"])
+    assert read() == sorted([(1, "A", "y"), (2, "b", "x"), (8, "n", None), (9, "m", None), (5, "c", "a:b")], key=repr)
+    store.upsert("silver.t", make([(2, "B", "y")]), ["k"])
+    assert read() == sorted([(1, "A", "y"), (2, "B", "y"), (8, "n", None), (9, "m", None), (5, "c", "a:b")], key=repr)
+    store.delete_matching("silver.t", make([(0, "", "a:b")]), "p")
+    assert read() == sorted([(1, "A", "y"), (2, "B", "y"), (8, "n", None), (9, "m", None)], key=repr)
+
+
+def test_insert_only_may_keep_repeats(spark, scratch):
+    from lakemeter.plans.tables import TableStore
+    store = TableStore(spark, scratch)
+    rows = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k long, v string")
+    assert store.insert_only("silver.q", rows, ["k"], keep_repeats=True) == {"seen": 3, "inserted": 3}
+    assert store.insert_only("silver.q", rows, ["k"], keep_repeats=True) == {"seen": 3, "inserted": 0}
+    assert store.read("silver.q").count() == 3
