@@ -44,16 +44,16 @@ SHARD_WORDS = 4_000_000
 #: words of a training window, one window in so many, training windows that one task descends on,
 #: steps it takes at least if three walks give them, and the step sizes of the rounds of averaging
 WINDOW_WORDS = 24
-SAMPLE = 8
+SAMPLE = 16
 TASK_WINDOWS = 32_000
 STEPS = 1500
 RATES = (0.01, 0.003)
 #: units (frequent ids with a vector of their own), width, classes of each kind, ids in view
 UNITS = 4096
 WIDTH = 16
-KINDS = 24
-CONTEXT = 32
-STRIDE = 24
+KINDS = 20
+CONTEXT = 24
+STRIDE = 20
 COMPANY = 64
 IDS = 1 << 16
 END_WORD = np.uint64(0x0123456789ABCDEF)
@@ -560,26 +560,40 @@ def score_batches(batches: Iterator[pa.RecordBatch], model: Model, table: Table,
              pa.array([T.packed(x["key"]) + T.packed(x["word"]) for _, x in parts], pa.binary())], names=names)
 
 
-def rare_rows(scored: DataFrame, counts: DataFrame, tokens: int, distinct: int) -> DataFrame:
-    """(key, known, rest): what the words outside the table add to each document."""
-    def run(left, right):
+_REST = np.dtype([("key", np.int64), ("known", np.int64), ("rest", np.float64)])
+
+
+def rare_rows(scored: DataFrame, counts: DataFrame, tokens: int, distinct: int, buckets: int) -> DataFrame:
+    """(key, known, rest): what the words outside the table add to each document.
+
+    A shard of words packs its sums by bucket of documents; buckets add them up."""
+    def look_up(left, right):
         own = [np.frombuffer(x.as_py(), _COUNT) for x in right["words"]]
         own = own[0] if own else np.zeros(0, _COUNT)
-        if not left.num_rows:
-            return pa.table({"key": pa.array([], pa.int64()), "known": pa.array([], pa.int64()), "rest": pa.array([], pa.float64())})
         halves = [np.frombuffer(x.as_py(), np.int64).reshape(2, -1) for x in left["rare"]]
-        key = np.concatenate([x[0] for x in halves])
-        word = np.concatenate([x[1] for x in halves]).view(np.uint64)
+        key = np.concatenate([x[0] for x in halves]) if halves else np.zeros(0, np.int64)
+        word = (np.concatenate([x[1] for x in halves]) if halves else key).view(np.uint64)
         n = np.zeros(len(word), np.int64)
         if len(own):
             at = np.minimum(np.searchsorted(own["word"], word), len(own) - 1)
             n = np.where(own["word"][at] == word, own["n"][at], 0)
         unique, back = np.unique(key, return_inverse=True)
-        return pa.table({"key": pa.array(unique), "known": pa.array(np.bincount(back[n > 0], minlength=len(unique))),
-                         "rest": pa.array(np.bincount(back, weights=np.log10((n + 1) / (tokens + distinct + 1)), minlength=len(unique)), pa.float64())})
+        rows = np.zeros(len(unique), _REST)
+        rows["key"] = unique
+        rows["known"] = np.bincount(back[n > 0], minlength=len(unique))
+        rows["rest"] = np.bincount(back, weights=np.log10((n + 1) / (tokens + distinct + 1)), minlength=len(unique))
+        parts = _split(rows, T.mix(rows["key"].astype(np.uint64)) % np.uint64(buckets))
+        return pa.table({"bucket": pa.array([k for k, _ in parts], pa.int64()), "rows": pa.array([T.packed(x) for _, x in parts], pa.binary())})
+
+    def add(key, table):
+        rows = np.concatenate([np.frombuffer(x.as_py(), _REST) for x in table["rows"]])
+        unique, back = np.unique(rows["key"], return_inverse=True)
+        return pa.table({"key": pa.array(unique), "known": pa.array(np.bincount(back, weights=rows["known"], minlength=len(unique)).astype(np.int64)),
+                         "rest": pa.array(np.bincount(back, weights=rows["rest"], minlength=len(unique)), pa.float64())})
 
     left = scored.filter(F.col("shard").isNotNull()).select("shard", "rare").groupBy("shard")
-    return left.cogroup(counts.select("shard", "words").groupBy("shard")).applyInArrow(run, "key long, known long, rest double")
+    packed = left.cogroup(counts.select("shard", "words").groupBy("shard")).applyInArrow(look_up, "bucket long, rows binary")
+    return packed.groupBy("bucket").applyInArrow(add, "key long, known long, rest double")
 
 
 def score(docs: DataFrame, held_out: Column, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 50256) -> DataFrame:
@@ -599,7 +613,7 @@ def score(docs: DataFrame, held_out: Column, path: str, id_col: str = "doc_id",
         model = learn(scratch.save(windows.repartition(int(tasks))), count, path, end_id)
         table = Table.of(frequent_words(counts), model, tokens, distinct)
         scored = scratch.save(score_rows(rows, model, table, path, end_id, shards))
-        rare = rare_rows(scored, counts, tokens, distinct).groupBy("key").agg(F.sum("known").alias("known"), F.sum("rest").alias("rest"))
+        rare = rare_rows(scored, counts, tokens, distinct, max(8, total // (16 << 20) + 1))
         out = scored.filter(F.col("key").isNotNull()).join(rare, "key", "left")
         null_id = F.when(F.col("id") == T.NULL_ID, F.lit(None).cast("long")).otherwise(F.col("id"))
         return settle(out.select(
