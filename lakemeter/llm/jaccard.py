@@ -129,9 +129,9 @@ def slot_counts(profiled: DataFrame) -> np.ndarray:
 
 # -- groups of sets that share a listed shingle ------------------------------------------
 def shared_lists(docs: DataFrame, counts: np.ndarray, shards: int, id_col: str, text_col: str) -> DataFrame:
-    """(pivot, member, shared, shingle): for each group with two sets or more, its members under its
-    least set; ``shared`` counts the groups.  Shingles dealt over several shards keep their
-    members one by one (pivot null), to be grouped by a join-free aggregate."""
+    """(pivot, member, shingle): for each group with two sets or more, its members under its least
+    set, a row for each group they share.  Shingles dealt over several shards keep their members
+    one by one (pivot null), to be grouped by a join-free aggregate."""
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, None] = {}
         for block in T.blocks(batches):
@@ -180,25 +180,23 @@ def shared_lists(docs: DataFrame, counts: np.ndarray, shards: int, id_col: str,
         size = np.diff(np.append(at, len(alone)))
         pivot = np.repeat(alone["s"][at], size)
         shared = np.repeat(size, size) > 1
-        pairs, count = np.unique(np.rec.fromarrays([pivot[shared], alone["s"][shared]], names="p,m"), return_counts=True)
-        none = pa.nulls(len(many), pa.int64())
+        pivot, member = pivot[shared], alone["s"][shared]
         return pa.table({
-            "pivot": pa.chunked_array([pa.array(pairs["p"].view(np.int64)), none]),
-            "member": pa.chunked_array([pa.array(np.ascontiguousarray(pairs["m"]).view(np.int64)), pa.array(np.ascontiguousarray(many["s"]).view(np.int64))]),
-            "shared": pa.chunked_array([pa.array(count.astype(np.int64)), pa.array(np.ones(len(many), np.int64))]),
-            "shingle": pa.chunked_array([pa.nulls(len(pairs), pa.int64()), pa.array(np.ascontiguousarray(many["v"]).view(np.int64))])})
+            "pivot": pa.chunked_array([pa.array(pivot.view(np.int64)), pa.nulls(len(many), pa.int64())]),
+            "member": pa.chunked_array([pa.array(np.ascontiguousarray(member).view(np.int64)), pa.array(np.ascontiguousarray(many["s"]).view(np.int64))]),
+            "shingle": pa.chunked_array([pa.nulls(len(pivot), pa.int64()), pa.array(np.ascontiguousarray(many["v"]).view(np.int64))])})
 
     lists = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(listed, "shard long, rows binary")
-    return lists.groupBy("shard").applyInArrow(group, "pivot long, member long, shared long, shingle long")
+    return lists.groupBy("shard").applyInArrow(group, "pivot long, member long, shingle long")
 
 
 def regions(groups: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
     """(region, id, n): the members of each region that can link with something, by their class's least id."""
     dealt = groups.filter(F.col("pivot").isNull()).select("shingle", "member")
     heads = dealt.groupBy("shingle").agg(F.min("member").alias("pivot"), F.max("member").alias("last"))
-    dealt = dealt.join(heads.filter("pivot < last"), "shingle").select("pivot", "member", F.lit(1).cast("long").alias("shared"))
-    pairs = groups.filter(F.col("pivot").isNotNull()).select("pivot", "member", "shared").unionByName(dealt)
-    pairs = scratch.save(pairs.groupBy("pivot", "member").agg(F.sum("shared").alias("shared")))
+    dealt = dealt.join(heads.filter("pivot < last"), "shingle").select("pivot", "member")
+    pairs = groups.filter(F.col("pivot").isNotNull()).select("pivot", "member").unionByName(dealt)
+    pairs = scratch.save(pairs.groupBy("pivot", "member").agg(F.count(F.lit(1)).alias("shared")))
     totals = pairs.groupBy("member").agg(F.sum("shared").alias("shared"))
     n = F.col("n")
     # a linked set has at least 0.8 n shingles; both lists then share 1 + (0.8 n) // 20 at least
