@@ -30,29 +30,37 @@ def _regions(df: DataFrame, regions: Sequence[str] | None) -> DataFrame:
     return df.where(F.col("region").isin(list(regions))) if regions else df
 
 
-def actual_vs_forecast(fact: DataFrame, start=None, end=None) -> DataFrame:
-    return (_in_range(fact, start, end)
+def _selected(df: DataFrame, start, end, regions: Sequence[str] | None) -> DataFrame:
+    return _regions(_in_range(df, start, end), regions)
+
+
+def actual_vs_forecast(fact: DataFrame, start=None, end=None,
+                       regions: Sequence[str] | None = None) -> DataFrame:
+    return (_selected(fact, start, end, regions)
             .select("interval_start_utc", "region", "actual_load_mw", "forecast_load_mw")
             .orderBy("interval_start_utc", "region"))
 
 
-def error_trend(fact: DataFrame, start=None, end=None) -> DataFrame:
-    return (_in_range(fact, start, end)
+def error_trend(fact: DataFrame, start=None, end=None,
+                regions: Sequence[str] | None = None) -> DataFrame:
+    return (_selected(fact, start, end, regions)
             .select("interval_start_utc", "region", "forecast_error_mw", "absolute_percentage_error")
             .orderBy("interval_start_utc", "region"))
 
 
-def daily_peak(peak: DataFrame, start=None, end=None) -> DataFrame:
-    return (_in_range(peak, start, end)
+def daily_peak(peak: DataFrame, start=None, end=None,
+               regions: Sequence[str] | None = None) -> DataFrame:
+    return (_selected(peak, start, end, regions)
             .select("market_date", "region", "peak_demand_mw", "peak_interval_utc")
             .orderBy("market_date", "region"))
 
 
-def scorecard(performance: DataFrame, start=None, end=None, rank: bool = True) -> DataFrame:
+def scorecard(performance: DataFrame, start=None, end=None, rank: bool = True,
+              regions: Sequence[str] | None = None) -> DataFrame:
     """Unweighted average of the daily measures per region (RMSE = mean of daily RMSEs).
 
-    The rank window runs after aggregation, over one row per region."""
-    out = _in_range(performance, start, end).groupBy("region").agg(
+    The rank window runs after aggregation, over one row per region; it ranks the selected regions."""
+    out = _selected(performance, start, end, regions).groupBy("region").agg(
         F.avg("mae_mw").alias("mean_absolute_error_mw"),
         F.avg("mape_percent").alias("mean_absolute_percentage_error"),
         F.avg("rmse_mw").alias("root_mean_squared_error_mw"),
@@ -63,8 +71,9 @@ def scorecard(performance: DataFrame, start=None, end=None, rank: bool = True) -
     return out.orderBy(F.col("mean_absolute_error_mw").desc())
 
 
-def hour_profile(fact: DataFrame, start=None, end=None) -> DataFrame:
-    return (_in_range(fact, start, end).groupBy(F.col("hour").alias("market_hour"), "region")
+def hour_profile(fact: DataFrame, start=None, end=None,
+                 regions: Sequence[str] | None = None) -> DataFrame:
+    return (_selected(fact, start, end, regions).groupBy(F.col("hour").alias("market_hour"), "region")
             .agg(F.avg("actual_load_mw").alias("average_load_mw"),
                  F.max("actual_load_mw").alias("maximum_load_mw"))
             .orderBy("market_hour", "region"))
@@ -77,17 +86,19 @@ def quality_status(results: DataFrame) -> DataFrame:
             .orderBy(F.col("is_blocking").desc(), F.col("status").desc(), "dataset_name", "rule_name"))
 
 
-def freshness(silver_actual: DataFrame, as_of=None, time_col: str = "interval_start_utc") -> DataFrame:
+def freshness(silver_actual: DataFrame, as_of=None, time_col: str = "interval_start_utc",
+              regions: Sequence[str] | None = None) -> DataFrame:
     """Newest accepted measurement and its age in whole hours."""
-    return silver_actual.agg(F.max(time_col).alias("latest_measurement_utc")).select(
+    return _regions(silver_actual, regions).agg(F.max(time_col).alias("latest_measurement_utc")).select(
         "latest_measurement_utc",
         hours_between(F.col("latest_measurement_utc"), utc_now(as_of)).alias("age_hours"))
 
 
-def weather_vs_demand(fact: DataFrame, weather: DataFrame, time_col: str = "interval_start_utc") -> DataFrame:
-    """Hourly demand next to hourly weather, joined on the interval start."""
+def weather_vs_demand(fact: DataFrame, weather: DataFrame, time_col: str = "interval_start_utc",
+                      start=None, end=None, regions: Sequence[str] | None = None) -> DataFrame:
+    """Hourly demand next to hourly weather, joined on the interval start; range and regions select facts."""
     w = weather.select(time_col, "temperature_2m_c", "relative_humidity_percent")
-    return (fact.select(time_col, "actual_load_mw").join(w, time_col, "inner")
+    return (_selected(fact, start, end, regions).select(time_col, "actual_load_mw").join(w, time_col, "inner")
             .groupBy(floor_hours(time_col, 1).alias("interval_hour"))
             .agg(F.avg("actual_load_mw").alias("demand_mw"),
                  F.avg("temperature_2m_c").alias("temperature_c"),
@@ -126,7 +137,7 @@ def kpis(fact: DataFrame, peak: DataFrame, performance: DataFrame, quarantine: D
              "quarantined_rows": F.lit(None).cast("bigint")}
 
     def part(df: DataFrame, name: str, measure) -> DataFrame:
-        one = _regions(_in_range(df, start, end), regions).agg(measure.alias(name))
+        one = _selected(df, start, end, regions).agg(measure.alias(name))
         return one.select(*[F.col(name) if k == name else v.alias(k) for k, v in blank.items()])
 
     stacked = (part(fact, "latest_measurement_utc", F.max("interval_start_utc"))

@@ -30,6 +30,28 @@ def test_price_distribution_sketch_is_close(spark):
     assert abs(exact.p50 - approx.p50) <= 2.0 and exact.max_value == approx.max_value
 
 
+def test_reports_of_selected_regions(spark):
+    t0, day = dt.datetime(2024, 1, 1, 5), dt.date(2024, 1, 1)
+    fact = spark.createDataFrame(
+        [(t0, day, 0, r, 100.0 * i, 90.0, -10.0, 10.0) for i, r in enumerate("ABC", 1)],
+        "interval_start_utc timestamp_ntz, market_date date, hour int, region string, actual_load_mw double, "
+        "forecast_load_mw double, forecast_error_mw double, absolute_percentage_error double")
+    daily = spark.createDataFrame(
+        [(day, r, 1.0 * i, t0, 5.0 * i, 1.0, 6.0) for i, r in enumerate("ABC", 1)],
+        "market_date date, region string, peak_demand_mw double, peak_interval_utc timestamp_ntz, "
+        "mae_mw double, mape_percent double, rmse_mw double")
+    for report, source in ((reports.actual_vs_forecast, fact), (reports.error_trend, fact),
+                           (reports.hour_profile, fact), (reports.daily_peak, daily), (reports.scorecard, daily)):
+        assert {r.region for r in report(source, regions=["A", "C"]).collect()} == {"A", "C"}
+        assert {r.region for r in report(source).collect()} == {"A", "B", "C"}
+        assert not report(source, "2024-01-02", "2024-01-03", regions=["A"]).collect()
+    assert {r.region: r.performance_rank for r in reports.scorecard(daily, regions=["A", "B"]).collect()} == {"A": 2, "B": 1}
+    weather = spark.createDataFrame([(t0, -3.0, 80.0)], "interval_start_utc timestamp_ntz, temperature_2m_c double, "
+                                                        "relative_humidity_percent double")
+    assert reports.weather_vs_demand(fact, weather, regions=["A", "C"]).first().demand_mw == 200.0
+    assert reports.freshness(fact, as_of="2024-01-01 08:59:00", regions=["X"]).first().latest_measurement_utc is None
+
+
 def test_ensure_layers(spark, scratch):
     import os
 
