@@ -10,7 +10,7 @@ word's training frequency among the words whose first id has that class.
 
 Learning covers all training documents:
 * counts of every word, in shards by word hash (the base model and the table are read off them);
-* one word window in ``SAMPLE`` of every document, by hash, as training text: counts of ids and of
+* all word windows of every document as training text: counts of ids and of
   their company (summed over all tasks), classes by k-means on the company, and the attention
   weights, by local gradient descent in every task and averaging, once for each of ``RATES``.
 
@@ -41,19 +41,18 @@ from lakemeter.session import Scratch, settle
 
 TABLE_WORDS = 1 << 17
 SHARD_WORDS = 4_000_000
-#: words of a training window, one window in so many, training windows that one task descends on,
+#: words of a training window, training windows that one task descends on,
 #: steps it takes at least if three walks give them, and the step sizes of the rounds of averaging
 WINDOW_WORDS = 24
-SAMPLE = 16
 TASK_WINDOWS = 32_000
 STEPS = 1500
 RATES = (0.01, 0.003)
 #: units (frequent ids with a vector of their own), width, classes of each kind, ids in view
 UNITS = 4096
 WIDTH = 16
-KINDS = 20
-CONTEXT = 24
-STRIDE = 20
+KINDS = 24
+CONTEXT = 32
+STRIDE = 24
 COMPANY = 64
 IDS = 1 << 16
 END_WORD = np.uint64(0x0123456789ABCDEF)
@@ -155,12 +154,11 @@ def gather_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int, sh
         if n > 2_000_000:
             yield flush()
             held, n = [], 0
-        # windows of words, chosen by document and place
+        # windows of words, all of them
         place = np.arange(len(w.hash)) - w.bounds[w.doc]
         lead = np.flatnonzero(place % WINDOW_WORDS == 0)
-        chosen = T.mix(block.ids[w.doc[lead]].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + place[lead].astype(np.uint64)) % np.uint64(SAMPLE) == 0
         out = []
-        for i in lead[chosen].tolist():
+        for i in lead.tolist():
             last = w.bounds[w.doc[i] + 1]
             if place[i] == 0:
                 out.append(np.array([end_id], np.uint16))
@@ -609,7 +607,7 @@ def score(docs: DataFrame, held_out: Column, path: str, id_col: str = "doc_id",
         tokens, distinct = stats["n"] or 0, stats["v"] or 0
         count = T.table_sum(gathered.filter(F.col("slice").isNotNull()).select("slice", "part", "counts"), IDS)
         windows = gathered.filter(F.col("windows").isNotNull()).select("windows")
-        tasks = max(1, tokens // SAMPLE // WINDOW_WORDS // TASK_WINDOWS)
+        tasks = max(1, tokens // WINDOW_WORDS // TASK_WINDOWS)
         model = learn(scratch.save(windows.repartition(int(tasks))), count, path, end_id)
         table = Table.of(frequent_words(counts), model, tokens, distinct)
         scored = scratch.save(score_rows(rows, model, table, path, end_id, shards))

@@ -7,10 +7,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lakemeter.llm import ann, exact_topk, lm, mixing, toxicity
+from lakemeter.llm import ann, bpe, exact_topk, lm, mixing, toxicity
 from lakemeter.llm.queries import QUERIES, RANKS
 from lakemeter.llm.texts import crc_mod
 from tests.llm.conftest import SF, frame, texts
@@ -173,6 +174,20 @@ def test_lm_scores(docs, no_docs):
     assert all(r["base_score"] == 0 and r["n_known"] == 0 for r in alone)
 
 
+def lm_training_text(rows):
+    """Ids (``0xFFFF`` between) that ``gather`` takes as training text from rows of (id, text)."""
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([t for _, t in rows], pa.string())], names=["doc_id", "text"])
+    parts = [np.frombuffer(x, np.uint16) for b in lm.gather_batches(iter([batch]), RANKS, 50256, 8) for x in b["windows"].to_pylist() if x is not None]
+    return np.concatenate(parts)
+
+
+def test_lm_learns_from_every_document():
+    """Each document's text is in the training text, whatever its id and length."""
+    rows = [(None, f"alone{i} word") for i in range(40)] + [(7, " ".join(f"w{j}x{i}" for j in range(60))) for i in range(5)]
+    text = "".join(bpe.Decoder.load(RANKS).token.get(i, b"").decode() for i in lm_training_text(rows).tolist() if i < 50256)
+    assert {w for _, t in rows for w in t.split()} <= set(text.split())
+
+
 def test_lm_gradients():
     r = np.random.default_rng(0)
     p = {k: v.astype(np.float64) for k, v in lm.initial(12, 6).items()}
