@@ -10,7 +10,7 @@ word's training frequency among the words whose first id has that class.
 
 Learning covers all training documents:
 * counts of every word, in shards by word hash (the base model and the table are read off them);
-* all word windows of every document as training text: counts of ids and of
+* all ids of every document as training text, cut as for scoring: counts of ids and of
   their company (summed over all tasks), classes by k-means on the company, and the attention
   weights, by local gradient descent in every task and averaging, once for each of ``RATES``.
 
@@ -41,9 +41,10 @@ from lakemeter.session import Scratch, settle
 
 TABLE_WORDS = 1 << 17
 SHARD_WORDS = 4_000_000
-#: words of a training window, training windows that one task descends on,
+#: training windows of a segment, ids of a row of segments, training windows that one task descends on,
 #: steps it takes at least if three walks give them, and the step sizes of the rounds of averaging
-WINDOW_WORDS = 24
+SEGMENT = 256
+ROW_IDS = 1 << 16
 TASK_WINDOWS = 32_000
 STEPS = 1500
 RATES = (0.01, 0.003)
@@ -119,8 +120,8 @@ _COUNT = np.dtype([("word", np.uint64), ("n", np.int64), ("first", np.int64)])
 
 
 def gather(docs: DataFrame, path: str, end_id: int, shards: int) -> DataFrame:
-    """Rows with a shard: counts of a task's words; with windows: training windows (ids, ``0xFFFF``
-    between); with a slice: counts of the ids of all words."""
+    """Rows with a shard: counts of a task's words; with windows: ``segments`` of training text;
+    with a slice: counts of the ids of all words."""
     return docs.mapInArrow(lambda batches: gather_batches(batches, path, end_id, shards), _GATHERED)
 
 
@@ -154,23 +155,47 @@ def gather_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int, sh
         if n > 2_000_000:
             yield flush()
             held, n = [], 0
-        # windows of words, all of them
-        place = np.arange(len(w.hash)) - w.bounds[w.doc]
-        lead = np.flatnonzero(place % WINDOW_WORDS == 0)
-        out = []
-        for i in lead.tolist():
-            last = w.bounds[w.doc[i] + 1]
-            if place[i] == 0:
-                out.append(np.array([end_id], np.uint16))
-            out.append(ids[upto[i]:upto[min(i + WINDOW_WORDS, last)]])
-            out.append(np.array([end_id, 0xFFFF] if i + WINDOW_WORDS >= last else [0xFFFF], np.uint16))
-        if out:
-            yield _row_batch(1, windows=pa.array([T.packed(np.concatenate(out))], pa.binary()))
+        for part in segments(ids, upto[w.bounds], end_id):
+            yield _row_batch(1, windows=pa.array([T.packed(part)], pa.binary()))
     yield flush()
     table = T.table_rows(id_counts)
     yield _row_batch(table.num_rows, slice=table["slice"], part=table["part"], counts=table["counts"])
 
 
+_MORE, _STOP = 0xFFFE, 0xFFFF
+
+
+def segments(ids: np.ndarray, bounds: np.ndarray, end_id: int) -> Iterator[np.ndarray]:
+    """Training text of documents (``bounds``) in parts of about ``ROW_IDS`` ids, ``_STOP`` after each
+    segment.  A document is an end, its ids and an end; a long one goes on in segments that begin with
+    ``_MORE`` and the last ids before: enough for each window that scoring would see."""
+    size = np.diff(bounds) + 2
+    text = np.full(int(size.sum()), end_id, np.uint16)
+    first = np.cumsum(size) - size
+    text[np.arange(len(ids)) + 2 * np.repeat(np.arange(len(size)), size - 2) + 1] = ids
+    count = -(-_windows(size - 1) // SEGMENT)
+    doc = np.repeat(np.arange(len(size)), count)
+    nth = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+    begin = nth * (SEGMENT * STRIDE)
+    length = np.minimum(size[doc] - begin, SEGMENT * STRIDE + CONTEXT - STRIDE + 1)
+    begin, more = begin + first[doc], nth > 0
+    row = np.cumsum(length) // ROW_IDS
+    edges = [0, *(np.flatnonzero(np.diff(row)) + 1).tolist(), len(row)]
+    for a, b in zip(edges, edges[1:]):
+        long, mark = length[a:b], more[a:b].astype(np.int64)
+        place = np.cumsum(long + mark + 1) - (long + 1)
+        out = np.full(int((long + mark + 1).sum()), _STOP, np.uint16)
+        out[place[mark > 0] - 1] = _MORE
+        step = np.arange(long.sum()) - np.repeat(np.cumsum(long) - long, long)
+        out[np.repeat(place, long) + step] = text[np.repeat(begin[a:b], long) + step]
+        yield out
+
+
+def _windows(size: np.ndarray) -> np.ndarray:
+    """Overlapping windows in a document of so many inputs: the first gives all its ids, later ones their last ``STRIDE``."""
+    return np.where(size > 0, 1 + np.maximum(0, -(-(size - CONTEXT) // STRIDE)), 0)
+
+
 def _added(rows: np.ndarray) -> np.ndarray:
     """Counts of equal words added."""
     rows = rows[np.argsort(rows["word"], kind="stable")]
@@ -312,14 +337,20 @@ def gradients(p: dict[str, np.ndarray], u: np.ndarray, target: np.ndarray, weigh
 
 
 def train_windows(ids: np.ndarray, model: Model, end_id: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Inputs, next classes and weights of the windows in a flat list of ids (``0xFFFF`` between)."""
-    ends = np.flatnonzero(ids == 0xFFFF)
+    """Inputs, next classes and weights of the overlapping windows in ``segments``: each id after a
+    document's first end has weight 1 once."""
+    ends = np.flatnonzero(ids == _STOP)
     starts = np.concatenate([[0], ends[:-1] + 1])
-    keep = ends - starts >= 2
-    starts, size = starts[keep], np.minimum((ends - starts)[keep], CONTEXT + 1)
-    at = starts[:, None] + np.minimum(np.arange(CONTEXT + 1), (size - 1)[:, None])
-    x = ids[at]
-    weight = (np.arange(1, CONTEXT + 1) < size[:, None]).astype(np.float32)
+    more = ids[starts] == _MORE
+    starts = starts + more
+    count = _windows(ends - starts - 1)
+    own = np.repeat(np.arange(len(starts)), count)
+    nth = np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)
+    begin, last = starts[own] + nth * STRIDE, ends[own] - 1
+    spot = begin[:, None] + np.arange(CONTEXT + 1)
+    x = ids[np.minimum(spot, last[:, None])]
+    new = ((nth == 0) & ~more[own])[:, None] | (np.arange(CONTEXT) >= CONTEXT - STRIDE)
+    weight = ((spot[:, 1:] <= last[:, None]) & new).astype(np.float32)
     return model.unit[x[:, :-1]], model.kind[x[:, 1:]], weight
 
 
@@ -398,9 +429,14 @@ def learn(windows: DataFrame, count: np.ndarray, path: str, end_id: int) -> Mode
     unit[order] = np.arange(len(order)) + 2
 
     def company(ids: np.ndarray) -> np.ndarray:
-        window = np.cumsum(ids == 0xFFFF)
-        real = ids != 0xFFFF
-        window, u = window[real], unit[ids[real]]
+        ends = np.flatnonzero(ids == _STOP)
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        starts = starts + np.where(ids[starts] == _MORE, CONTEXT - STRIDE + 2, 0)  # ids that the segment before holds
+        size = ends - starts
+        step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        # each id once, in windows of CONTEXT ids
+        u = unit[ids[np.repeat(starts, size) + step]]
+        window = np.cumsum(step % CONTEXT == 0) - 1
         near = np.zeros((int(window[-1]) + 1 if len(window) else 1, COMPANY), np.float32)
         np.add.at(near, (window, u % COMPANY), 1)
         out = np.zeros((UNITS, COMPANY), np.float64)
@@ -457,8 +493,7 @@ def id_scores(model: Model, t: dict[str, np.ndarray], ids: np.ndarray, bounds: n
     source[1:] = ids[:-1]
     source[bounds[:-1][size > 0]] = end_id
     units, kinds = model.unit[source], model.kind[ids]
-    count = 1 + np.maximum(0, -(-(size - CONTEXT) // STRIDE))
-    count[size == 0] = 0
+    count = _windows(size)
     doc = np.repeat(np.arange(len(size)), count)
     nth = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
     begin = bounds[doc] + nth * STRIDE
@@ -607,8 +642,8 @@ def score(docs: DataFrame, held_out: Column, path: str, id_col: str = "doc_id",
         tokens, distinct = stats["n"] or 0, stats["v"] or 0
         count = T.table_sum(gathered.filter(F.col("slice").isNotNull()).select("slice", "part", "counts"), IDS)
         windows = gathered.filter(F.col("windows").isNotNull()).select("windows")
-        tasks = max(1, tokens // WINDOW_WORDS // TASK_WINDOWS)
-        model = learn(scratch.save(windows.repartition(int(tasks))), count, path, end_id)
+        tasks = max(1, int(count.sum()) // STRIDE // TASK_WINDOWS)
+        model = learn(scratch.save(windows.repartition(tasks)), count, path, end_id)
         table = Table.of(frequent_words(counts), model, tokens, distinct)
         scored = scratch.save(score_rows(rows, model, table, path, end_id, shards))
         rare = rare_rows(scored, counts, tokens, distinct, max(8, total // (16 << 20) + 1))

@@ -188,6 +188,20 @@ def test_lm_learns_from_every_document():
     assert {w for _, t in rows for w in t.split()} <= set(text.split())
 
 
+def test_lm_learns_each_id_once(monkeypatch):
+    """Every id of a document and its end are targets once, after the id before them, however long its words are."""
+    monkeypatch.setattr(lm, "SEGMENT", 3, raising=False)
+    rows = [(1, "q7" * 400), (2, " ".join("internationalization" * 3 for _ in range(30))), (3, "a b"), (4, ""), (5, None)]
+    model = lm.Model(np.arange(lm.IDS), np.arange(lm.IDS), None, 1, {})
+    u, target, weight = lm.train_windows(lm_training_text(rows), model, 50256)
+    vocabulary = bpe.Vocabulary.load(RANKS, r"\S+")
+    want = Counter()
+    for _, t in rows:
+        own = [i for w in (t or "").split() for i in np.frombuffer(vocabulary.pieces_of([b" " + w.encode()])[0], "<u4").tolist()]
+        want.update(zip([50256, *own], [*own, 50256]))
+    assert Counter(zip(u[weight > 0].tolist(), target[weight > 0].tolist())) == want
+
+
 def test_lm_gradients():
     r = np.random.default_rng(0)
     p = {k: v.astype(np.float64) for k, v in lm.initial(12, 6).items()}
