@@ -97,6 +97,13 @@ def top(ids: np.ndarray, x: np.ndarray, dist: np.ndarray, norm2: np.ndarray, que
     return best_ids, best_scores
 
 
+def pivot_rows(rows: DataFrame) -> DataFrame:
+    """``PIVOTS`` rows by hash of the id, one of each id and dimension (its least vector): a repeated
+    row is one candidate, so it counts once in the k-th best score among the pivots."""
+    chosen = rows.select("id", "dim").distinct().orderBy(F.xxhash64("id"), "id", "dim").limit(PIVOTS)
+    return rows.join(F.broadcast(chosen), ["id", "dim"]).groupBy("id", "dim").agg(F.min("vec").alias("vec"))
+
+
 def search(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
            scale: float = 256.0) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` greatest inner products of each query's row.
@@ -104,7 +111,7 @@ def search(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id",
     ``is_query`` is a condition on ``id``."""
     rows = whole_numbers(V.usable(df, id_col, vec_col), scale)
     queries = rows.filter(is_query).groupBy("id").agg(F.min("vec").alias("vec")).withColumn("dim", F.size("vec"))
-    pivots = Pivots(rows.orderBy(F.xxhash64("id"), "id", "vec").limit(PIVOTS).collect())  # PIVOTS rows at most
+    pivots = Pivots(pivot_rows(rows).collect())  # PIVOTS rows at most
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

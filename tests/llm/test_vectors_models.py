@@ -64,6 +64,14 @@ def test_exact_topk(table, workers, monkeypatch):
     assert exact_topk.search(table.limit(0), F.col("id") % 50 == 0).count() == 0
 
 
+def test_exact_topk_with_many_copies_of_the_best_pivot(workers):
+    """Copies of one row are one candidate: they must not raise the score that others have to reach."""
+    rows = [(1, [100.0, 0.0])] * 70 + [(50, [1.0, 0.0])] + [(i, [float(i), 1.0]) for i in range(2, 12)]
+    table = workers.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in exact_topk.search(table, F.col("id") == 50).collect())
+    assert got == [(50, 1, 1), (50, 2, 11), (50, 3, 10), (50, 4, 9), (50, 5, 8)]
+
+
 def test_ann_is_exact(table, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK", 16)
     rows, queries = usable(False)
