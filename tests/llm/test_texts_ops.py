@@ -184,6 +184,18 @@ def test_licenses(workers, no_docs):
     assert licenses.scan(no_docs).count() == 0
 
 
+def test_license_scan_finds_every_notice(workers):
+    """Repeated notices, several licenses in a text, and whole license texts."""
+    from tests.llm.conftest import frame
+    mit, t = "Released under the MIT License", licenses.TEMPLATES
+    rows = [(1, f"alpha beta gamma {mit} delta {mit} epsilon"), (2, f"{mit} {mit} {mit}"), (3, " code of the file ".join([t["MIT-notice"]] * 3)),
+            (4, f"{mit} and parts {t['Apache-2.0']}"), (5, "Copyright " + t["BSD-3-Clause"]), (6, t["ISC"]), (7, t["Unlicense"]), (8, t["MIT-text"] * 2)]
+    got = {r["doc_id"]: [x["license"] for x in r["notices"]] for r in licenses.scan(frame(workers, rows)).collect()}
+    assert got == {1: ["MIT"] * 2, 2: ["MIT"] * 3, 3: ["MIT-notice"] * 3, 4: ["MIT", "Apache-2.0"], 5: ["BSD-3-Clause"], 6: ["ISC"],
+                   7: ["Unlicense"], 8: ["MIT-text"] * 2}
+    assert {r["doc_id"]: (r["first_word"], r["end_word"]) for r in licenses.scan(frame(workers, rows[:1])).collect()} == {1: (3, 8)}
+
+
 def test_license_scan_loses_nothing_to_its_windows():
     """Against aligning every template with every stretch of the text."""
     import random
