@@ -3,7 +3,7 @@
 1. Targets.  Sources in code-point order (null last) take ``WEIGHTS`` in turn and share the size of
    all documents by weight; a source stops at ``MOST`` times its own size and its excess goes to
    the others by weight (one sorted pass over the table of sources).
-2. Draws.  A 60-bit hash of the id permutes a source's documents.  The mix takes every document
+2. Draws.  A 60-bit hash of (id, text, number among equal rows) permutes a source's documents.  The mix takes every document
    ``floor(target / source size)`` times and, for the rest, the documents whose hash lies below
    the source's threshold.  The threshold is found on a tree of ``FAN`` hash blocks a node, only
    the block that holds it being opened at each level; the last block, of a bounded number of
@@ -12,14 +12,14 @@
    among the output shards: a node splits its exact quotas between its two children by
    multivariate-hypergeometric draws, down to one shard.  A source's drawn blocks, in an order
    permuted by hash, go to the shards in runs of those quotas, so draws are disjoint; rows of a
-   shard are shuffled by a hash of (id, copy).
+   shard are shuffled by a hash of (row hash, copy).
 
 The only single-task steps are over the table of sources and the tree's nodes.  Nothing random is
 drawn: all choices are hashes, so reruns agree.
 
 Cases: null text has size 0; the null source is a source of its own; a document of size 0 is taken
-like others but adds no words; rows that repeat a document id are documents of their own, in equal
-positions of the order; no rows or only empty texts: targets 0.
+like others but adds no words; rows that share an id, or have none, are documents of their own, each
+with its own place in the order; no rows or only empty texts: targets 0.
 """
 
 from __future__ import annotations
@@ -161,13 +161,37 @@ def splitting_tree(quotas: DataFrame, shards: int = SHARDS) -> DataFrame:
     return nodes.select("shard", "counts")
 
 
+def _equal_rows(id_col: str, text_col: str, source_col: str) -> Column:
+    """A hash that rows of equal id, text and source share."""
+    return F.xxhash64(*[x for c in (id_col, text_col, source_col) for x in (F.col(c).isNull(), F.col(c))])
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` (key, part, row: fixed values) with ``nth``, a number from 0 among the rows of a key.
+
+    A key's rows are numbered part by part, so a key of many rows is not sorted in one task."""
+    counts = rows.groupBy(F.col("key").alias("_k"), F.col("part").alias("_p")).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("_k").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0))).filter("_before > 0").drop("n")
+    inside = F.row_number().over(Window.partitionBy("key", "part").orderBy("row")) - 1
+    out = rows.withColumn("nth", inside).join(counts, (F.col("key") == F.col("_k")) & (F.col("part") == F.col("_p")), "left")
+    return out.withColumn("nth", F.col("nth") + F.coalesce("_before", F.lit(0))).drop("_k", "_p", "_before")
+
+
 def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
              shards: int = SHARDS) -> DataFrame:
     """(id, source, size, source_size, target, copies, shards): how often each document is taken and
     the output shard of each copy."""
-    sizes = materialize(docs.select(
+    rows = materialize(docs.select(
         F.col(id_col).alias("_id"), F.col(source_col).alias("source"), count_words(text_col).alias("size"),
-        F.shiftrightunsigned(F.xxhash64(F.col(id_col)), 64 - BITS).alias("hash")))
+        _equal_rows(id_col, text_col, source_col).alias("key"), F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row")))
+    return _plan(rows, shards).select(F.col("_id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "copies", "shards")
+
+
+def _plan(rows: DataFrame, shards: int) -> DataFrame:
+    """``rows`` (_id, source, size, key, part, row) with ``hash``, ``source_size``, ``target``, ``copies`` and ``shards``."""
+    sizes = materialize(numbered(rows).withColumn("hash", F.shiftrightunsigned(F.xxhash64("key", "nth"), 64 - BITS))
+                        .select("_id", "source", "size", "row", "hash"))
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("documents"))
     plan = materialize(thresholds(sizes, targets(sources)))
     # drawn blocks: every block once for each whole pass, and those at or below the threshold once more
@@ -197,19 +221,20 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     copies = F.col("whole") + F.when(extra & (F.col("whole") < MOST), 1).otherwise(0)
     out = sizes.join(plan, _same("source", "_s")).withColumn("copies", copies)
     of_doc = F.element_at("blocks", F.shiftright("hash", BITS - FAN_BITS).cast("int"))
-    return out.select(F.col("_id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "copies",
+    return out.select("_id", "source", "size", "row", "hash", "source_size", "target", "copies",
                       F.coalesce(F.slice(of_doc, F.lit(1), F.col("copies")), F.array().cast("array<int>")).alias("shards"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         shards: int = SHARDS) -> DataFrame:
     """The mixed rows: each document of ``docs``, all columns, once for each copy, with ``_mix_shard`` and
-    ``_mix_position`` (the order inside the shard).  Rows that repeat an id get the id's copies each."""
-    plan = plan_mix(docs, id_col, text_col, source_col, shards).filter("copies > 0")
-    plan = plan.groupBy(F.col(id_col).alias("_id"), F.col(source_col).alias("_src")).agg(F.max("shards").alias("_shards"))
-    rows = docs.join(plan, F.col(id_col).eqNullSafe(F.col("_id")) & F.col(source_col).eqNullSafe(F.col("_src")))
-    rows = rows.select(*[docs[c] for c in docs.columns], F.posexplode("_shards").alias("_mix_copy", "_mix_shard"))
-    return rows.withColumn("_mix_position", F.xxhash64(F.col(id_col), "_mix_copy")).drop("_mix_copy")
+    ``_mix_position`` (the order inside the shard)."""
+    fixed = materialize(docs.withColumn("_mix_part", F.spark_partition_id()).withColumn("_mix_row", F.monotonically_increasing_id()))
+    rows = fixed.select(F.col(id_col).alias("_id"), F.col(source_col).alias("source"), count_words(text_col).alias("size"),
+                        _equal_rows(id_col, text_col, source_col).alias("key"), F.col("_mix_part").alias("part"), F.col("_mix_row").alias("row"))
+    plan = _plan(rows, shards).filter("copies > 0").select(F.col("row").alias("_mix_row"), F.col("hash").alias("_mix_hash"), F.col("shards").alias("_mix_shards"))
+    out = fixed.join(plan, "_mix_row").select(*docs.columns, "_mix_hash", F.posexplode("_mix_shards").alias("_mix_copy", "_mix_shard"))
+    return out.withColumn("_mix_position", F.xxhash64("_mix_hash", "_mix_copy")).drop("_mix_copy", "_mix_hash")
 
 
 def report(plan: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -122,6 +122,21 @@ def test_mixing_targets_and_draws(docs, no_docs):
     assert len(mixed) == sum(r["copies"] for r in got if r["doc_id"] not in (7, 8)) + len([r for r in mixed if r["doc_id"] in (7, 8)])
 
 
+def test_mixing_splits_rows_that_share_an_id(workers):
+    """Rows without an id, or with one id, are drawn one by one, also where their texts are equal."""
+    rows = [(None, "one two three", "a")] * 500 + [(7, f"word{i} more", "b") for i in range(300)] + [(i, "a b c d", "c") for i in range(700)]
+    docs = workers.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = mixing.plan_mix(docs).collect()
+    assert len(got) == len(rows)
+    taken, target = Counter(), {r["source"]: r["target"] for r in got}
+    for r in got:
+        taken[r["source"]] += r["copies"] * r["size"]
+    assert all(abs(taken[s] - target[s]) <= 4 for s in target), (taken, target)
+    again = mixing.plan_mix(docs.repartition(7)).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, again))
+    assert Counter(r["source"] for r in mixing.mix(docs).collect()) == Counter(s for r in got for s in [r["source"]] * r["copies"])
+
+
 def test_splitting_tree_keeps_exact_quotas(workers):
     quotas = workers.createDataFrame([([193, 7, 0, 64, 1],)], "counts array<int>")
     parts = mixing.splitting_tree(quotas, 5).collect()
