@@ -432,10 +432,16 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without near duplicates: of each component the document of the smallest id stays, and
-    of rows that repeat an id the one of least text (then least other columns).  Sets that are
-    empty link with nothing, so texts without words stay."""
-    joined = join(docs, id_col, text_col)
-    stay = joined.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(T.id_key(id_col).alias("_jaccard_key")).distinct()
-    rows = docs.withColumn("_jaccard_key", T.id_key(id_col)).join(stay, "_jaccard_key")
-    order = Window.partitionBy("_jaccard_key").orderBy(text_col, *[c for c in docs.columns if c not in (id_col, text_col)])
-    return rows.withColumn("_jaccard_nth", F.row_number().over(order)).filter("_jaccard_nth = 1").select(*docs.columns)
+    of rows that repeat an id the one of least text with words (then least other columns).  A row
+    without an id is a document by its text, after all ids.  Sets that are empty link with nothing,
+    so texts without words stay, and every one of those without an id."""
+    words = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    by_text = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(text_col), 2)
+    keyed = docs.withColumn("_jaccard_words", words).withColumn("_jaccard_key", F.coalesce(F.col(id_col).cast("long"), by_text))
+    bare = F.col(id_col).isNull() & ~F.col("_jaccard_words")
+    joined = join(keyed.filter(~bare), "_jaccard_key", text_col)
+    stay = joined.filter(F.col("_jaccard_key") == F.col("component_id")).select("_jaccard_key", (F.col("n_shingles") > 0).alias("_jaccard_words")).distinct()
+    rows = keyed.filter(~bare).join(stay, ["_jaccard_key", "_jaccard_words"])
+    order = Window.partitionBy("_jaccard_key").orderBy(F.col("_jaccard_words").desc(), text_col, *[c for c in docs.columns if c not in (id_col, text_col)])
+    kept = rows.withColumn("_jaccard_nth", F.row_number().over(order)).filter("_jaccard_nth = 1").select(*docs.columns)
+    return kept.unionByName(keyed.filter(bare).select(*docs.columns))

@@ -173,6 +173,15 @@ def test_jaccard_keeps_one_of_each_group(docs):
     assert Counter(got) == Counter(want) and kept.columns == docs.columns
 
 
+def test_jaccard_keeps_rows_without_an_id(workers):
+    """Rows without an id are one document only if their texts are alike; a real text stays before an empty one."""
+    from tests.llm.conftest import frame
+    long = lambda c: " ".join(f"{c}{i}" for i in range(30))
+    rows = [(None, long("a")), (None, long("b")), (None, long("b")), (1, long("a") + " more"), (None, None), (None, " "), (2, None), (2, long("c"))]
+    got = Counter((r["doc_id"], r["text"]) for r in jaccard.keep_one(frame(workers, rows)).collect())
+    assert got == Counter([(None, long("b")), (1, long("a") + " more"), (None, None), (None, " "), (2, long("c"))])
+
+
 def test_licenses(workers, no_docs):
     from tests.llm.conftest import frame
     filler = "lorem of the dolor and under version " * 40
