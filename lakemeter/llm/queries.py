@@ -11,11 +11,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemeter.llm import ann, bpe, debruijn, exact_topk, jaccard, licenses, lm, mixing, suffix, toxicity
+from lakemeter.llm import ann, bpe, debruijn, dialogue, exact_topk, jaccard, licenses, lm, mixing, spelling, suffix, toxicity, word_bpe
 from lakemeter.llm.texts import crc_mod, table
 
 ROOT = str(Path(__file__).resolve().parents[2])
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+WORD_ENDS = public_tokenizers.path("word_bpe_49k.json")
 
 
 def importable(spark: SparkSession) -> None:
@@ -80,9 +81,22 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (crc_mod("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(word_bpe.encode(table(spark, sf_dir, "documents"), WORD_ENDS, decoded=True))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.report(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: _ready(q) for q in (
     op1_bpe, op2_exact_topk, op3_suffix_dedup, op4_debruijn_dedup, op5_ann,
     op6_toxicity, op7_mixing, op8_license_scan, op9_jaccard_join, op10_lm_scoring,
+    op11_word_bpe, op12_spelling_variants, op13_conversation_repair,
 )}
 
 SQL: dict[str, str] = {}
