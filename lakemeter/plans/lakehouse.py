@@ -141,6 +141,8 @@ class Lakehouse:
 
     ACTUAL_RAW = D.table_name("bronze", "actual_load_raw")
     FORECAST_RAW = D.table_name("bronze", "load_forecast_raw")
+    ACTUAL_FILE_DATES = D.table_name("bronze", "actual_load_file_dates")
+    FORECAST_FILE_DATES = D.table_name("bronze", "load_forecast_file_dates")
     ACTUAL = D.table_name("silver", "actual_load_hourly")
     FORECAST = D.table_name("silver", "load_forecast_hourly")
     QUARANTINE = D.table_name("silver", "quarantined_records")
@@ -154,16 +156,15 @@ class Lakehouse:
 
     @staticmethod
     def partitioning() -> dict[str, str]:
-        return {Lakehouse.ACTUAL: "market_date", Lakehouse.FORECAST: "market_date",
+        return {Lakehouse.ACTUAL_RAW: "landing_date", Lakehouse.FORECAST_RAW: "landing_date",
+                Lakehouse.ACTUAL_FILE_DATES: "market_date", Lakehouse.FORECAST_FILE_DATES: "market_date",
+                Lakehouse.ACTUAL: "market_date", Lakehouse.FORECAST: "market_date",
                 Lakehouse.FACT: "market_date"}
 
     @classmethod
     def at(cls, spark: SparkSession, root: str, dom: MarketDomain = MarketDomain()) -> Lakehouse:
         return cls(TableStore(spark, root, cls.partitioning()), dom)
 
-    ACTUAL_FILE_DATES = D.table_name("bronze", "actual_load_file_dates")
-    FORECAST_FILE_DATES = D.table_name("bronze", "load_forecast_file_dates")
-
     def _raw(self, dataset: str) -> tuple[str, str]:
         if dataset == D.ACTUAL_DATASET:
             return self.ACTUAL_RAW, self.ACTUAL_FILE_DATES
@@ -176,40 +177,37 @@ class Lakehouse:
         return self.ingest_frame(frame, dataset)
 
     def ingest_frame(self, bronze: DataFrame, dataset: str) -> dict:
-        """Insert-only on the checksum, then index the market dates of all files that Bronze
-        holds and the index does not (also those of an attempt that failed in between)."""
+        """Insert-only on the checksum into Bronze, partitioned by landing date.
+
+        The index (market date -> files and their landing dates) is written before the rows: an attempt that
+        fails in between leaves entries without rows, which select nothing, and its replay adds its own."""
         table, index = self._raw(dataset)
-        counts, _ = self.store.insert_new(table, bronze, ["record_checksum"])
-        landed = self.store.read(table)
-        keys = landed.select("record_checksum").distinct()
-        if self.store.exists(index):
-            keys = keys.join(self.store.read(index).select("record_checksum").distinct(), "record_checksum", "left_anti")
-        keys = materialize(keys)
-        if not keys.isEmpty():
-            schema = D.actual_payload_schema() if dataset == D.ACTUAL_DATASET else D.forecast_payload_schema()
-            unindexed = landed.join(keys, "record_checksum", "left_semi")
-            self.store.insert_only(index, record_dates(unindexed, schema), ["record_checksum", "market_date"])
-        return counts
+        schema = D.actual_payload_schema() if dataset == D.ACTUAL_DATASET else D.forecast_payload_schema()
+        landed = bronze.withColumn("landing_date", F.col("ingestion_timestamp_utc").cast("date"))
+        return self.store.insert_only(table, landed, ["record_checksum"], before=lambda rows: self.store.append(
+            index, record_dates(rows, schema, keep=("record_checksum", "landing_date", "batch_id"))))
 
     def bronze_for_dates(self, dataset: str, dates: DataFrame) -> DataFrame:
         """Bronze rows of the files holding any of ``dates`` (a file with a NULL date, i.e.
-        unparsable, is included whenever it exists, so its evidence is never lost)."""
+        unparsable, is included whenever it exists, so its evidence is never lost).
+
+        The index gives the landing dates of those files; only these partitions of Bronze are read.  Both
+        lists hold calendar dates, so they are as small as ``completeness.date_set``."""
         table, index = self._raw(dataset)
         bronze = self.store.read(table)
         if not self.store.exists(index):
             return bronze
-        wanted = dates.select("market_date").where(F.col("market_date").isNotNull()).distinct()
-        idx = self.store.read(index)
-        files = (idx.join(C.date_set(wanted), "market_date", "left_semi")
-                 .unionByName(idx.where(F.col("market_date").isNull()))
-                 .select("record_checksum").distinct())
-        return bronze.join(files, "record_checksum", "left_semi")
+        wanted = [r[0] for r in dates.select("market_date").where(F.col("market_date").isNotNull()).distinct().collect()]
+        day = F.col("market_date")
+        files = self.store.read(index).where(day.isin(wanted) | day.isNull() if wanted else day.isNull())
+        landed = [r[0] for r in files.select("landing_date").distinct().collect()]
+        return (bronze.where(F.col("landing_date").isin(landed) if landed else F.lit(False))
+                .join(files.select("record_checksum").distinct(), "record_checksum", "left_semi"))
 
     def batch_dates(self, dataset: str, batch_id: str) -> DataFrame:
         """Market dates touched by the files of one Bronze batch."""
-        table, index = self._raw(dataset)
-        files = self.store.read(table).where(F.col("batch_id") == batch_id).select("record_checksum")
-        return self.store.read(index).join(files, "record_checksum", "left_semi").select("market_date").distinct()
+        index = self.store.read(self._raw(dataset)[1])
+        return index.where(F.col("batch_id") == batch_id).select("market_date").distinct()
 
     # -- Silver -------------------------------------------------------------------------
     def build_silver(self, run_id: str, as_of=None, options: RuleOptions = RuleOptions(),

@@ -1,28 +1,30 @@
-"""Keyed writes as pure DataFrame functions, and a parquet table store that applies them.
+"""Keyed writes as pure DataFrame functions, and catalog tables that they are applied to.
 
 ``insert_only``, ``upsert`` and ``delete_matching`` take (target, source) frames and return
 the new table content; keys match null-safely (``<=>``), which Catalyst plans as an
 ordinary hash/sort-merge equi-join.
 
-``TableStore`` keeps each table as a parquet directory.  Partitioned tables are rewritten
-only in the partitions a write touches (dynamic partition overwrite); the new content of
-those partitions is first checkpointed to the shared checkpoint folder, so the overwrite
-never reads the files it replaces and a lost executor recomputes from the checkpoint.
-Insert-only writes are plain appends.  One writer per table at a time.
+``TableStore`` keeps managed parquet tables in the session's catalog, which holds their schemas and
+partitions: a write touches only the partitions it must (dynamic partition overwrite), partitions
+left without rows are dropped by ``ALTER TABLE``, and an unpartitioned table is replaced by writing its
+successor beside it and renaming, so readers find the old table or the new one.  New partition content is written to the
+shared checkpoint folder first: the overwrite never reads what it replaces, and a lost executor recomputes
+from there.  Insert-only writes are plain appends.  One writer per table at a time.
 """
 
 from __future__ import annotations
 
-import json
-from urllib.parse import urlparse
-from collections.abc import Sequence
+import hashlib
+import uuid
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
+from lakemeter.domain import LAYERS
 from lakemeter.operators.dedup import latest_rows
-from lakemeter.session import materialize
+from lakemeter.session import Scratch, checkpoint_dir
 
 
 def _key_match(left: DataFrame, right: DataFrame, keys: Sequence[str]):
@@ -78,194 +80,196 @@ class DuplicateKeyError(ValueError):
 
 
 class TableStore:
-    """Parquet tables under ``root`` named ``layer.table`` -> ``root/layer/table``."""
+    """Managed tables named ``layer.table``: database ``<prefix>_<layer>`` at ``root/layer``.
 
-    def __init__(self, spark: SparkSession, root: str, partitions: dict[str, str] | None = None):
+    The catalog is the session's; several applications share tables where it is persistent (a metastore).
+    ``partitions`` names the partition column of each partitioned table; NULL is a partition of its own (and,
+    as in every such table, the empty string is NULL)."""
+
+    #: partitions dropped by one statement
+    DROPPED = 200
+
+    def __init__(self, spark: SparkSession, root: str, partitions: dict[str, str] | None = None, prefix: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.partitions = dict(partitions or {})
-
-    # -- paths and existence ------------------------------------------------------------
-    def path(self, table: str) -> str:
+        self.prefix = prefix or "lakemeter_" + hashlib.md5(self.root.encode()).hexdigest()[:12]
+        self._layers: set[str] = set()
+
+    # -- names and existence ------------------------------------------------------------
+    def _database(self, layer: str) -> str:
+        if layer not in self._layers:
+            location = f"{self.root}/{layer}".replace("\\", "\\\\").replace("'", "\\'")
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.prefix}_{layer}` LOCATION '{location}'")
+            self._layers.add(layer)
+        return f"{self.prefix}_{layer}"
+
+    def name(self, table: str, suffix: str = "") -> str:
         layer, name = table.split(".", 1)
-        return f"{self.root}/{layer}/{name}"
-
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return fs, hpath
-
-    def _schema_file(self, table: str) -> str:
-        # leading "_": ignored by the parquet reader
-        return f"{self.path(table)}/_lakemeter_schema.json"
+        return f"`{self._database(layer)}`.`{name}{suffix}`"
 
     def exists(self, table: str) -> bool:
-        """A table exists once a write committed (the schema file is written after commit)."""
-        fs, p = self._fs(self._schema_file(table))
-        return bool(fs.exists(p))
-
-    def schema(self, table: str) -> StructType:
-        fs, p = self._fs(self._schema_file(table))
-        stream = fs.open(p)
-        try:
-            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return StructType.fromJson(json.loads(text))
-
-    def _has_data(self, table: str) -> bool:
-        fs, p = self._fs(self.path(table))
-        return fs.exists(p) and any(not st.getPath().getName().startswith((".", "_"))
-                                    for st in fs.listStatus(p))
+        """A table exists once a write has committed.  A swap that was cut short is finished here."""
+        if self.spark.catalog.tableExists(self.name(table)):
+            return True
+        layer, name = table.split(".", 1)
+        ready = self.spark.sql(f"SHOW TABLES IN `{self._database(layer)}` LIKE '{name}__next*'").collect()
+        if not ready:
+            return False
+        self.spark.sql(f"ALTER TABLE `{self._database(layer)}`.`{ready[0]['tableName']}` RENAME TO {self.name(table)}")
+        return True
 
     def read(self, table: str) -> DataFrame:
-        """The table with its recorded schema (no inference); empty when every partition
-        has been deleted."""
-        schema = self.schema(table)
-        if not self._has_data(table):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.path(table))
-
-    def ensure_layers(self) -> None:
-        for layer in ("bronze", "silver", "gold", "ops"):
-            fs, p = self._fs(f"{self.root}/{layer}")
-            fs.mkdirs(p)
+        """The table as the catalog describes it; empty when every partition has been dropped."""
+        self.exists(table)
+        return self.spark.table(self.name(table))
+
+    def ensure_layers(self, layers: Sequence[str] = LAYERS) -> None:
+        for layer in layers:
+            self._database(layer)
+
+    def drop(self) -> None:
+        """Drop all tables of the store."""
+        for layer in sorted(self._layers):
+            self.spark.sql(f"DROP DATABASE IF EXISTS `{self.prefix}_{layer}` CASCADE")
+        self._layers.clear()
 
     # -- writes -----------------------------------------------------------------------
-    def _write(self, table: str, df: DataFrame, mode: str, overwrite: str = "dynamic") -> None:
-        writer = df.write.mode(mode)
+    def _laid_out(self, table: str, df: DataFrame) -> DataFrame:
+        """Rows of one partition value together, so that it gets few files; adaptive execution cuts a value
+        that holds much and joins those that hold little."""
         part = self.partitions.get(table)
-        if part:
-            writer = writer.partitionBy(part).option("partitionOverwriteMode", overwrite)
-        writer.parquet(self.path(table))
-        if mode == "overwrite" or not self.exists(table):
-            fs, p = self._fs(self._schema_file(table))
-            out = fs.create(p, True)
-            try:
-                out.write(bytearray(df.schema.json().encode("utf-8")))
-            finally:
-                out.close()
-
-    def _reads(self, table: str, df: DataFrame) -> bool:
-        """Does ``df`` read files of ``table``?  Only then must its lineage be cut before the
-        table is overwritten."""
-        if not self.exists(table):
-            return False
-        fs, p = self._fs(self.path(table))
-        root = urlparse(fs.makeQualified(p).toString())
-        prefix = root.path.rstrip("/") + "/"
-        for f in df.inputFiles():
-            u = urlparse(f)
-            if (u.scheme or "file") == (root.scheme or "file") and u.netloc == root.netloc \
-                    and u.path.startswith(prefix):
-                return True
-        return False
+        return df.hint("rebalance", F.col(f"`{part}`")) if part else df
 
-    def overwrite(self, table: str, df: DataFrame) -> None:
-        """Replace the whole table (every partition) with ``df``."""
-        if self._reads(table, df):
-            df = materialize(df)
-        self._write(table, df, "overwrite", overwrite="static")
+    def _into(self, table: str, df: DataFrame, mode: str) -> None:
+        columns = self.spark.table(self.name(table)).columns  # the catalog puts the partition column last
+        writer = self._laid_out(table, df.select(*[F.col(f"`{c}`") for c in columns])).write.mode(mode)
+        writer.option("partitionOverwriteMode", "dynamic").insertInto(self.name(table))
 
-    def _replace(self, table: str, content: DataFrame, affected: DataFrame | None) -> None:
-        """Rewrite the table, or only the affected partitions of a partitioned table."""
+    def overwrite(self, table: str, df: DataFrame) -> None:
+        """Make the whole table hold ``df`` (which may read the table): a partitioned table partition by
+        partition, another by a successor that is written beside it and then renamed."""
+        part = self.partitions.get(table)
+        if part:
+            if self.exists(table):
+                self._replace(table, df, self.read(table).select(part))
+            else:  # the definition first: an attempt that fails leaves an empty table, not a folder without one
+                df.limit(0).write.format("parquet").partitionBy(part).saveAsTable(self.name(table))
+                self._into(table, df, "append")
+            return
+        staged, old = (self.name(table, f"__{x}{uuid.uuid4().hex[:8]}") for x in ("next", "old"))
+        there = self.exists(table)
+        df.write.format("parquet").saveAsTable(staged)
+        if there:
+            self.spark.sql(f"ALTER TABLE {self.name(table)} RENAME TO {old}")
+        self.spark.sql(f"ALTER TABLE {staged} RENAME TO {self.name(table)}")
+        if there:
+            self.spark.sql(f"DROP TABLE {old}")
+
+    def append(self, table: str, df: DataFrame) -> None:
+        if self.exists(table):
+            self._into(table, df, "append")
+        else:
+            self.overwrite(table, df)
+
+    def _drop_partitions(self, table: str, values: DataFrame) -> None:
+        """Drop the partitions of the given values (one row a value, sent in bounded statements)."""
+        part = self.partitions[table]
+        rows = values.select(F.col(f"`{part}`").cast("string")).distinct().toLocalIterator()
+        specs = ["null" if r[0] is None else "'" + r[0].replace("\\", "\\\\").replace("'", "\\'") + "'" for r in rows]
+        for at in range(0, len(specs), self.DROPPED):
+            some = ", ".join(f"PARTITION (`{part}` = {x})" for x in specs[at:at + self.DROPPED])
+            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {some}")
+
+    def _replace(self, table: str, content: DataFrame, affected: DataFrame | None = None) -> None:
+        """Make the table, or only the affected partitions of a partitioned one, hold ``content``."""
         part = self.partitions.get(table)
-        if self._reads(table, content) or (affected is not None and self._reads(table, affected)):
-            content = materialize(content)
-            if affected is not None:
-                affected = materialize(affected.select(part)) if part else affected
         if not part:
-            self._write(table, content, "overwrite")
+            self.overwrite(table, content)
             return
-        # dynamic overwrite replaces the partitions present in ``content``; affected
-        # partitions left with no rows must be dropped explicitly
-        self._write(table, content, "overwrite")
-        if affected is not None:
-            left = content.select(F.col(part).alias("_kept")).distinct()
-            was = affected.select(F.col(part)).distinct()
-            emptied = was.join(left, was[part].eqNullSafe(left["_kept"]), "left_anti")
-            self._drop_partitions(table, part, emptied)
-
-    def _drop_partitions(self, table: str, part: str, values: DataFrame) -> None:
-        """Remove the folders of partition values (one row per value), named as Spark names them."""
-        name = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-        for row in values.select(F.col(part).cast("string")).toLocalIterator():
-            fs, p = self._fs(self.path(table))
-            folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, name.getPartitionPathString(part, row[0]))
-            if fs.exists(folder):
-                fs.delete(folder, True)
-
-    def insert_new(self, table: str, source: DataFrame, keys: Sequence[str],
-                   keep_repeats: bool = False) -> tuple[dict, DataFrame]:
-        """Append the rows whose key is not yet in the table (``keep_repeats``: all of them, also
-        where the source repeats a key).
-
-        One aggregate both reduces repeats of a key inside the source (greatest row wins)
-        and counts the rows seen; the new rows are written once to the checkpoint folder,
-        then appended.  Returns the counts and the appended rows.
-        """
-        if keep_repeats:
-            rows = materialize(source)
+        with Scratch(self.spark) as scratch:
+            content, affected = scratch.save(content), scratch.save(affected.select(part).distinct())
+            # the overwrite replaces the partitions that ``content`` has; the others of ``affected`` go
+            kept = content.select(F.col(part).alias("_kept")).distinct()
+            emptied = scratch.save(affected.join(kept, affected[part].eqNullSafe(kept["_kept"]), "left_anti"))
+            self._into(table, content, "overwrite")
+            self._drop_partitions(table, emptied)
+
+    def insert_only(self, table: str, source: DataFrame, keys: Sequence[str], keep_repeats: bool = False,
+                    before: Callable[[DataFrame], None] | None = None) -> dict:
+        """Append the rows whose key is not yet in the table; returns the rows seen and inserted.
+
+        A key repeated inside the source is reduced to its greatest row (``keep_repeats``: all its rows are
+        appended); whole rows are shuffled for that only where some key is repeated.  ``before`` gets the
+        new rows ahead of the append: what it writes is there before the rows are."""
+        with Scratch(self.spark) as scratch:
+            rows = scratch.save(source)
             seen = rows.count()
-        else:
-            row = F.struct(*[F.col(f"`{c}`") for c in source.columns])
-            reduced = materialize(source.groupBy(*keys).agg(F.max_by(row, row).alias("_r"),
-                                                            F.count(F.lit(1)).alias("_n")))
-            seen = reduced.agg(F.sum("_n")).first()[0] or 0
-            rows = reduced.select("_r.*")
-        if self.exists(table):
-            tgt_keys = _renamed_keys(self.read(table), keys)
-            rows = materialize(rows.join(tgt_keys, _key_match(rows, tgt_keys, keys), "left_anti"))
-        inserted = rows.count()
-        if inserted or not self.exists(table):
-            self._write(table, rows, "append" if self.exists(table) else "overwrite")
-        return {"seen": int(seen), "inserted": int(inserted)}, rows
-
-    def insert_only(self, table: str, source: DataFrame, keys: Sequence[str], keep_repeats: bool = False) -> dict:
-        """Append unseen keys; returns rows seen and inserted."""
-        return self.insert_new(table, source, keys, keep_repeats)[0]
+            fresh = rows
+            if self.exists(table):
+                held = _renamed_keys(self.read(table), keys)
+                fresh = fresh.join(held, _key_match(fresh, held, keys), "left_anti")
+            if not keep_repeats and not duplicate_keys(rows, keys).isEmpty():
+                fresh = unique_per_key(fresh, keys)
+            fresh = scratch.save(fresh)
+            inserted = fresh.count()
+            if inserted and before:
+                before(fresh)
+            if inserted or not self.exists(table):
+                self.append(table, fresh)
+        return {"seen": int(seen), "inserted": int(inserted)}
 
     def upsert(self, table: str, source: DataFrame, keys: Sequence[str], check_unique: bool = True) -> None:
-        if check_unique and duplicate_keys(source, keys).limit(1).count():
+        if check_unique and not duplicate_keys(source, keys).isEmpty():
             raise DuplicateKeyError(f"source for {table} repeats a key of {list(keys)}")
         if not self.exists(table):
-            self._write(table, source, "overwrite")
+            self.overwrite(table, source)
             return
         part = self.partitions.get(table)
         target = self.read(table)
-        if part:
+        if not part:
+            self._replace(table, upsert(target, source, keys), None)
+            return
+        with Scratch(self.spark) as scratch:
             # the source's partitions and those that hold matched keys (a key may change partition)
             keyed = _renamed_keys(source, keys)
             held = target.join(keyed, _key_match(target, keyed, keys), "left_semi").select(part)
-            touched = materialize(source.select(part).unionByName(held).distinct())
+            touched = scratch.save(source.select(part).unionByName(held).distinct())
             same = touched.select(F.col(part).alias("_touched"))
             target = target.join(same, target[part].eqNullSafe(same["_touched"]), "left_semi")
             self._replace(table, upsert(target, source, keys), touched)
-        else:
-            self._replace(table, upsert(target, source, keys), None)
 
     def delete_matching(self, table: str, values: DataFrame, column: str) -> None:
         if not self.exists(table):
             return
         vals = values.select(column).where(F.col(column).isNotNull()).distinct()
         part = self.partitions.get(table)
-        target = self.read(table)
         if part == column:
-            # whole partitions go: drop their directories, nothing is rewritten
-            self._drop_partitions(table, part, vals)
+            self._drop_partitions(table, vals)  # whole partitions go, nothing is rewritten
             return
-        if part:
-            touched = materialize(target.join(vals, column, "left_semi").select(part).distinct())
+        target = self.read(table)
+        if not part:
+            self._replace(table, delete_matching(target, vals, column), None)
+            return
+        with Scratch(self.spark) as scratch:
+            touched = scratch.save(target.join(vals, column, "left_semi").select(part).distinct())
             same = touched.select(F.col(part).alias("_touched"))
             target = target.join(same, target[part].eqNullSafe(same["_touched"]), "left_semi")
             self._replace(table, delete_matching(target, vals, column), touched)
-        else:
-            self._replace(table, delete_matching(target, vals, column), None)
 
     def replace_partitions(self, table: str, content: DataFrame, affected: DataFrame) -> None:
         """Make the ``affected`` partitions hold exactly ``content`` (delete, then upsert in one write)."""
-        if not self.exists(table):
-            self._write(table, content, "overwrite")
-            return
-        self._replace(table, content, affected)
+        if self.exists(table):
+            self._replace(table, content, affected)
+        else:
+            self.overwrite(table, content)
+
+
+@contextmanager
+def scratch_store(spark: SparkSession, partitions: dict[str, str] | None = None) -> Iterator[TableStore]:
+    """A store under the shared checkpoint folder, dropped at the end: ``settle`` what is to outlive it."""
+    store = TableStore(spark, f"{checkpoint_dir(spark).rstrip('/')}/lakemeter-store-{uuid.uuid4().hex}", partitions)
+    try:
+        yield store
+    finally:
+        store.drop()

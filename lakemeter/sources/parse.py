@@ -26,11 +26,11 @@ def explode_records(bronze: DataFrame, schema: StructType, array_field: str = "d
     return bronze.select(*keep, F.posexplode_outer(parsed[array_field]).alias("record_index", "r"))
 
 
-def record_dates(bronze: DataFrame, schema: StructType, key: str = "record_checksum") -> DataFrame:
-    """Distinct (file key, market date) pairs of a payload table; a file whose records have
-    no parsable start contributes a NULL date."""
-    return (explode_records(bronze, schema, keep=(key,))
-            .select(key, parse_local_timestamp("r.timeInterval.start").cast("date").alias("market_date"))
+def record_dates(bronze: DataFrame, schema: StructType, keep: Sequence[str] = ("record_checksum",)) -> DataFrame:
+    """Distinct (file, market date) pairs of a payload table, the file by the columns of ``keep``; a file
+    whose records have no parsable start contributes a NULL date."""
+    return (explode_records(bronze, schema, keep=keep)
+            .select(*keep, parse_local_timestamp("r.timeInterval.start").cast("date").alias("market_date"))
             .distinct())
 
 
