@@ -8,8 +8,8 @@ neighbouring pairs in a priority queue: the least rank (leftmost first) is taken
 has changed since is stale and skipped, and a merge queues the two pairs that it makes: O(n log n) for
 n bytes, whatever their length.  Decoding joins the vocabulary strings of the ids.
 
-No step of this kind of file looks across white space, so chunks are encoded apart and remembered in
-each worker up to ``CACHE_ENTRIES``; the memory is emptied when full.
+No step of this kind of file looks across white space, so chunks are encoded apart, and a bounded number of
+them is remembered in each worker.
 
 Cases: null or empty text, or one without any match -> no ids and an empty decoded text; the string of an
 added token inside a text becomes its id; ids outside the vocabulary raise ``KeyError`` in ``decode``;
@@ -21,7 +21,9 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
@@ -32,8 +34,9 @@ from pyspark.sql import functions as F
 
 from lakemeter.llm.texts import release
 
-#: chunks and matches remembered in each worker, up to ``CACHE_BYTES`` each
-CACHE_ENTRIES = 200_000
+#: chunks and matches remembered in each worker (two generations of each), up to ``CACHE_BYTES`` each
+CACHED_CHUNKS = 400_000
+CACHED_WORDS = 200_000
 CACHE_BYTES = 64
 #: texts encoded at a time
 ROWS = 256
@@ -51,16 +54,22 @@ def byte_symbols() -> list[str]:
 
 
 class _Memory(dict):
-    """Results by key; a missing one is made by ``make`` and kept if its key is short."""
+    """Results by key; a missing one is made by ``make`` and kept if its key is short.
 
-    def __init__(self, make):
+    Two generations of up to ``size`` entries: when the younger is full it becomes the elder, and what is
+    asked for again moves back, so frequent keys outlive rare ones."""
+
+    def __init__(self, make, size: int):
         super().__init__()
-        self.make = make
+        self.make, self.size, self.elder = make, size, {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.elder.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) <= CACHE_BYTES:
-            if len(self) >= CACHE_ENTRIES:
+            if len(self) >= self.size:
+                self.elder = dict(self)
                 self.clear()
             self[key] = value
         return value
@@ -88,17 +97,23 @@ class Tokenizer:
         self.added = {x["content"]: x["id"] for x in file["added_tokens"]}
         self.token.update((i, x.encode()) for x, i in self.added.items())
         self.find_added = re.compile("|".join(re.escape(x) for x in sorted(self.added, key=len, reverse=True)) or r"(?!)")
-        self.pattern = regex.compile(pre[0]["pattern"]["Regex"])
-        self.classes = re.findall(r"\\p\{\w+\}", pre[0]["pattern"]["Regex"])
-        self.pairs: dict[int, int] = {}
+        pattern = pre[0]["pattern"]["Regex"]
+        self.pattern = regex.compile(pattern)
+        self.classes = re.findall(r"\\p\{\w+\}", pattern)
+        # the same pattern for lower-case ASCII text; a chunk of letters alone is one match of it
+        for kind, plain in ((r"\p{L}", "a-z"), (r"\p{N}", "0-9"), (r"\s", r" \t\n\r\f\v")):
+            pattern = pattern.replace(kind, plain)
+        self.ascii_pattern = re.compile(pattern) if "\\p" not in pattern else None
+        self.letters_are_one = self.ascii_pattern is not None and self.ascii_pattern.findall("abcdefghijklmnopqrstuvwxyz") == ["abcdefghijklmnopqrstuvwxyz"]
+        self.pairs: dict[tuple[int, int], int] = {}
         self.made: list[int] = []
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.pairs[vocab[a] << 32 | vocab[b]] = rank
+            self.pairs[vocab[a], vocab[b]] = rank
             self.made.append(vocab[a + b])
         self.unlike: dict[int, int | str] | None = None
-        self.chunks = _Memory(self._chunk)
-        self.words = _Memory(self._word)
+        self.chunks = _Memory(self._chunk, CACHED_CHUNKS)
+        self.words = _Memory(self._word, CACHED_WORDS)
 
     @classmethod
     def load(cls, path: str) -> "Tokenizer":
@@ -116,6 +131,8 @@ class Tokenizer:
         return b" ".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
     def _chunk(self, chunk: bytes) -> bytes:
+        if self.letters_are_one and chunk.isalpha():  # ASCII letters only
+            return self.words[chunk.lower()]
         text = chunk.decode("utf-8", "surrogatepass")
         out, at = [], 0
         for found in self.find_added.finditer(text):
@@ -126,14 +143,17 @@ class Tokenizer:
         return b"".join(out)
 
     def _matches(self, text: str) -> list[bytes]:
+        words = self.words
+        if text.isascii() and self.ascii_pattern:
+            return [words[x.encode()] for x in self.ascii_pattern.findall(text.lower())]
         if not _PLAIN.search(text):
             # lower case character by character: the end of a word has no rule of its own
-            text = text.lower() if text.isascii() else "".join(map(str.lower, unicodedata.normalize("NFC", text)))
+            text = "".join(map(str.lower, unicodedata.normalize("NFC", text)))
             cuts = self.pattern.findall(text)
         else:
             text = self._normal(text)
             cuts = [text[x.start():x.end()] for x in self.pattern.finditer(text.translate(self._unlike()))]
-        return [self.words[x] for x in cuts]
+        return [words[x.encode("utf-8", "surrogatepass")] for x in cuts]
 
     def _normal(self, text: str) -> str:
         """Normal form and lower case of a chunk with characters past U+0500, by the library's edition of Unicode."""
@@ -156,35 +176,46 @@ class Tokenizer:
                 self.unlike.update((ord(x), 0xE000) for x in regex.findall(kind, text) if x not in known)
         return self.unlike
 
-    def _word(self, word: str) -> bytes:
-        data = word.encode("utf-8", "surrogatepass")
-        return np.array(self.merge([*map(self.inner.__getitem__, data[:-1]), self.last[data[-1]]]), "<u4").tobytes()
+    def _word(self, word: bytes) -> bytes:
+        symbols = [*map(self.inner.__getitem__, word)]
+        symbols[-1] = self.last[word[-1]]
+        ids = array("I", self.merge(symbols))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def merge(self, symbols: list[int]) -> list[int]:
         """The ids of one match.  Queue entries hold ``rank * n + position``, so equal ranks go leftmost first."""
         n = len(symbols)
         get = self.pairs.get
+        queue = []
+        for i, pair in enumerate(zip(symbols, symbols[1:])):
+            rank = get(pair)
+            if rank is not None:
+                queue.append(rank * n + i)
+        if not queue:
+            return symbols
+        made = self.made
         ahead = list(range(1, n + 1))
         behind = list(range(-1, n - 1))
-        queue = [rank * n + i for i in range(n - 1) if (rank := get(symbols[i] << 32 | symbols[i + 1])) is not None]
         heapify(queue)
         while queue:
             rank, at = divmod(heappop(queue), n)
             right = ahead[at]
             # stale: the symbol is gone (-1), is the last one, or its pair has another rank by now
-            if symbols[at] < 0 or right >= n or get(symbols[at] << 32 | symbols[right]) != rank:
+            if right >= n or get((symbols[at], symbols[right])) != rank:
                 continue
-            symbols[at] = self.made[rank]
+            token = symbols[at] = made[rank]
             symbols[right] = -1
             after = ahead[at] = ahead[right]
             if after < n:
                 behind[after] = at
-                new = get(symbols[at] << 32 | symbols[after])
+                new = get((token, symbols[after]))
                 if new is not None:
                     heappush(queue, new * n + at)
             left = behind[at]
             if left >= 0:
-                new = get(symbols[left] << 32 | symbols[at])
+                new = get((symbols[left], token))
                 if new is not None:
                     heappush(queue, new * n + left)
         return [x for x in symbols if x >= 0]

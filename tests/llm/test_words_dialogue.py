@@ -65,17 +65,17 @@ def test_word_bpe_query_form(docs, no_docs, workers, library):
     assert {r["doc_id"]: r["ids_sha256"] for r in Q.op11_word_bpe(workers, SF).collect()} == want
 
 
-def test_word_bpe_merges_stay_fast_and_memory_is_bounded(monkeypatch):
+def test_word_bpe_merges_stay_fast_and_memory_is_bounded():
     import time
 
     own = word_bpe.Tokenizer.load(Q.WORD_ENDS)
     start = time.monotonic()
     assert len(own.encode(b"theandingion" * 40_000)) > 0
     assert time.monotonic() - start < 30
-    small = word_bpe._Memory(lambda key: key)
-    monkeypatch.setattr(word_bpe, "CACHE_ENTRIES", 10)
+    small = word_bpe._Memory(lambda key: key + b"!", 10)
     for i in range(105):
-        assert small[b"word%d" % i] == b"word%d" % i and len(small) <= 10
+        assert small[b"word%d" % i] == b"word%d!" % i and small[b"often"] == b"often!"
+        assert len(small) <= 10 and len(small.elder) <= 10 and (b"often" in small or b"often" in small.elder)
     assert small[b"x" * 100] and b"x" * 100 not in small
 
 
