@@ -11,7 +11,8 @@ are opened around every stretch of text that holds enough template words (found
 word hashes).  A window may hold a notice several times, and then no word is unique in it: it is
 aligned from each template word that enough distinct template words follow, at several lengths,
 and every copy found counts; a window without any is aligned in slices.  Of notices that overlap
-the one of best coverage stays, so a text gives each license it declares, with its place.
+the one of best coverage stays, so a text gives each license it declares, with its place.  Words that
+tell a license from its relatives (``NAMED``: name, version, terms) must be matched as they stand.
 
 Words are lower-cased runs of ASCII letters, digits and bytes beyond ASCII.
 
@@ -117,6 +118,22 @@ TEMPLATES = {
         "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
 }
 
+# The words that tell a license from its relatives.  They must be matched with nothing else between
+# them; those in brackets may be missing.
+NAMED = {
+    "Apache-2.0": "Apache License [Version] 2.0",
+    "Apache-2.0-notice": "Apache License [Version] 2.0",
+    "BSD": "BSD License",
+    "CC-BY-4.0": "CC BY 4.0",
+    "CC-BY-NC-4.0": "CC BY-NC 4.0",
+    "CC-BY-SA-4.0": "CC BY-SA 4.0",
+    "CC0-1.0": "CC0 1.0",
+    "GPL-3.0": "GNU General Public License [version] 3",
+    "GPL-notice": "version 3 of the License",
+    "MIT": "MIT License",
+    "MPL-2.0": "Mozilla Public License [v] 2.0",
+}
+
 NOTICE = pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("first_word", pa.int64()), ("end_word", pa.int64())])
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -173,8 +190,16 @@ def align(a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def name_places(template: list[bytes], phrase: str) -> tuple[range, set[int]]:
+    """Where a name stands in its template, and which of its words may not be missing."""
+    words = split_words(phrase.replace("[", " ").replace("]", " ").encode())
+    optional = {w for x in re.findall(r"\[(.*?)\]", phrase) for w in split_words(x.encode())}
+    at = next(i for i in range(len(template)) if template[i:i + len(words)] == words)
+    return range(at, at + len(words)), {at + i for i, w in enumerate(words) if w not in optional}
+
+
 class Scanner:
-    def __init__(self, templates: dict[str, str], least: float):
+    def __init__(self, templates: dict[str, str], least: float, named: dict[str, str] | None = None):
         self.least = least
         self.names = sorted(templates)
         self.words = {n: split_words(templates[n].encode()) for n in self.names}
@@ -184,6 +209,16 @@ class Scanner:
             data = np.frombuffer(joined, np.uint8)
             self.hashes[n] = np.sort(T.words(data, np.array([0, len(data)])).hash)
         self.all = np.unique(np.concatenate(list(self.hashes.values())))
+        self.named = {n: name_places(self.words[n], phrase) for n, phrase in (named or {}).items() if n in self.words}
+
+    def share(self, name: str, pairs: list[tuple[int, int]]) -> float:
+        """The template's coverage by an alignment, 0 where the license's name is not matched as it stands."""
+        if name in self.named:
+            places, required = self.named[name]
+            spot = {i: j for i, j in pairs if i in places}
+            if not required <= spot.keys() or max(spot.values()) - min(spot.values()) + 1 != len(spot):
+                return 0.0
+        return len(pairs) / len(self.words[name])
 
     def windows(self, hashes: np.ndarray, name: str) -> list[tuple[int, int]]:
         """Word ranges that may hold the template: enough hits within one template length and a half."""
@@ -252,7 +287,7 @@ class Scanner:
                 if end < hits[to - 1]:
                     continue
                 pairs = align(template, text[p:end])
-                share = len(pairs) / size
+                share = self.share(name, pairs)
                 if share >= self.least and (best is None or (share > best[0] and p + pairs[0][1] < best[2])):
                     if best is None:
                         until = p + size // 2  # later starts that may give a better alignment of this copy
@@ -274,7 +309,7 @@ class Scanner:
                 for at in range(low, max(low + 1, min(high, len(text))), step) if not copies else ():
                     part = text[at:at + 2 * step]
                     pairs = align(template, part)
-                    share = len(pairs) / size
+                    share = self.share(name, pairs)
                     if share >= self.least:
                         found.append((share, size, name, at + pairs[0][1], at + pairs[-1][1] + 1))
         found.sort(key=lambda x: (-x[0], -x[1], x[2], x[3]))
@@ -299,11 +334,12 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
          text_col: str = "text") -> DataFrame:
     """(id, license, coverage, first_word, end_word, notices) of each row: the best notice, nulls where no
     license is declared, and every notice in the order of the text."""
+    named = NAMED if templates is None else {}
     templates = TEMPLATES if templates is None else templates
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(templates, least)
+        scanner = Scanner(templates, least, named)
         # bytes that split_words takes as words; the same runs are hashed here
         for block in T.blocks(batches):
             w = T.words(block.data, block.offsets, lower=True, between=T.NOT_ALNUM)
