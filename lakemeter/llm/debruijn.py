@@ -144,13 +144,12 @@ def path_spans(repeats: DataFrame, compact: DataFrame, scratch: Scratch) -> Data
     first document; the edges of other runs are spans of their own."""
     end = F.col("start") + F.col("windows") + F.lit(WINDOW - 1)
     placed = scratch.save(repeats.join(compact, ["gram", "text"]).select(
-        "id", "first_id", "head", "rank", "start", end.alias("end"), (F.col("seq") - F.col("rank")).alias("line")))
+        "id", "first_id", "first_start", "windows", "head", "rank", "start", end.alias("end"), (F.col("seq") - F.col("rank")).alias("line")))
     run = placed.filter("id > first_id").groupBy("id", "head", "line").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.min("rank").alias("low"), F.max("rank").alias("high"),
-        F.size(F.collect_set("rank")).alias("ranks"))
-    source = placed.filter("id = first_id").groupBy("head", "rank").agg(F.min("start").alias("at"), F.min("end").alias("to"))
-    run = (run.join(source.select("head", F.col("rank").alias("low"), "at"), ["head", "low"])
-           .join(source.select("head", F.col("rank").alias("high"), "to"), ["head", "high"]))
+        F.size(F.collect_set("rank")).alias("ranks"),
+        # where the first document has the ends of the run: every occurrence carries its edge's first start
+        F.min_by("first_start", "rank").alias("at"), F.max_by(F.col("first_start") + F.col("windows") + F.lit(WINDOW - 1), "rank").alias("to"))
     verified = (F.col("ranks") == F.col("high") - F.col("low") + 1) & (F.col("to") - F.col("at") == F.col("end") - F.col("start"))
     run = scratch.save(run.select("id", "head", "line", "start", "end", verified.alias("verified")))
     single = placed.join(run.filter("not verified").select("id", "head", "line"), ["id", "head", "line"], "left_semi")
@@ -239,7 +238,9 @@ def _packed(spans: DataFrame, buckets: int) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``n_words``, ``n_removed`` and ``kept`` (the words that stay, joined by one space)."""
-    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    key = T.free_name(docs, "_path_key")
+    docs = docs.withColumn(key, T.row_key(id_col, text_col))
+    plain = docs.select(F.col(key).alias("doc_id"), F.col(text_col).alias("text"))
     total = A.sizes(docs, text_col)
     buckets = max(8, total // BUCKET_BYTES + 1)
     with Scratch(docs.sparkSession) as scratch:
@@ -265,7 +266,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         data, offsets = T.string_buffers(table[text_col])
         start, end = T.word_ranges(data, offsets)
         bounds = np.searchsorted(start, offsets)
-        gone = A.cover(T.id_values(table[id_col]), bounds, own)
+        gone = A.cover(T.id_values(table[key]), bounds, own)
         removed, _ = A.span_counts(gone, bounds)
         # kept words with one space after each, and the last space of each document taken off
         stay = ~gone
@@ -287,7 +288,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .append_column("kept", pa.array(kept, pa.binary()))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return A.apply_spans(docs, spans, buckets, cut, f"{fields}, n_words long, n_removed long, kept binary", id_col)
+    return A.apply_spans(docs, spans, buckets, cut, f"{fields}, n_words long, n_removed long, kept binary", key).drop(key)
 
 
 def report(cut: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -23,7 +23,8 @@ Every pair at or above the threshold lies in one component; no set, group or lin
 
 Cases: null or empty text, or no words: an empty set, linked with nothing; fewer words than a
 shingle: the whole sequence as one shingle; rows that repeat an id are one document, each with a
-row of its own (and its own set size); null ids are one document after all others.
+row of its own (and its own set size); rows without an id are documents by their text, after all others, and
+a component without any id is null; a very long text is one set in one block.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemeter.llm import texts as T
@@ -48,7 +49,7 @@ SLOT_BITS = 21
 SLOTS = 1 << SLOT_BITS
 SLICES = 64
 #: listed shingles in a shard; a shingle whose slot counts more than this is dealt over several
-SHARD = 1_000_000
+SHARD = 300_000
 HOT = 200_000
 #: members of a region joined in one task
 REGION = 768
@@ -83,11 +84,12 @@ def slots(value: np.ndarray) -> np.ndarray:
     return (value >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
-_PROFILE = "kind int, id long, n long, set1 long, set2 long, slice int, counts binary"
+_PROFILE = "kind int, id long, hash long, n long, set1 long, set2 long, slice int, counts binary"
 
 
-def profile(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows of kind 0: each document's set size and set hashes; of kind 1: counts of shingles by slot."""
+def profile(docs: DataFrame) -> DataFrame:
+    """Rows of kind 0: each document's set size and set hashes; of kind 1: counts of shingles by slot.  ``docs``:
+    (doc_id, hash of the text, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SLOTS, np.uint32)
         for block in T.blocks(batches):
@@ -95,16 +97,16 @@ def profile(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             np.add.at(counts, slots(value), np.uint32(1))
             k = len(n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(k, np.int32)), pa.array(block.ids), pa.array(n), pa.array(one.view(np.int64)),
-                 pa.array(two.view(np.int64)), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
-                names=["kind", "id", "n", "set1", "set2", "slice", "counts"])
+                [pa.array(np.zeros(k, np.int32)), pa.array(block.ids), block.batch["hash"].slice(block.first_row, k), pa.array(n),
+                 pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
+                names=["kind", "id", "hash", "n", "set1", "set2", "slice", "counts"])
         parts = [T.packed(x) for x in np.split(np.minimum(counts, 0xFFFF).astype(np.uint16), SLICES)]
         long, task = pa.nulls(SLICES, pa.int64()), pa.array([TaskContext.get().partitionId()] * SLICES, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.ones(SLICES, np.int32)), long, task, long, long, pa.array(np.arange(SLICES, dtype=np.int32)), pa.array(parts, pa.binary())],
-            names=["kind", "id", "n", "set1", "set2", "slice", "counts"])
+            [pa.array(np.ones(SLICES, np.int32)), long, long, task, long, long, pa.array(np.arange(SLICES, dtype=np.int32)), pa.array(parts, pa.binary())],
+            names=["kind", "id", "hash", "n", "set1", "set2", "slice", "counts"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, _PROFILE)
+    return docs.select("doc_id", "hash", "text").mapInArrow(run, _PROFILE)
 
 
 def slot_counts(profiled: DataFrame) -> np.ndarray:
@@ -128,7 +130,7 @@ def slot_counts(profiled: DataFrame) -> np.ndarray:
 
 
 # -- groups of sets that share a listed shingle ------------------------------------------
-def shared_lists(docs: DataFrame, counts: np.ndarray, shards: int, id_col: str, text_col: str) -> DataFrame:
+def shared_lists(docs: DataFrame, counts: np.ndarray, shards: int) -> DataFrame:
     """(pivot, member, shingle): for each group with two sets or more, its members under its least
     set, a row for each group they share.  Shingles dealt over several shards keep their members
     one by one (pivot null), to be grouped by a join-free aggregate."""
@@ -186,12 +188,12 @@ def shared_lists(docs: DataFrame, counts: np.ndarray, shards: int, id_col: str,
             "member": pa.chunked_array([pa.array(np.ascontiguousarray(member).view(np.int64)), pa.array(np.ascontiguousarray(many["s"]).view(np.int64))]),
             "shingle": pa.chunked_array([pa.nulls(len(pivot), pa.int64()), pa.array(np.ascontiguousarray(many["v"]).view(np.int64))])})
 
-    lists = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(listed, "shard long, rows binary")
+    lists = docs.select("doc_id", "text").mapInArrow(listed, "shard long, rows binary")
     return lists.groupBy("shard").applyInArrow(group, "pivot long, member long, shingle long")
 
 
 def regions(groups: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
-    """(region, id, n): the members of each region that can link with something, by their class's least id."""
+    """(region, id, hash, n): the members of each region that can link with something, by their class's least document."""
     dealt = groups.filter(F.col("pivot").isNull()).select("shingle", "member")
     heads = dealt.groupBy("shingle").agg(F.min("member").alias("pivot"), F.max("member").alias("last"))
     dealt = dealt.join(heads.filter("pivot < last"), "shingle").select("pivot", "member")
@@ -201,8 +203,8 @@ def regions(groups: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFram
     n = F.col("n")
     # a linked set has at least 0.8 n shingles; both lists then share 1 + (0.8 n) // 20 at least
     least = F.lit(1) + F.floor(F.floor(n * NEAR / OF) / 20)
-    alive = totals.join(classes.withColumnRenamed("set1", "member"), "member").filter(F.col("shared") >= least).select("member", "id", "n")
-    members = pairs.select(F.col("pivot").alias("region"), "member").join(alive, "member").select("region", "id", "n")
+    alive = totals.join(classes.withColumnRenamed("set1", "member"), "member").filter(F.col("shared") >= least).select("member", "id", "hash", "n")
+    members = pairs.select(F.col("pivot").alias("region"), "member").join(alive, "member").select("region", "id", "hash", "n")
     crowd = members.groupBy("region").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     return members.join(crowd, "region")
 
@@ -403,45 +405,54 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of each row of ``docs``."""
     with Scratch(docs.sparkSession) as scratch:
-        profiled = scratch.save(profile(docs, id_col, text_col))
-        sets = profiled.filter("kind = 0").select("id", "n", "set1", "set2")
+        keyed = docs.select(T.row_key(id_col, text_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("hash"), F.col(text_col).alias("text"))
+        profiled = scratch.save(profile(keyed))
+        sets = profiled.filter("kind = 0").select("id", "hash", "n", "set1", "set2")
         counts = slot_counts(profiled)
         key = ["n", "set1", "set2"]
-        classes = scratch.save(sets.filter("n > 0").groupBy(*key).agg(F.min("id").alias("id")))
+        classes = scratch.save(sets.filter("n > 0").groupBy(*key).agg(F.min(F.struct("id", "hash")).alias("least")).select(*key, "least.*"))
         shards = max(8, int(counts.sum(dtype=np.int64)) // 4 // SHARD + 1)
-        groups = scratch.save(shared_lists(docs, counts, shards, id_col, text_col))
-        members = scratch.save(regions(groups, classes.select("set1", "id", "n"), scratch))
-        # the list of members grows with the corpus: one plan at every size, no broadcast
-        texts = docs.select(T.id_key(id_col).alias("id"), F.col(text_col).alias("text"))
-        rows = scratch.save(texts.join(members.select("region", "id", "members").hint("merge"), "id"))
+        groups = scratch.save(shared_lists(keyed, counts, shards))
+        members = scratch.save(regions(groups, classes.select("set1", "id", "hash", "n"), scratch))
+        # one text for each class, however many rows share its id.  The list of members grows with the
+        # corpus: one plan at every size, no broadcast
+        one = ["id", "hash"]
+        texts = keyed.withColumnRenamed("doc_id", "id").join(members.select(*one).distinct().hint("merge"), one, "left_semi").dropDuplicates(one)
+        rows = scratch.save(texts.join(members.select("region", *one, "members").hint("merge"), one).drop("hash"))
         links = small_regions(rows)
         more = large_regions(rows, scratch)
         if more is not None:
             links = links.unionByName(more)
         # rows that repeat an id with other texts hang together through the id
         several = sets.filter("n > 0").groupBy("id").agg(F.min(F.struct(*key)).alias("x"), F.max(F.struct(*key)).alias("y")).filter("x < y")
-        same = sets.join(several.select("id"), "id").join(classes.withColumnRenamed("id", "b"), key).select(F.col("id").alias("a"), "b")
+        same = sets.join(several.select("id"), "id").join(classes.drop("hash").withColumnRenamed("id", "b"), key).select(F.col("id").alias("a"), "b")
         of_class = components(links.unionByName(same), scratch)
         classed = classes.join(of_class, "id", "left").select(*key, F.coalesce("component", "id").alias("component_id"))
         out = sets.join(classed, key, "left")
-        null_id = F.when(F.col("id") == T.NULL_ID, F.lit(None).cast("long")).otherwise(F.col("id"))
         component = F.coalesce("component_id", "id")
-        return settle(out.select(null_id.alias(id_col), F.col("n").alias("n_shingles"),
-                                 F.when(component == T.NULL_ID, F.lit(None).cast("long")).otherwise(component).alias("component_id")))
+        return settle(out.select(T.key_id("id").alias(id_col), F.col("n").alias("n_shingles"),
+                                 T.key_id(component).alias("component_id")))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without near duplicates: of each component the document of the smallest id stays, and
-    of rows that repeat an id the one of least text with words (then least other columns).  A row
-    without an id is a document by its text, after all ids.  Sets that are empty link with nothing,
-    so texts without words stay, and every one of those without an id."""
+    """``docs`` without near duplicates: of each component the document of the smallest id stays (null ids
+    last, ties by a hash of the text).
+
+    A document is an id with its text, so rows that share an id are near duplicates only if their texts are; equal
+    documents are one, the row with the least other columns.  Sets that are empty link with nothing, so texts
+    without words stay, every one of them."""
+    key, component, least = (T.free_name(docs, x) for x in ("_jaccard_key", "_jaccard_component", "_jaccard_least"))
     words = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    by_text = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(text_col), 2)
-    keyed = docs.withColumn("_jaccard_words", words).withColumn("_jaccard_key", F.coalesce(F.col(id_col).cast("long"), by_text))
-    bare = F.col(id_col).isNull() & ~F.col("_jaccard_words")
-    joined = join(keyed.filter(~bare), "_jaccard_key", text_col)
-    stay = joined.filter(F.col("_jaccard_key") == F.col("component_id")).select("_jaccard_key", (F.col("n_shingles") > 0).alias("_jaccard_words")).distinct()
-    rows = keyed.filter(~bare).join(stay, ["_jaccard_key", "_jaccard_words"])
-    order = Window.partitionBy("_jaccard_key").orderBy(F.col("_jaccard_words").desc(), text_col, *[c for c in docs.columns if c not in (id_col, text_col)])
-    kept = rows.withColumn("_jaccard_nth", F.row_number().over(order)).filter("_jaccard_nth = 1").select(*docs.columns)
-    return kept.unionByName(keyed.filter(bare).select(*docs.columns))
+    document = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(id_col).cast("long"), F.lit(T.NULL_ID)), F.col(text_col)), 3)
+    keyed = docs.withColumn(key, document)
+    some = keyed.filter(words)
+    linked_docs = join(some.select(key, id_col, text_col), key, text_col).select(F.col(key), F.col("component_id").alias(component)).distinct()
+    # everything but the texts, a row for each document; combined map-side, as are the components below
+    rest = F.struct(F.lit(0).alias("_none"), *[c for c in docs.columns if c not in (id_col, text_col)])
+    light = some.groupBy(F.col(key).alias("_other")).agg(F.min(T.id_key(id_col)).alias("_id"), F.min(rest).alias(least))
+    place = F.struct("_id", F.col(key).alias("k"))
+    best = linked_docs.join(light, F.col(key) == F.col("_other")).groupBy(component).agg(F.min(place).alias("_best"), F.min_by(least, place).alias(least))
+    chosen = best.select(F.col("_best.k").alias("_chosen"), F.col(least))
+    # the chosen documents' rows; those that are left are equal in all columns
+    kept = some.join(chosen.hint("merge"), F.col(key) == F.col("_chosen")).filter(rest.eqNullSafe(F.col(least))).dropDuplicates([key])
+    return kept.select(*docs.columns).unionByName(keyed.filter(~words).select(*docs.columns))

@@ -278,7 +278,9 @@ def merge_shards(heads: DataFrame, buckets: int) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: str = "") -> DataFrame:
     """``docs`` with ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (the bytes that stay), names after ``prefix``."""
-    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    key = T.free_name(docs, "_suffix_key")
+    docs = docs.withColumn(key, T.row_key(id_col, text_col))
+    plain = docs.select(F.col(key).alias("doc_id"), F.col(text_col).alias("text"))
     total = A.sizes(docs, text_col)
     buckets = max(8, total // BUCKET_BYTES + 1)
     with Scratch(docs.sparkSession) as scratch:
@@ -299,7 +301,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def cut(table: pa.Table, own: np.ndarray) -> pa.Table:
         data, bounds = T.string_buffers(table[text_col])
-        mask = A.cover(T.id_values(table[id_col]), bounds, own)
+        mask = A.cover(T.id_values(table[key]), bounds, own)
         removed, runs = A.span_counts(mask, bounds)
         size = np.diff(bounds)
         upto = np.concatenate([[0], np.cumsum(size - removed)])
@@ -309,7 +311,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return table
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return A.apply_spans(docs, spans, buckets, cut, f"{fields}, `{prefix}n_bytes` long, `{prefix}n_removed` long, `{prefix}n_spans` long, `{prefix}kept` binary", id_col)
+    return A.apply_spans(docs, spans, buckets, cut, f"{fields}, `{prefix}n_bytes` long, `{prefix}n_removed` long, `{prefix}n_spans` long, `{prefix}kept` binary", key).drop(key)
 
 
 def report(cut: DataFrame, id_col: str = "doc_id") -> DataFrame:

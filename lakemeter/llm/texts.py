@@ -9,6 +9,7 @@ equal hashes on every executor and after a retry.
 from __future__ import annotations
 
 import ctypes
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,6 +23,10 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: stands for a null document id in shuffles: after every other document
 NULL_ID = 2 ** 63 - 1
+#: keys of rows without an id begin here; ids lie below
+NO_ID = 1 << 62
+#: longest range hashed by the polynomial
+SHORT = 256
 BLOCK_BYTES = 1 << 19
 
 try:
@@ -142,12 +147,16 @@ def word_ranges(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPA
 
 
 def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Content hash of each byte range, from one prefix polynomial over the block."""
+    """Content hash of each byte range: short ranges from one prefix polynomial over the block, long ones
+    by a digest (modulo a power of two, long texts of two alternating values share a polynomial)."""
     up, down = _powers(len(data) + 1)
     prefix = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * up[:-1], out=prefix[1:])
     h = (prefix[end] - prefix[start]) * down[start]
-    return mix(h + (end - start).astype(np.uint64))
+    h = mix(h + (end - start).astype(np.uint64))
+    for i in np.flatnonzero(end - start > SHORT):
+        h[i] = int.from_bytes(hashlib.blake2b(data[start[i]:end[i]].tobytes(), digest_size=8).digest(), "little")
+    return h
 
 
 def words(block_data: np.ndarray, offsets: np.ndarray, lower: bool = False, between: np.ndarray = SPACE) -> Words:
@@ -237,6 +246,25 @@ def id_key(col: str | Column = "doc_id") -> Column:
     return F.coalesce(c.cast("long"), F.lit(NULL_ID))
 
 
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """The document id; rows without one are documents by their text, after all ids."""
+    by_text = F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))), 3)
+    return F.coalesce(F.col(f"`{id_col}`").cast("long"), by_text)
+
+
+def key_id(col: str | Column) -> Column:
+    """The id that a ``row_key`` stands for (null for rows without one)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.when(c < NO_ID, c)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that ``df`` does not have."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

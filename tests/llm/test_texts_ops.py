@@ -167,10 +167,14 @@ def test_jaccard_hot_shingles(docs, monkeypatch):
 
 
 def test_jaccard_keeps_one_of_each_group(docs):
+    """A document is an id with its text: one of each component stays, and every text without words."""
     kept = jaccard.keep_one(docs)
-    want = {i for i, _, c in jaccard_brute(texts()) if i == c}
-    got = [r["doc_id"] for r in kept.collect()]
-    assert Counter(got) == Counter(want) and kept.columns == docs.columns
+    rows = sorted(set(texts()), key=lambda x: (BIG if x[0] is None else x[0], x[1] or ""))
+    numbered = jaccard_brute([(k, t) for k, (_, t) in enumerate(rows)])
+    want = Counter(rows[k] for k, n, c in numbered if n and k == c)
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect() if (r["text"] or "").split()) == want
+    assert sum(not (r["text"] or "").split() for r in kept.collect()) == sum(not (t or "").split() for _, t in texts())
+    assert kept.columns == docs.columns and (8, rows[[i for i, _ in rows].index(8)][1]) in want
 
 
 def test_jaccard_keeps_rows_without_an_id(workers):
@@ -179,7 +183,45 @@ def test_jaccard_keeps_rows_without_an_id(workers):
     long = lambda c: " ".join(f"{c}{i}" for i in range(30))
     rows = [(None, long("a")), (None, long("b")), (None, long("b")), (1, long("a") + " more"), (None, None), (None, " "), (2, None), (2, long("c"))]
     got = Counter((r["doc_id"], r["text"]) for r in jaccard.keep_one(frame(workers, rows)).collect())
-    assert got == Counter([(None, long("b")), (1, long("a") + " more"), (None, None), (None, " "), (2, long("c"))])
+    assert got == Counter([(None, long("b")), (1, long("a") + " more"), (None, None), (None, " "), (2, None), (2, long("c"))])
+
+
+def test_many_rows_without_an_id_or_with_one(workers):
+    """Work grows with the rows, not with their pairs, and the results are those of documents of their own."""
+    import time
+
+    from tests.llm.conftest import frame
+    passage = " ".join(f"shared{k}" for k in range(70))
+    say = lambda i, side: " ".join(f"{side}{(i * 131 + k) * 7919 % 999983}" for k in range(60))
+    rows = [f"{say(i, 'a')} {passage} {say(i, 'b')}" for i in range(1500)]
+    start = time.monotonic()
+    nameless = frame(workers, [(None, t) for t in rows], 4).select("doc_id", "text")
+    cut = sorted(x["n_removed"] for x in debruijn.report(debruijn.remove_repeats(nameless)).collect())
+    assert cut[0] == 0 and cut[1:] == [70] * 1499
+    cut = suffix.report(suffix.remove_repeats(nameless)).collect()
+    assert sum(x["n_removed"] == 0 for x in cut) == 1 and min(x["n_removed"] for x in cut if x["n_removed"]) >= len(passage)
+    linked = jaccard.join(nameless).collect()
+    assert len(linked) == 1500 and {x["component_id"] for x in linked} == {None}
+    assert jaccard.keep_one(nameless).count() == 1500
+    one = frame(workers, [(7, t) for t in rows], 4).select("doc_id", "text")
+    assert {x["component_id"] for x in jaccard.join(one).collect()} == {7} and jaccard.keep_one(one).count() == 1500
+    assert time.monotonic() - start < 300
+
+
+def test_long_words_of_two_letters_have_hashes_of_their_own(workers):
+    """A polynomial modulo a power of two takes these two words of 4,096 letters for one."""
+    a = "ab"
+    while len(a) < 4096:
+        a += a.translate(str.maketrans("ab", "ba"))
+    b = a.translate(str.maketrans("ab", "ba"))
+    data = np.frombuffer(f"{a} {b} {a}".encode(), np.uint8)
+    h = T.words(data, np.array([0, len(data)])).hash
+    assert h[0] == h[2] != h[1]
+    from tests.llm.conftest import frame
+    fill = " ".join(f"f{k}" for k in range(60))
+    docs = frame(workers, [(1, f"{a} {fill}"), (2, f"{b} {fill}"), (3, a), (4, b)]).select("doc_id", "text")
+    assert rows_of(jaccard.join(docs), "doc_id", "n_shingles", "component_id") == jaccard_brute([(1, f"{a} {fill}"), (2, f"{b} {fill}"), (3, a), (4, b)])
+    assert {x["doc_id"]: x["n_removed"] for x in debruijn.report(debruijn.remove_repeats(docs)).collect()} == {1: 0, 2: 60, 3: 0, 4: 0}
 
 
 def test_licenses(workers, no_docs):
@@ -205,6 +247,21 @@ def test_license_scan_finds_every_notice(workers):
     assert {r["doc_id"]: (r["first_word"], r["end_word"]) for r in licenses.scan(frame(workers, rows[:1])).collect()} == {1: (3, 8)}
 
 
+def test_license_scan_tells_relatives_apart(workers):
+    """One word less or more makes another license: that one, or none."""
+    from tests.llm.conftest import frame
+    phrases = {"Licensed under the MIT License": "MIT", "licensed under the Apache License": None, "licensed under the GPL License": None,
+               "licensed under the Mozilla License": None, "Licensed under the Apache License, Version 1.1": None, "Released under the GPL License": None,
+               "Licensed under CC BY-ND 4.0": None, "Licensed under CC BY 3.0": None, "Licensed under CC BY-NC-SA 4.0": None,
+               "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.": None,
+               "This work is licensed under the GNU General Public License, version 2": None, "Licensed under the MIT or BSD License": "BSD",
+               licenses.TEMPLATES["GPL-notice"].replace("version 3", "version 2"): None,
+               "Licensed under the Apache License 2.0": "Apache-2.0", "Licensed under CC BY-SA 4.0": "CC-BY-SA-4.0", "Licensed under the BSD License": "BSD"}
+    for before in ("", "Some words before it. "):
+        got = {r["doc_id"]: r["license"] for r in licenses.scan(frame(workers, [(i, before + p + " and more.") for i, p in enumerate(phrases)])).collect()}
+        assert {p: got[i] for i, p in enumerate(phrases)} == phrases
+
+
 def test_license_scan_loses_nothing_to_its_windows():
     """Against aligning every template with every stretch of the text."""
     import random
