@@ -2,7 +2,7 @@
 are cut, sources are mixed to their target weights, and the result is encoded.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame; all but the last return the columns of
-``docs``.  Column names that begin with ``_jaccard_``, ``_suffix_``, ``_mix_`` or ``_toxicity`` are
+``docs``.  Column names that begin with ``_jaccard_``, ``_suffix_`` or ``_mix_`` are
 reserved.  Every stage works on all rows that the one before it kept.
 """
 
@@ -18,34 +18,52 @@ from lakemeter.llm.texts import table
 from lakemeter.session import materialize
 
 
+#: partitions that a shard of the mix is dealt over
+SHARD_SALTS = 8
+#: rows that Spark sends to a Python worker at a time
+BATCH_ROWS = 2_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Whole documents are wide rows: fewer of them in a batch keep both ends of the pipe small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below 0.5 by the model of the labelled rows."""
     importable(spark)
+    small_batches(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), F.lit(True))
-    scored = toxicity.score(docs, model, score_col="_toxicity")
-    return scored.filter(F.col("_toxicity") < 0.5).select(*docs.columns)
+    return docs.filter(toxicity.scored(model)(F.coalesce("text", F.lit(""))) < 0.5)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of documents with a shingle similarity of 0.8 or more."""
     importable(spark)
+    small_batches(spark)
     return jaccard.keep_one(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the strings of 100 bytes that start earlier in the corpus."""
     importable(spark)
+    small_batches(spark)
     return suffix.cut_texts(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, each output shard in its shuffled order."""
-    return mixing.mix(docs).sortWithinPartitions("_mix_shard", "_mix_position").select(*docs.columns)
+    """Documents as often as the mix takes them, laid out by output shard.
+
+    A shard is dealt over ``SHARD_SALTS`` partitions, so it may hold any share of the rows; a file holds such parts of
+    shards, each in its shuffled order."""
+    rows = mixing.mix(docs).withColumn("_mix_salt", F.pmod(F.xxhash64("_mix_position", "doc_id"), F.lit(SHARD_SALTS)))
+    return rows.repartition("_mix_shard", "_mix_salt").sortWithinPartitions("_mix_shard", "_mix_salt", "_mix_position").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, with digests of the ids and of the bytes they decode to."""
     importable(spark)
+    small_batches(spark)
     return bpe.digests(bpe.encode(docs, RANKS, public_tokenizers.PATTERN, decoded=True), keep_ids=True)
 
 
