@@ -11,6 +11,10 @@ RESULT_COLUMNS = ("run_id", "dataset_name", "rule_name", "failed_row_count", "st
                   "is_blocking", "evaluated_at_utc")
 
 
+#: normalised rank error of a sketch times its size, one quantile
+SKETCH_ERROR = 2.3
+
+
 class BlockingFailure(RuntimeError):
     """The latest quality run has a blocking failure (or there is no run at all)."""
 
@@ -49,14 +53,17 @@ def latest_run(results: DataFrame, time_col: str = "evaluated_at_utc") -> DataFr
             .drop("_newest"))
 
 
+def gate_status(results: DataFrame) -> DataFrame:
+    """One row about the latest run: its rules, its blocking failures, and whether publication may go on."""
+    failed = F.when((F.col("status") == "FAIL") & F.col("is_blocking"), 1).otherwise(0)
+    counts = latest_run(results).agg(F.count(F.lit(1)).alias("rules"), F.coalesce(F.sum(failed), F.lit(0)).cast("long").alias("failures"))
+    return counts.withColumn("is_open", (F.col("rules") > 0) & (F.col("failures") == 0))
+
+
 def gate(results: DataFrame) -> int:
     """Raise if the latest run has a blocking FAIL, or if no run exists; else return its size."""
-    latest = latest_run(results)
-    row = latest.agg(
-        F.count(F.lit(1)).alias("rules"),
-        F.sum(F.when((F.col("status") == "FAIL") & F.col("is_blocking"), 1).otherwise(0)).alias("failures"),
-    ).first()
-    if not row or not row["rules"]:
+    row = gate_status(results).first()
+    if not row["rules"]:
         raise BlockingFailure("no evaluated data-quality run")
     if row["failures"]:
         raise BlockingFailure(f"data quality failed with {row['failures']} blocking rule(s)")
@@ -77,6 +84,24 @@ def error_thresholds(fact: DataFrame, keys=("region",), quantile: float = 0.99,
         F.percentile_approx("absolute_error_mw", quantile, accuracy).alias("error_threshold_mw"))
 
 
+def error_sketches(fact: DataFrame, keys=("region",), by=("market_date",), size: int = 400) -> DataFrame:
+    """A quantile sketch (KLL) of the absolute error per key and ``by`` (a date), to be stored: later
+    dates are added without reading older facts, and a corrected date replaces its own sketches.
+
+    Combined map-side, so a hot key costs one sketch per task; a sketch holds a few times ``size`` values
+    however many rows it stands for, and is exact up to ``size`` of them."""
+    return fact.where(F.col("absolute_error_mw").isNotNull()).groupBy(*keys, *by).agg(
+        F.kll_sketch_agg_double("absolute_error_mw", F.lit(size)).alias("error_sketch"))
+
+
+def thresholds_from_sketches(sketches: DataFrame, keys=("region",), quantile: float = 0.99, size: int = 400) -> DataFrame:
+    """Per key: the ``quantile`` over all stored sketches, an observed value whose rank is within the sketch's
+    bound (``SKETCH_ERROR / size`` of the rows, about 99 % sure) of the one asked for."""
+    merged = sketches.groupBy(*keys).agg(F.kll_merge_agg_double("error_sketch", F.lit(size)).alias("_sketch"))
+    return merged.select(*keys, F.kll_sketch_get_quantile_double("_sketch", F.lit(quantile)).alias("error_threshold_mw"),
+                         F.kll_sketch_get_n_double("_sketch").alias("error_rows"))
+
+
 def observations(fact: DataFrame, thresholds: DataFrame, keys=("region",)) -> DataFrame:
     """Non-blocking: fact rows whose absolute error exceeds their key's threshold."""
     return (fact.join(thresholds, list(keys), "inner")

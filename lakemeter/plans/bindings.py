@@ -29,6 +29,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def events_between(events: DataFrame, start: str | None, end: str | None, days_later: int = 0) -> DataFrame:
+    """Events whose market date, ``days_later`` after the event, lies in the range: a filter on the event
+    time itself, so it reaches the scan (and prunes where events are partitioned or sorted by time)."""
+    shift = F.make_dt_interval(F.lit(days_later))
+    if start is not None:
+        events = events.where(F.col("ts") >= F.lit(start).cast("timestamp_ntz") - shift)
+    if end is not None:
+        events = events.where(F.col("ts") < F.lit(end).cast("timestamp_ntz") + F.make_dt_interval(F.lit(1)) - shift)
+    return events
+
+
 def _lineage(events: DataFrame):
     return [F.concat(F.lit("events-"), F.date_format(F.col("ts").cast("date"), "yyyyMMdd")).alias("batch_id"),
             F.lit("events").alias("raw_file_name"),

@@ -206,6 +206,8 @@ class Lakehouse:
 
     def batch_dates(self, dataset: str, batch_id: str) -> DataFrame:
         """Market dates touched by the files of one Bronze batch."""
+        if not self.store.exists(self._raw(dataset)[1]):
+            return self.store.spark.createDataFrame([], "market_date date")
         index = self.store.read(self._raw(dataset)[1])
         return index.where(F.col("batch_id") == batch_id).select("market_date").distinct()
 
@@ -261,6 +263,17 @@ class Lakehouse:
             # every rejected row is evidence: rows that share a key are all kept, a rerun adds none
             self.store.insert_only(self.QUARANTINE, q, list(D.QUARANTINE_KEYS), keep_repeats=True)
 
+    def fact_between(self, start=None, end=None, as_of=None) -> DataFrame:
+        """The fact of a date range straight from Silver, ahead of Gold: the range prunes the partitions of
+        both sides."""
+        day = F.col("market_date")
+        sides = []
+        for table in (self.ACTUAL, self.FORECAST):
+            rows = self.store.read(table)
+            rows = rows if start is None else rows.where(day >= F.lit(start).cast("date"))
+            sides.append(rows if end is None else rows.where(day <= F.lit(end).cast("date")))
+        return facts.compare(*sides, self.dom.tz, as_of)
+
     # -- gate + Gold --------------------------------------------------------------------
     def gate(self) -> int:
         return quality.gate(self.store.read(self.QUALITY))

@@ -20,9 +20,10 @@ from lakemeter.operators import completeness as C
 from lakemeter.operators import dims, facts, quality
 from lakemeter.operators.dedup import flag_latest, latest_rows
 from lakemeter.plans import reports, tables
-from lakemeter.plans.bindings import (AS_OF, BIN_HOURS, EVENTS_DOMAIN, events_actual,
+from lakemeter.plans.bindings import (AS_OF, BIN_HOURS, EVENTS_DOMAIN, events_actual, events_between,
                                       events_forecast, table)
 from lakemeter.plans.lakehouse import RuleOptions, label_rows, measurement_rules, validate_pair
+from lakemeter.session import materialize
 from lakemeter.sources.contracts import check_payloads, reconcile
 from lakemeter.sources.parse import parse_actual, parse_forecast
 from lakemeter.sources.payloads import with_lineage
@@ -36,16 +37,20 @@ def _r(col, n: int = 6):
     return F.round(F.col(col) if isinstance(col, str) else col, n)
 
 
-def _validation(spark: SparkSession, sf: str):
+def _validation(spark: SparkSession, sf: str, between: tuple[str, str] | None = None):
     """Events -> labelled, routed datasets.  The labelled frames feed several consumers,
-    so they are written once to the checkpoint folder (as the lakehouse run does)."""
+    so they are written once to the checkpoint folder (as the lakehouse run does).
+
+    Every verdict (latest row, first failing rule, completeness) is a fact about one market date, so a
+    date range is taken below the validation, at the scan."""
     ev = table(spark, sf, "events")
-    return validate_pair(events_actual(ev), events_forecast(ev), EVENTS_DOMAIN, RuleOptions(), AS_OF,
-                         persist=True)
+    start, end = between or (None, None)
+    return validate_pair(events_actual(events_between(ev, start, end)), events_forecast(events_between(ev, start, end, 1)),
+                         EVENTS_DOMAIN, RuleOptions(), AS_OF, persist=True)
 
 
-def _fact(spark: SparkSession, sf: str, v=None) -> DataFrame:
-    v = v or _validation(spark, sf)
+def _fact(spark: SparkSession, sf: str, v=None, between: tuple[str, str] | None = None) -> DataFrame:
+    v = v or _validation(spark, sf, between)
     return facts.compare(v.valid_actual, v.valid_forecast, EVENTS_DOMAIN.tz, AS_OF)
 
 
@@ -159,7 +164,7 @@ def _performance(spark, sf, fact=None):
 
 
 def q_scorecard(spark, sf):
-    _, perf = _performance(spark, sf)
+    _, perf = _performance(spark, sf, _fact(spark, sf, between=RANGE))
     out = reports.scorecard(perf, *RANGE)
     return out.select("region", *[_r(c).alias(c) for c in ("mean_absolute_error_mw",
                       "mean_absolute_percentage_error", "root_mean_squared_error_mw")],
@@ -167,31 +172,31 @@ def q_scorecard(spark, sf):
 
 
 def q_hour_profile(spark, sf):
-    out = reports.hour_profile(_fact(spark, sf), *RANGE)
+    out = reports.hour_profile(_fact(spark, sf, between=RANGE), *RANGE)
     return out.select("market_hour", "region", _r("average_load_mw").alias("average_load_mw"),
                       "maximum_load_mw")
 
 
 def q_actual_vs_forecast(spark, sf):
-    out = reports.actual_vs_forecast(_fact(spark, sf), *RANGE)
+    out = reports.actual_vs_forecast(_fact(spark, sf, between=RANGE), *RANGE)
     return out.select("interval_start_utc", "region", "actual_load_mw",
                       _r("forecast_load_mw").alias("forecast_load_mw"))
 
 
 def q_error_trend(spark, sf):
-    out = reports.error_trend(_fact(spark, sf), *RANGE)
+    out = reports.error_trend(_fact(spark, sf, between=RANGE), *RANGE)
     return out.select("interval_start_utc", "region", _r("forecast_error_mw").alias("forecast_error_mw"),
                       _r("absolute_percentage_error").alias("absolute_percentage_error"))
 
 
 def q_peak_report(spark, sf):
-    peak, _ = _performance(spark, sf)
+    peak, _ = _performance(spark, sf, _fact(spark, sf, between=RANGE))
     return reports.daily_peak(peak, *RANGE)
 
 
 def q_kpis(spark, sf):
-    v = _validation(spark, sf)
-    fact = _fact(spark, sf, v)
+    v = _validation(spark, sf, RANGE)
+    fact = materialize(_fact(spark, sf, v))  # three of the four measures read it
     peak, perf = _performance(spark, sf, fact)
     q = v.quarantine
     out = reports.kpis(fact, peak, perf, q, *RANGE, regions=["CLICK", "VIEW"])
@@ -219,7 +224,7 @@ def q_unmatched_fact_rows(spark, sf):
 
 
 def q_quality_status(spark, sf):
-    return reports.quality_status(_quality_runs(spark, sf))
+    return reports.quality_status(materialize(_quality_runs(spark, sf)))
 
 
 def q_dim_date(spark, sf):
@@ -327,7 +332,7 @@ def q_parse_forecast_payloads(spark, sf):
 
 
 def q_error_observations(spark, sf):
-    fact = _fact(spark, sf)
+    fact = materialize(_fact(spark, sf))  # read by the thresholds and by the rows held against them
     th = quality.error_thresholds(fact, quantile=0.9, exact=True)
     out = quality.observations(fact, th)
     return out.select("market_date", "interval_start_utc", "region", _r("absolute_error_mw").alias("absolute_error_mw"),
@@ -426,3 +431,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "display_numbers": q_display_numbers,
     "coverage": q_coverage,
 }
+
+# the write path, streams and staged layouts; feeds and faulty payloads
+from lakemeter.plans import registry_feeds, registry_store  # noqa: E402
+
+QUERIES.update(registry_store.QUERIES)
+QUERIES.update(registry_feeds.QUERIES)

@@ -96,13 +96,22 @@ def freshness(silver_actual: DataFrame, as_of=None, time_col: str = "interval_st
 
 def weather_vs_demand(fact: DataFrame, weather: DataFrame, time_col: str = "interval_start_utc",
                       start=None, end=None, regions: Sequence[str] | None = None) -> DataFrame:
-    """Hourly demand next to hourly weather, joined on the interval start; range and regions select facts."""
-    w = weather.select(time_col, "temperature_2m_c", "relative_humidity_percent")
-    return (_selected(fact, start, end, regions).select(time_col, "actual_load_mw").join(w, time_col, "inner")
-            .groupBy(floor_hours(time_col, 1).alias("interval_hour"))
-            .agg(F.avg("actual_load_mw").alias("demand_mw"),
-                 F.avg("temperature_2m_c").alias("temperature_c"),
-                 F.avg("relative_humidity_percent").alias("relative_humidity_percent")))
+    """Hourly demand next to hourly weather, joined on the interval start; range and regions select facts.
+
+    Averages run over all pairs of a fact and a weather row of one interval.  Both sides are summed up per
+    interval first and weighted by each other's row counts, so the join is one to one however many regions or
+    locations share an interval."""
+    def sums(df: DataFrame, columns: Sequence[str], rows: str) -> DataFrame:
+        return df.groupBy(time_col).agg(F.count(F.lit(1)).alias(rows), *[f(c).alias(f"{k}_{c}") for c in columns
+                                                                        for k, f in (("sum", F.sum), ("n", F.count))])
+
+    demand = sums(_selected(fact, start, end, regions), ["actual_load_mw"], "_facts")
+    air = sums(weather, ["temperature_2m_c", "relative_humidity_percent"], "_reports")
+    mean = lambda c, other: F.try_divide(F.sum(F.col(f"sum_{c}") * F.col(other)), F.sum(F.col(f"n_{c}") * F.col(other)))
+    return (demand.join(air, time_col, "inner").groupBy(floor_hours(time_col, 1).alias("interval_hour"))
+            .agg(mean("actual_load_mw", "_reports").alias("demand_mw"),
+                 mean("temperature_2m_c", "_facts").alias("temperature_c"),
+                 mean("relative_humidity_percent", "_facts").alias("relative_humidity_percent")))
 
 
 def price_distribution(prices: DataFrame, time_col: str = "interval_start_utc",

@@ -471,3 +471,214 @@ UNION ALL
 SELECT 'r1', 'load_forecast_hourly', 'unmatched_fact_rows', forecast_without_actual,
        CASE WHEN forecast_without_actual = 0 THEN 'PASS' ELSE 'WARN' END, false,
        TIMESTAMP '2024-02-15 00:00:00' FROM c""")
+
+
+# -- stored tables ---------------------------------------------------------------------------
+_STORED = """
+o AS (SELECT *, CAST(CASE WHEN o_orderpriority <> '5-LOW' THEN year(o_orderdate) END AS INTEGER) AS o_year FROM orders),
+tgt AS (SELECT * FROM o WHERE o_orderstatus IN ('F', 'O')),
+src AS (
+  SELECT * REPLACE (o_totalprice + 1.0 AS o_totalprice,
+         CAST(CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN o_year + 1 ELSE o_year END AS INTEGER) AS o_year)
+  FROM o WHERE o_orderstatus IN ('O', 'P')
+)"""
+
+SQL["store_upsert"] = f"""
+WITH {_STORED}
+SELECT * FROM src UNION ALL SELECT * FROM tgt WHERE o_orderkey NOT IN (SELECT o_orderkey FROM src)
+"""
+
+SQL["store_insert_only"] = f"""
+WITH {_STORED}
+SELECT * FROM tgt UNION ALL
+SELECT * REPLACE (CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice + 2.0 ELSE o_totalprice END AS o_totalprice)
+FROM src WHERE o_orderkey NOT IN (SELECT o_orderkey FROM tgt)
+"""
+
+SQL["store_replace"] = f"""
+WITH {_STORED}
+SELECT * FROM tgt WHERE o_year % 3 <> 0 UNION ALL
+SELECT * REPLACE (o_totalprice * 2 AS o_totalprice) FROM tgt WHERE o_year % 6 = 0 AND o_orderstatus = 'O'
+"""
+
+SQL["store_delete"] = f"""
+WITH {_STORED}
+SELECT * FROM tgt WHERE (o_year IS NULL OR o_year % 4 <> 1)
+  AND NOT EXISTS (SELECT 1 FROM orders u WHERE u.o_orderpriority = '1-URGENT' AND u.o_orderdate = tgt.o_orderdate)
+"""
+
+SQL["store_overwrite"] = f"""
+WITH {_STORED}
+SELECT n AS stored, o_orderkey, o_totalprice, o_year FROM o, (VALUES ('silver.orders'), ('gold.orders')) names(n)
+WHERE o_year IS NULL OR o_year % 2 = 0
+"""
+
+SQL["lakehouse_fact"] = SQL["fact_compare"]
+
+_FIRST = "(ts < TIMESTAMP '2024-01-16' AND NOT (event_id % 50 = 0 AND ts < TIMESTAMP '2024-01-06'))"
+
+
+def _outcomes(run: str, at: str, quarantined: str) -> str:
+    """The three outcome rows of a run; ``quarantined`` counts its rejected rows."""
+    return f"""
+SELECT '{run}' AS run_id, d AS dataset_name, 'nonempty_valid_output' AS rule_name,
+       CAST(CASE WHEN n > 0 THEN 0 ELSE 1 END AS BIGINT) AS failed_row_count, CASE WHEN n > 0 THEN 'PASS' ELSE 'FAIL' END AS status,
+       true AS is_blocking, {at} AS evaluated_at_utc
+FROM (SELECT 'actual_load_hourly' AS d, count(*) AS n FROM valid_act
+      UNION ALL SELECT 'load_forecast_hourly', count(*) FROM valid_fc)
+UNION ALL
+SELECT '{run}', 'historical_load', 'quarantined_rows', n, CASE WHEN n = 0 THEN 'PASS' ELSE 'WARN' END, false, {at}
+FROM (SELECT CAST(({quarantined}) AS BIGINT) AS n)"""
+
+
+_FIRST_EVENTS = _EVENTS.replace("FROM events", f"FROM (SELECT * FROM events WHERE {_FIRST})")
+_TOUCHED = f"""(SELECT CAST(ts AS DATE) FROM events WHERE NOT {_FIRST}
+                UNION SELECT CAST(ts + INTERVAL 1 DAY AS DATE) FROM events WHERE NOT {_FIRST})"""
+
+SQL["lakehouse_quality"] = f"""
+WITH one AS (WITH {_FIRST_EVENTS}
+{_outcomes('run1', "TIMESTAMP '2024-02-15'", 'SELECT count(*) FROM quarantine')}),
+two AS (WITH {_EVENTS}
+{_outcomes('run2', "TIMESTAMP '2024-02-16'", f'SELECT count(*) FROM quarantine WHERE market_date IN {_TOUCHED}')})
+SELECT * FROM one UNION ALL SELECT * FROM two UNION ALL
+SELECT 'gate', 'gate', 'no_blocking_failure', count(*), CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END, true, {AS_OF}
+FROM two WHERE is_blocking AND status = 'FAIL'
+"""
+
+SQL["complete_days_kept"] = SQL["complete_days"]
+
+SQL["error_sketches"] = _with("""
+SELECT region, q.quantile, CAST(count(absolute_error_mw) AS BIGINT) AS error_rows, true AS within_bound
+FROM fact, (VALUES (CAST(0.5 AS DOUBLE)), (CAST(0.9 AS DOUBLE)), (CAST(0.99 AS DOUBLE))) q(quantile) GROUP BY region, q.quantile""")
+
+SQL["dedup_staged"] = SQL["dedup_flags"]
+
+# rows of the first stretch that come with the third are too late up to the watermark that the first batch
+# left (a batch drops by the watermark of the batch before the last); those that come with the second as well
+# are repeats.  Windows that the last watermark has not passed stay open.
+SQL["stream_intervals"] = """
+WITH first AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 DAY AS watermark FROM events
+               WHERE ts < TIMESTAMP '2024-01-11' AND event_id % 10 <> 0),
+seen AS (SELECT events.* FROM events, first WHERE ts >= TIMESTAMP '2024-01-11' OR event_id % 10 <> 0 OR ts > watermark)
+SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS rows, round(sum(value), 6) AS total, max(value) AS peak
+FROM seen
+WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM seen) - INTERVAL 1 DAY
+GROUP BY date_trunc('day', ts), event_type
+"""
+
+# -- feeds ---------------------------------------------------------------------------------------
+_WEATHER = """
+weather_days AS (
+  SELECT CAST(ts AS DATE) AS d, 'L' || CAST(user_id % 3 AS VARCHAR) AS location, count(*) AS n FROM events GROUP BY 1, 2
+),
+weather AS (
+  SELECT location, CAST(h AS INTEGER) AS position, CAST(d AS TIMESTAMP) + to_hours(CAST(h AS INTEGER)) AS interval_start_utc,
+         CAST(n % 30 + h * 0.5 AS DOUBLE) AS temperature_2m_c,
+         CASE WHEN n % 4 = 0 AND h = 23 THEN NULL ELSE CAST(40 + (n + h) % 50 AS DOUBLE) END AS relative_humidity_percent,
+         n % 4 <> 0 AS arrays_length_ok
+  FROM weather_days, range(24) hours(h)
+)"""
+
+SQL["weather_rows"] = f"WITH {_WEATHER} SELECT * FROM weather"
+
+SQL["weather_vs_demand"] = _with(f""",{_WEATHER}
+SELECT date_trunc('hour', f.interval_start_utc) AS interval_hour, round(avg(f.actual_load_mw), 6) AS demand_mw,
+       round(avg(w.temperature_2m_c), 6) AS temperature_c, round(avg(w.relative_humidity_percent), 6) AS relative_humidity_percent
+FROM fact f JOIN weather w ON f.interval_start_utc = w.interval_start_utc
+GROUP BY date_trunc('hour', f.interval_start_utc)""")
+
+SQL["fuel_mix"] = """
+WITH each AS (SELECT CAST(ts AS DATE) AS d, event_type, CAST(count(*) * 137 AS DOUBLE) AS mw FROM events GROUP BY 1, 2),
+total AS (SELECT d, sum(mw) AS total_mw FROM each GROUP BY d)
+SELECT CAST(d AS TIMESTAMP) + INTERVAL 26 HOUR + INTERVAL 15 MINUTE AS interval_start_utc, event_type AS fuel_category, mw AS generation_mw,
+       total_mw, round(mw / total_mw * 100, 6) AS share_percent
+FROM each JOIN total USING (d)
+"""
+
+SQL["snapshot"] = """
+WITH days AS (SELECT CAST(ts AS DATE) AS d, count(*) AS n FROM events GROUP BY 1),
+shown AS (
+  SELECT d, '1' AS id, 'Demand' AS t, format('{:,}', n * 1234) AS v FROM days
+  UNION ALL SELECT d, '2', 'Cost', '$' || format('{:,.2f}', n / 8) FROM days
+  UNION ALL SELECT d, '3', 'Flow', '-' || format('{:,}', n * 7) FROM days
+  UNION ALL SELECT d, '4', 'State', 'n/a' FROM days
+)
+SELECT id AS metric_id, t AS metric_name, TRY_CAST(replace(replace(v, '$', ''), ',', '') AS DOUBLE) AS metric_value, v AS raw_value,
+       CAST(d AS TIMESTAMP) + INTERVAL 26 HOUR + INTERVAL 15 MINUTE AS observed_at_utc
+FROM shown
+"""
+
+_FAULTS = f"""
+e AS (SELECT *, date_trunc('hour', ts) - to_hours(hour(ts) % 3) + INTERVAL 180 DAY AS b, 'Z' || CAST(user_id % 10 + 1 AS VARCHAR) AS zone,
+             upper(trim(event_type)) AS r FROM events),
+recs AS (
+  SELECT event_id, ts, CAST(0 AS INTEGER) AS record_index, b AS local_start, CAST(ts AS DATE) AS init, r AS region, zone, value AS v
+  FROM e WHERE event_id % 97 <> 0
+  UNION ALL
+  SELECT event_id, ts, 1, CASE WHEN event_id % 8 <> 0 THEN b + INTERVAL 3 HOUR END, CAST(ts AS DATE),
+         CASE WHEN event_id % 8 = 3 THEN 'ELSEWHERE' ELSE r END, CASE WHEN event_id % 8 = 3 THEN 'Z99' ELSE zone END,
+         CASE WHEN event_id % 8 IN (1, 4) THEN NULL WHEN event_id % 8 = 2 THEN CAST('-1' || CAST(value AS VARCHAR) AS DOUBLE) ELSE value END
+  FROM e WHERE event_id % 97 <> 0
+  UNION ALL
+  SELECT event_id, ts, NULL, NULL, NULL, NULL, NULL, NULL FROM e WHERE event_id % 97 = 0
+),
+placed AS (SELECT *, CAST(local_start AS DATE) AS market_date, {_utc('local_start')} AS interval_start_utc FROM recs)"""
+
+SQL["rule_labels_faults"] = f"""
+WITH {_FAULTS},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY interval_start_utc, region ORDER BY event_id DESC, record_index DESC NULLS LAST) AS rn FROM placed)
+SELECT event_id, record_index, market_date, interval_start_utc, region, v AS actual_load_mw,
+       CASE WHEN interval_start_utc IS NULL THEN 'INVALID_TIMESTAMP' WHEN v IS NULL THEN 'MISSING_MEASUREMENT' WHEN v < 0 THEN 'NEGATIVE_LOAD'
+            WHEN NOT (region IN {REGIONS}) THEN 'UNEXPECTED_REGION' WHEN rn > 1 THEN 'DUPLICATE_BUSINESS_KEY' END AS quarantine_reason
+FROM ranked
+"""
+
+SQL["forecast_labels_faults"] = f"""
+WITH {_FAULTS},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY init, interval_start_utc, zone ORDER BY event_id DESC, record_index DESC NULLS LAST) AS rn FROM placed)
+SELECT event_id, record_index, market_date, init AS forecast_init_date, interval_start_utc, region, zone AS local_resource_zone, v AS load_forecast_mw,
+       CASE WHEN interval_start_utc IS NULL THEN 'INVALID_TIMESTAMP' WHEN v IS NULL THEN 'MISSING_MEASUREMENT' WHEN v < 0 THEN 'NEGATIVE_FORECAST'
+            WHEN NOT (zone IN {ZONES}) THEN 'UNEXPECTED_ZONE' WHEN rn > 1 THEN 'DUPLICATE_BUSINESS_KEY' END AS quarantine_reason
+FROM ranked
+"""
+
+SQL["utc_normalise_year"] = f"""
+WITH moved AS (SELECT event_id, date_trunc('hour', ts) + to_days(CAST(event_id % 12 * 30 AS INTEGER)) AS local FROM events),
+last AS (SELECT event_id, local, {_utc('local')} AS later FROM moved),
+-- an hour that occurs twice is the first of the two
+utc AS (SELECT event_id, local, CASE WHEN {_local('later - INTERVAL 1 HOUR')} = local THEN later - INTERVAL 1 HOUR ELSE later END AS ts_utc FROM last)
+SELECT event_id, local, ts_utc, CAST(hour({_local('ts_utc')}) AS SMALLINT) AS local_hour FROM utc
+"""
+
+SQL["manifest_statuses"] = """
+WITH files AS (
+  SELECT CAST(ts AS DATE) AS d, event_id % 5 AS page, count(*) AS n FROM events GROUP BY 1, 2
+),
+kinds AS (SELECT *, (day(d) * 5 + page) % 7 AS kind, 'page_' || lpad(CAST(page AS VARCHAR), 4, '0') || '.json' AS file_name FROM files)
+SELECT CAST(d AS VARCHAR) AS market_date, 'actual' AS dataset, file_name,
+       CASE WHEN kind <> 1 THEN n + CASE WHEN kind = 2 THEN 1 ELSE 0 END END AS declared_rows, CASE WHEN kind <> 0 THEN n END AS landed_rows,
+       CAST(CASE WHEN kind = 1 THEN 0 ELSE 1 END AS BIGINT) AS declared_files,
+       CAST(CASE kind WHEN 0 THEN 0 WHEN 4 THEN 2 ELSE 1 END AS BIGINT) AS landed_files,
+       CASE kind WHEN 0 THEN 'MISSING' WHEN 1 THEN 'UNLISTED' WHEN 2 THEN 'ROW_COUNT_MISMATCH' WHEN 3 THEN 'CHECKSUM_MISMATCH'
+                 WHEN 4 THEN 'DUPLICATE' ELSE 'OK' END AS status
+FROM kinds
+"""
+
+SQL["ordinary_pairs"] = _with(f"""
+, a AS (SELECT DISTINCT market_date, interval_start_utc, region FROM act WHERE region IN {REGIONS}),
+f AS (SELECT DISTINCT market_date, interval_start_utc, local_resource_zone AS zone FROM fc),
+pa AS (SELECT market_date, count(*) AS actual_rows, count(*) = 24 AND count(DISTINCT region) = 3 AS actual_is_ordinary FROM a GROUP BY market_date),
+pf AS (SELECT market_date, count(*) AS forecast_rows,
+              count(*) = 80 AND count(DISTINCT zone) = 10 AND count(DISTINCT CASE WHEN zone IN {ZONES} THEN zone END) = 10 AS forecast_is_ordinary
+       FROM f GROUP BY market_date)
+SELECT market_date, actual_rows, forecast_rows, actual_is_ordinary, forecast_is_ordinary,
+       coalesce(actual_is_ordinary AND forecast_is_ordinary, false) AS is_ordinary
+FROM pa FULL OUTER JOIN pf USING (market_date)""")
+
+SQL["evaluate_gate"] = f"""
+WITH runs AS (WITH {_EVENTS}
+{_outcomes('run1', AS_OF, 'SELECT count(*) FROM quarantine')})
+SELECT * FROM runs UNION ALL
+SELECT 'run1', 'gate', 'no_blocking_failure', count(*), CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END, true, {AS_OF}
+FROM runs WHERE is_blocking AND status = 'FAIL'
+"""

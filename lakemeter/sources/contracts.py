@@ -8,6 +8,7 @@ The raw JSON type of each value is read from a VARIANT, which (unlike a typed
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -50,6 +51,8 @@ def check_payloads(bronze: DataFrame, value_field: str, payload_col: str = "raw_
     Each expensive value (the parsed array, the first violation) is computed once in its
     own projection and then referenced, so the optimizer never re-evaluates it per field.
     """
+    if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", value_field):
+        raise ValueError(f"not a field name: {value_field!r}")
     data = F.expr(f"try_variant_get(try_parse_json({payload_col}), '$.data', 'array<variant>')")
     labelled = F.expr(
         "filter(transform(_data, (x, i) -> named_struct('i', i, 'r', "
@@ -87,29 +90,46 @@ def manifest_entries(manifests: DataFrame, payload_col: str = "raw_payload", kee
 
 
 def landed_files(bronze: DataFrame, payload_col: str = "raw_payload", file_col: str = "raw_file_name") -> DataFrame:
-    """Per landed file: the date folder it lies in (NULL without one), base name, record count of
-    ``data`` and raw-byte checksum."""
+    """Per landed file: the date folder it lies in (NULL without one), its dataset where Bronze names one,
+    base name, record count of ``data`` and raw-byte checksum."""
     data = F.expr(f"try_variant_get(try_parse_json(`{payload_col}`), '$.data', 'array<variant>')")
     day = F.regexp_extract(F.col(file_col), r"/(\d{4}-\d{2}-\d{2})/", 1)
     return bronze.select(
         F.when(day != "", day).alias("market_date"),
+        *([F.col("dataset_name").alias("dataset")] if "dataset_name" in bronze.columns else []),
         F.regexp_extract(F.col(file_col), r"([^/]+)$", 1).alias("file_name"),
         F.coalesce(F.size(data), F.lit(0)).cast("bigint").alias("landed_rows"),
         checksum(payload_col).alias("landed_sha256"),
     )
 
 
-def reconcile(declared: DataFrame, landed: DataFrame, key: str | Sequence[str] = "file_name") -> DataFrame:
+RECONCILE_KEYS = ("market_date", "dataset", "file_name")
+
+
+def _per_key(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
+    """One row per key: the greatest row count and checksum, and how often the key occurs."""
+    return df.groupBy(*[F.col(k).alias(f"_{prefix}_{k}") for k in keys]).agg(
+        F.max(f"{prefix}_rows").alias(f"{prefix}_rows"), F.max(f"{prefix}_sha256").alias(f"{prefix}_sha256"),
+        F.count(F.lit(1)).alias(f"{prefix}_files"))
+
+
+def reconcile(declared: DataFrame, landed: DataFrame, key: str | Sequence[str] | None = None) -> DataFrame:
     """Full outer comparison of what manifests declare with what landed.
 
-    Every day's pages have the same base names, so several days need the date in ``key``
-    (``["market_date", "file_name"]``)."""
-    keys = [key] if isinstance(key, str) else list(key)
-    j = declared.join(landed.select(*keys, *[c for c in landed.columns if c not in declared.columns]), keys, "full")
-    status = (F.when(F.col("declared_rows").isNull() & F.col("declared_sha256").isNull()
-                     & F.col("landed_sha256").isNotNull(), "UNLISTED")
-              .when(F.col("landed_sha256").isNull() & F.col("landed_rows").isNull(), "MISSING")
+    Every day's pages have the same base names, so the default key is those of (market date, dataset, file) that
+    both sides have.  A key is compared once however often it occurs: both sides are reduced to one row per key
+    first, so the join never multiplies rows, and a key that occurs more than once on a side is a
+    DUPLICATE.  NULL parts of a key match each other."""
+    keys = [key] if isinstance(key, str) else list(key or [k for k in RECONCILE_KEYS if k in declared.columns and k in landed.columns])
+    d, l = _per_key(declared, keys, "declared"), _per_key(landed, keys, "landed")
+    same = [d[f"_declared_{k}"].eqNullSafe(l[f"_landed_{k}"]) for k in keys]
+    j = d.join(l, same, "full")
+    status = (F.when(F.col("declared_files").isNull(), "UNLISTED")
+              .when(F.col("landed_files").isNull(), "MISSING")
+              .when((F.col("declared_files") > 1) | (F.col("landed_files") > 1), "DUPLICATE")
               .when(~F.col("declared_rows").eqNullSafe(F.col("landed_rows")), "ROW_COUNT_MISMATCH")
               .when(~F.col("declared_sha256").eqNullSafe(F.col("landed_sha256")), "CHECKSUM_MISMATCH")
               .otherwise("OK"))
-    return j.withColumn("status", status)
+    return j.select(*[F.coalesce(f"_declared_{k}", f"_landed_{k}").alias(k) for k in keys], "declared_rows", "declared_sha256",
+                    "landed_rows", "landed_sha256", F.coalesce("declared_files", F.lit(0)).alias("declared_files"),
+                    F.coalesce("landed_files", F.lit(0)).alias("landed_files"), status.alias("status"))
