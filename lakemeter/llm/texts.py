@@ -98,10 +98,14 @@ def release() -> None:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POW[0]) < n:
         size = 1 << int(n).bit_length()
-        for slot, base in enumerate((_ODD, _INV)):
+        pair = []
+        for base in (_ODD, _INV):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
-            _POW[slot] = np.multiply.accumulate(steps)
+            pair.append(np.multiply.accumulate(steps))
+        if size > 4 * BLOCK_BYTES:  # one very long text: not kept
+            return pair[0][:n], pair[1][:n]
+        _POW[:] = pair
     return _POW[0][:n], _POW[1][:n]
 
 

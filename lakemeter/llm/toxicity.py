@@ -100,19 +100,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, train, id_col: str, text
 def continuations(sample: DataFrame) -> DataFrame:
     """(word, c0, c1): how many different words each word follows in each class."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = T.string_buffers(batch["text"])
-            w = T.words(data, offsets, lower=True, between=T.NOT_ALNUM)
+        for block in T.blocks(batches, "id"):
+            w = T.words(block.data, block.offsets, lower=True, between=T.NOT_ALNUM)
+            if not len(w.hash):
+                continue
             before = np.zeros(len(w.hash), np.uint64)
             before[1:] = np.where(w.doc[1:] == w.doc[:-1], w.hash[:-1], 0)
-            label = batch["label"].to_numpy()[w.doc]
-            rows = np.unique(np.rec.fromarrays([label, before, w.hash], names="label,before,word")) if len(w.hash) else None
-            if rows is not None:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.ascontiguousarray(rows["label"]), pa.int32()), pa.array(np.ascontiguousarray(rows["before"]).view(np.int64)),
-                     pa.array(np.ascontiguousarray(rows["word"]).view(np.int64))], names=["label", "before", "word"])
-
-    pairs = sample.select("text", "label").mapInArrow(run, "label int, before long, word long").distinct()
+            label = block.batch["label"].slice(block.first_row, len(block)).to_numpy()[w.doc]
+            rows = np.unique(np.rec.fromarrays([label, before, w.hash], names="label,before,word"))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.ascontiguousarray(rows["label"]), pa.int32()), pa.array(np.ascontiguousarray(rows["before"]).view(np.int64)),
+                 pa.array(np.ascontiguousarray(rows["word"]).view(np.int64))], names=["label", "before", "word"])
+
+    pairs = sample.select("id", "text", "label").mapInArrow(run, "label int, before long, word long").distinct()
     return pairs.groupBy("word").agg(F.count_if(F.col("label") == 0).alias("c0"), F.count_if(F.col("label") == 1).alias("c1"))
 
 
