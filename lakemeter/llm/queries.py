@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemeter.llm import ann, bpe, debruijn, dialogue, exact_topk, jaccard, licenses, lm, mixing, spelling, suffix, toxicity, word_bpe
+from lakemeter.llm.sql import SQL  # noqa: F401  (read by the registry)
 from lakemeter.llm.texts import crc_mod, table
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -98,5 +99,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: _rea
     op6_toxicity, op7_mixing, op8_license_scan, op9_jaccard_join, op10_lm_scoring,
     op11_word_bpe, op12_spelling_variants, op13_conversation_repair,
 )}
-
-SQL: dict[str, str] = {}
