@@ -129,12 +129,18 @@ def paths(repeats: DataFrame, scratch: Scratch) -> DataFrame:
     # starts rise along a path, so there is no cycle and doubling ends
     chain = scratch.save(nodes.join(step, "node", "left").select(
         "node", F.coalesce("ptr", "node").alias("ptr"), F.when(F.col("ptr").isNull(), 0).otherwise(1).alias("rank")))
-    while True:
-        far = chain.filter("rank > 0").select(F.col("node").alias("ptr"), F.col("ptr").alias("far"), F.col("rank").alias("more"))
-        if not chain.join(far, "ptr", "left_semi").limit(1).count():
-            return chain.select(F.col("node.gram").alias("gram"), F.col("node.text").alias("text"), F.col("ptr").alias("head"), "rank")
-        chain = scratch.save(chain.join(far, "ptr", "left").select(
-            "node", F.coalesce("far", "ptr").alias("ptr"), (F.col("rank") + F.coalesce("more", F.lit(0))).alias("rank")))
+    heads = chain.filter("rank = 0").select(F.col("node").alias("ptr"), F.lit(True).alias("at_head"))
+    moved = scratch.save(chain.filter("rank > 0").join(heads, "ptr", "left").select("node", "ptr", "rank", F.coalesce("at_head", F.lit(False)).alias("at_head")))
+    # nodes that have reached the head are set aside; the others point 2, 4, 8 ... back, no two to one node
+    done = chain.filter("rank = 0").select("node", "ptr", "rank", F.lit(True).alias("at_head")).unionByName(moved.filter("at_head"))
+    active = moved.filter("not at_head")
+    while not active.isEmpty():
+        far = done.filter("rank > 0").unionByName(active).select(
+            F.col("node").alias("ptr"), F.col("ptr").alias("far"), F.col("rank").alias("more"), F.col("at_head").alias("far_head"))
+        moved = scratch.save(active.join(far, "ptr").select("node", F.col("far").alias("ptr"), (F.col("rank") + F.col("more")).alias("rank"),
+                                                            F.col("far_head").alias("at_head")))
+        done, active = done.unionByName(moved.filter("at_head")), moved.filter("not at_head")
+    return done.select(F.col("node.gram").alias("gram"), F.col("node.text").alias("text"), F.col("ptr").alias("head"), "rank")
 
 
 def path_spans(repeats: DataFrame, compact: DataFrame, scratch: Scratch) -> DataFrame:
