@@ -26,20 +26,20 @@ VALUE_INVALID = "VALUE_INVALID"
 _NUMERIC = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
 
 
-def _record_violation(value_field: str) -> str:
-    """SQL lambda body: first violated clause of one record ``x`` (NULL when it passes)."""
-    value = f"variant_get(x, '$.{value_field}')"
-    return f"""CASE
-      WHEN NOT startswith(coalesce(schema_of_variant(x), ''), 'OBJECT') THEN '{RECORD_NOT_OBJECT}'
-      WHEN NOT startswith(coalesce(schema_of_variant(variant_get(x, '$.timeInterval')), ''), 'OBJECT')
-           OR coalesce(try_variant_get(x, '$.timeInterval.start', 'string'), '') = ''
-           THEN '{NO_INTERVAL_START}'
-      WHEN {value} IS NULL OR is_variant_null({value})
-           OR NOT regexp_like(schema_of_variant({value}), '{_NUMERIC}') THEN '{VALUE_NOT_NUMERIC}'
-      WHEN isnan(try_variant_get(x, '$.{value_field}', 'double'))
-           OR abs(try_variant_get(x, '$.{value_field}', 'double')) = double('inf')
-           OR try_variant_get(x, '$.{value_field}', 'double') < 0 THEN '{VALUE_INVALID}'
-    END"""
+def _record_fields(value_field: str) -> str:
+    """SQL lambda body: what the contract asks about one record ``x``, each path read once."""
+    return (f"named_struct('x', x, 'start', try_variant_get(x, '$.timeInterval.start', 'string'), "
+            f"'value', variant_get(x, '$.{value_field}'))")
+
+
+#: SQL lambda body: first violated clause of a record's fields ``f`` (NULL when it passes).  A record with an interval
+#: start is an object; NaN and infinity lie outside the range of finite values
+_VIOLATION = f"""CASE
+  WHEN f.start IS NULL AND NOT startswith(coalesce(schema_of_variant(f.x), ''), 'OBJECT') THEN '{RECORD_NOT_OBJECT}'
+  WHEN coalesce(f.start, '') = '' THEN '{NO_INTERVAL_START}'
+  WHEN f.value IS NULL OR is_variant_null(f.value) OR NOT regexp_like(schema_of_variant(f.value), '{_NUMERIC}') THEN '{VALUE_NOT_NUMERIC}'
+  WHEN NOT coalesce(try_variant_get(f.value, '$', 'double') BETWEEN 0 AND 1.7976931348623157E308D, false) THEN '{VALUE_INVALID}'
+END"""
 
 
 def check_payloads(bronze: DataFrame, value_field: str, payload_col: str = "raw_payload",
@@ -55,8 +55,7 @@ def check_payloads(bronze: DataFrame, value_field: str, payload_col: str = "raw_
         raise ValueError(f"not a field name: {value_field!r}")
     data = F.expr(f"try_variant_get(try_parse_json({payload_col}), '$.data', 'array<variant>')")
     labelled = F.expr(
-        "filter(transform(_data, (x, i) -> named_struct('i', i, 'r', "
-        + _record_violation(value_field) + ")), s -> s.r IS NOT NULL)")
+        f"filter(transform(transform(_data, x -> {_record_fields(value_field)}), (f, i) -> named_struct('i', i, 'r', {_VIOLATION})), s -> s.r IS NOT NULL)")
     parsed = bronze.select(*keep, data.alias("_data"))
     checked = parsed.select(*keep, F.coalesce(F.size("_data"), F.lit(0)).alias("_n"),
                             F.try_element_at(labelled, F.lit(1)).alias("_first"))
