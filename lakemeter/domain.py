@@ -37,8 +37,6 @@ FORECAST_KEYS = ("forecast_init_date", "interval_start_utc", "local_resource_zon
 QUARANTINE_KEYS = ("dataset_name", "batch_id", "raw_file_name", "interval_start_utc", "region",
                    "local_resource_zone", "quarantine_reason")
 QUALITY_KEYS = ("run_id", "dataset_name", "rule_name")
-FACT_KEYS = ("forecast_init_date", "interval_start_utc", "region")
-DAILY_KEYS = ("market_date", "region")
 
 
 def _interval_struct() -> StructType:
