@@ -286,4 +286,4 @@ def test_pipeline_stages(workers):
 
 
 def test_registered():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]

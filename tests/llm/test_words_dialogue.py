@@ -284,3 +284,23 @@ def test_long_conversation_in_blocks_equals_one_search(workers):
     form = "".join(x["role"][0] for x in repaired if x["conv_id"] == 1)
     assert re.fullmatch("(s?(ua)+)?", form) and len(form) == sum(c != "D" for c in report[1]["audit"])
     assert (report[2]["cost"], report[2]["audit"]) == (0, "K" * 50)
+
+
+# -- the pipeline on odd rows ---------------------------------------------------------------------------
+def test_pipeline_takes_odd_rows_and_none(workers, docs, no_docs):
+    """Null and repeated ids, empty texts, clashing column names, an empty table: every stage gives its rows."""
+    import corpus_pipeline
+    from lakemeter.session import materialize
+
+    for rows in (docs, no_docs):
+        kept = rows
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            before = kept
+            kept = materialize(stage(workers, before, SF))
+            assert kept.columns == rows.columns, name
+            if name == "near_duplicates" and before.count():
+                empty = F.coalesce(F.trim("text"), F.lit("")) == ""
+                assert kept.filter(empty).count() == before.filter(empty).count()
+                assert kept.select("doc_id", "text").distinct().count() == kept.filter(~empty).count() + kept.filter(empty).select("doc_id", "text").distinct().count()
+        encoded = corpus_pipeline.STAGES[-1][1](workers, kept, SF)
+        assert encoded.count() == kept.count() and {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"} <= set(encoded.columns)
