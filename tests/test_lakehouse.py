@@ -1,6 +1,5 @@
 """End-to-end runs over synthetic landing files (cases of the fixture plan)."""
 
-import json
 import os
 
 import pytest

@@ -13,7 +13,6 @@ from lakemeter.plans import reports
 from lakemeter.plans import tables as T
 from lakemeter.plans.bindings import events_between
 from lakemeter.plans.lakehouse import Lakehouse
-from lakemeter.session import Scratch
 from lakemeter.sources.contracts import check_payloads, reconcile
 from lakemeter.streaming.incremental import BatchLedger, start_landing
 from tests import payloads as P
