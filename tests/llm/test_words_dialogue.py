@@ -9,7 +9,6 @@ from collections import Counter
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as S
 
 from lakemeter.llm import bpe, dialogue, spelling, word_bpe
 from lakemeter.llm import queries as Q
