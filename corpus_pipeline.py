@@ -21,12 +21,14 @@ from lakemeter.session import materialize
 #: partitions that a shard of the mix is dealt over
 SHARD_SALTS = 8
 #: rows that Spark sends to a Python worker at a time
-BATCH_ROWS = 2_000
+BATCH_ROWS = 1_000
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Whole documents are wide rows: fewer of them in a batch keep both ends of the pipe small."""
+    """Whole documents are wide rows: fewer of them in a batch keep both ends of the pipe small, and the reader's
+    buffers of texts too."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", BATCH_ROWS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -106,7 +106,7 @@ def profile(docs: DataFrame) -> DataFrame:
             [pa.array(np.ones(SLICES, np.int32)), long, long, task, long, long, pa.array(np.arange(SLICES, dtype=np.int32)), pa.array(parts, pa.binary())],
             names=["kind", "id", "hash", "n", "set1", "set2", "slice", "counts"])
 
-    return docs.select("doc_id", "hash", "text").mapInArrow(run, _PROFILE)
+    return docs.select("doc_id", "hash", "text").mapInArrow(T.tidy_batches(run), _PROFILE)
 
 
 def slot_counts(profiled: DataFrame) -> np.ndarray:
@@ -121,7 +121,7 @@ def slot_counts(profiled: DataFrame) -> np.ndarray:
 
     # summed in two steps, so no task meets the parts of all tasks
     parts = profiled.filter("kind = 1").select("slice", F.pmod("n", F.lit(1024)).alias("part"), "counts")
-    parts = parts.groupBy("slice", "part").applyInArrow(adder(np.uint16), "slice int, counts binary")
+    parts = parts.groupBy("slice", "part").applyInArrow(T.tidy_group(adder(np.uint16)), "slice int, counts binary")
     rows = parts.groupBy("slice").applyInArrow(adder(np.int64), "slice int, counts binary").collect()  # SLICES rows
     out = np.zeros((SLICES, SLOTS // SLICES), np.int64)
     for r in rows:
@@ -188,8 +188,8 @@ def shared_lists(docs: DataFrame, counts: np.ndarray, shards: int) -> DataFrame:
             "member": pa.chunked_array([pa.array(np.ascontiguousarray(member).view(np.int64)), pa.array(np.ascontiguousarray(many["s"]).view(np.int64))]),
             "shingle": pa.chunked_array([pa.nulls(len(pivot), pa.int64()), pa.array(np.ascontiguousarray(many["v"]).view(np.int64))])})
 
-    lists = docs.select("doc_id", "text").mapInArrow(listed, "shard long, rows binary")
-    return lists.groupBy("shard").applyInArrow(group, "pivot long, member long, shingle long")
+    lists = docs.select("doc_id", "text").mapInArrow(T.tidy_batches(listed), "shard long, rows binary")
+    return lists.groupBy("shard").applyInArrow(T.tidy_group(group), "pivot long, member long, shingle long")
 
 
 def regions(groups: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
@@ -310,7 +310,7 @@ def small_regions(rows: DataFrame) -> DataFrame:
         m = _from_table(table)
         return _links(pivot_join(m), m.ids)
 
-    return rows.filter(F.col("members") <= REGION).select("region", "id", "text").groupBy("region").applyInArrow(run, _LINK)
+    return rows.filter(F.col("members") <= REGION).select("region", "id", "text").groupBy("region").applyInArrow(T.tidy_group(run), _LINK)
 
 
 def large_regions(every: DataFrame, scratch: Scratch) -> DataFrame | None:
@@ -329,7 +329,8 @@ def large_regions(every: DataFrame, scratch: Scratch) -> DataFrame | None:
                          "p_text": pa.array([table["text"][p].as_py()], pa.string())})
 
     sample = rows.join(rows.groupBy("region").agg(F.min("share").alias("share")), ["region", "share"]).select("region", "id", "text")
-    pivots = sample.groupBy("region").applyInArrow(centre, "region long, p_id long, p_text string")
+    # saved: in one stage with ``ball`` each task would hold two Python workers, and an executor keeps all it has had
+    pivots = scratch.save(sample.groupBy("region").applyInArrow(T.tidy_group(centre), "region long, p_id long, p_text string"))
 
     def ball(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -347,7 +348,7 @@ def large_regions(every: DataFrame, scratch: Scratch) -> DataFrame | None:
                     names=["region", "id", "p_id", "near", "distance"])
 
     tried = scratch.save(rows.join(pivots, "region").select("region", "id", "text", "p_id", "p_text")
-                        .mapInArrow(ball, "region long, id long, p_id long, near boolean, distance double"))
+                        .mapInArrow(T.tidy_batches(ball), "region long, id long, p_id long, near boolean, distance double"))
     links = tried.filter("near and id != p_id").select(F.col("p_id").alias("a"), F.col("id").alias("b"))
     # outside the ball: each against all that its distance to the pivot allows
     left = tried.filter("not near").groupBy("region").agg(
@@ -379,7 +380,7 @@ def large_regions(every: DataFrame, scratch: Scratch) -> DataFrame | None:
         return _links(pivot_join(m, active=own == row, block=own), m.ids)
 
     found = tiles.join(rows.select("region", "id", "text"), ["region", "id"]).select("region", "row", "column", "own", "id", "text") \
-        .groupBy("region", "row", "column").applyInArrow(tile, _LINK)
+        .groupBy("region", "row", "column").applyInArrow(T.tidy_group(tile), _LINK)
     return links.unionByName(found)
 
 

@@ -177,7 +177,7 @@ def segment_rows(docs: DataFrame, shards: int, buckets: int) -> DataFrame:
                 held, n = [], 0
         yield from flush(held)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(T.tidy_batches(run), schema)
 
 
 def spans_of(r: np.ndarray) -> np.ndarray:
@@ -276,8 +276,10 @@ def merge_shards(heads: DataFrame, buckets: int) -> DataFrame:
             .mapInArrow(run, A.SPANS))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: str = "") -> DataFrame:
-    """``docs`` with ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (the bytes that stay), names after ``prefix``."""
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: str = "", finish=None) -> DataFrame:
+    """``docs`` with ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (the bytes that stay), names after ``prefix``.
+
+    ``finish`` makes a table of the columns of ``docs`` out of such a table, in the same step."""
     key = T.free_name(docs, "_suffix_key")
     docs = docs.withColumn(key, T.row_key(id_col, text_col))
     plain = docs.select(F.col(key).alias("doc_id"), F.col(text_col).alias("text"))
@@ -308,10 +310,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(upto.astype(np.int64)), pa.py_buffer(data[~mask].tobytes())])
         for name, values in (("n_bytes", pa.array(size)), ("n_removed", pa.array(removed)), ("n_spans", pa.array(runs)), ("kept", kept.cast(pa.binary()))):
             table = table.append_column(prefix + name, values)
-        return table
+        return finish(table) if finish else table
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return A.apply_spans(docs, spans, buckets, cut, f"{fields}, `{prefix}n_bytes` long, `{prefix}n_removed` long, `{prefix}n_spans` long, `{prefix}kept` binary", key).drop(key)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    if not finish:
+        schema += f", `{prefix}n_bytes` long, `{prefix}n_removed` long, `{prefix}n_spans` long, `{prefix}kept` binary"
+    return A.apply_spans(docs, spans, buckets, cut, schema, key).drop(key)
 
 
 def report(cut: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -321,18 +325,16 @@ def report(cut: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def cut_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """``docs`` with the repeats taken out of the texts (a character cut in two goes whole)."""
     prefix = "_suffix_"
-    done = remove_repeats(docs, id_col, text_col, prefix)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = {f.name: batch.column(i) for i, f in enumerate(batch.schema)}
-            texts, removed = columns[text_col].to_pylist(), columns[prefix + "n_removed"].to_pylist()
-            kept = [t if not n else k.as_py().decode("utf-8", "ignore") for t, n, k in zip(texts, removed, columns[prefix + "kept"])]
-            columns[text_col] = pa.array(kept, columns[text_col].type)
-            if chars_col in columns:
-                old = columns[chars_col].to_pylist()
-                columns[chars_col] = pa.array([o if not n else len(k) for o, n, k in zip(old, removed, kept)], columns[chars_col].type)
-            names = [x for x in columns if not x.startswith(prefix)]
-            yield pa.RecordBatch.from_arrays([columns[x] for x in names], names=names)
-
-    return done.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+    def finish(table: pa.Table) -> pa.Table:
+        texts, removed = table[text_col].to_pylist(), table[prefix + "n_removed"].to_pylist()
+        kept = [t if not n else k.as_py().decode("utf-8", "ignore") for t, n, k in zip(texts, removed, table[prefix + "kept"])]
+        new = {text_col: pa.array(kept, table.schema.field(text_col).type)}
+        if chars_col in table.schema.names:
+            old = table[chars_col].to_pylist()
+            new[chars_col] = pa.array([o if not n else len(k) for o, n, k in zip(old, removed, kept)], table.schema.field(chars_col).type)
+        names = [x for x in table.schema.names if x not in columns]
+        return pa.table({x: new.get(x, table[x]) for x in names})
+
+    columns = [prefix + x for x in ("n_bytes", "n_removed", "n_spans", "kept")]
+    return remove_repeats(docs, id_col, text_col, prefix, finish)

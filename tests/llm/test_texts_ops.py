@@ -4,6 +4,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -291,3 +292,32 @@ def test_longest_increasing():
 
 def test_extra_columns_are_carried(docs):
     assert jaccard.join(docs.withColumn("n", F.lit("x"))).columns == ["doc_id", "n_shingles", "component_id"]
+
+
+def test_one_python_worker_a_task(docs):
+    """An executor keeps every Python worker it has started: no stage of the cut holds two Python steps."""
+    plan = suffix.cut_texts(docs)._jdf.queryExecution().executedPlan().toString()
+    stage = plan[:plan.index("Exchange")]
+    assert stage.count("InArrow") == 1, stage
+
+
+def test_memory_goes_back_when_the_last_block_is_gone(monkeypatch):
+    import weakref
+
+    class Held:
+        pass
+
+    seen = []
+
+    def run(batches):
+        for x in batches:
+            held = Held()
+            seen.append(weakref.ref(held))
+            yield x
+
+    monkeypatch.setattr(T, "release", lambda: seen.append(all(x() is None for x in seen if callable(x))))
+    assert list(T.tidy_batches(run)(iter([1, 2]))) == [1, 2] and seen[-1] is True
+    small, large = pa.table({"x": [1]}), pa.table({"x": np.zeros(T.TIDY_BYTES // 8)})
+    n = len(seen)
+    assert T.tidy_group(lambda key, table: table)(0, small) is small and len(seen) == n
+    assert T.tidy_group(lambda key, table: table)(0, large) is large and len(seen) == n + 1
