@@ -224,3 +224,46 @@ def test_incremental_gold(spark, scratch):
     fact = house.store.read(Lakehouse.FACT)
     assert fact.count() == 72 and {str(r.market_date) for r in fact.select("market_date").distinct().collect()} == {"2023-09-01"}
     assert house.store.read(Lakehouse.PERFORMANCE).count() == 3
+
+
+def test_whole_partitions_and_new_rows_are_not_shuffled(spark, scratch, monkeypatch):
+    """Bronze rows of dates that fill their landing partitions come without a join, others by their file; files that
+    are all new are written as they came; the index is made without a shuffle."""
+    from lakemeter.plans import tables
+    from lakemeter.sources.parse import record_dates
+
+    house = _house(spark, scratch)
+    days = {"a": ("2023-09-01", "2024-01-01"), "b": ("2023-09-02", "2024-01-01"), "c": ("2023-09-03", "2024-01-02")}
+    monkeypatch.setattr(tables, "unique_per_key", lambda *x: pytest.fail("no key is repeated"))
+    for name, (day, landed) in days.items():
+        _land(scratch, name, f"{name}.json", P.actual_records(f"{day}T00:00:00", hours=range(2)))
+        house.ingest(os.path.join(scratch, name), D.ACTUAL_DATASET, name, ingested_at=f"{landed} 00:00:00")
+    monkeypatch.undo()
+    _land(scratch, "d", "bad.json", raw="{not json")
+    house.ingest(os.path.join(scratch, "d"), D.ACTUAL_DATASET, "d", ingested_at="2024-01-03 00:00:00")
+
+    def wanted(*dates):
+        rows = house.bronze_for_dates(D.ACTUAL_DATASET, spark.createDataFrame([(x,) for x in dates], "d string").select(
+            F.col("d").cast("date").alias("market_date")))
+        return sorted(r.batch_id for r in rows.collect()), "Join" in rows._jdf.queryExecution().optimizedPlan().toString()
+
+    assert wanted("2023-09-03") == (["c", "d"], False)
+    assert wanted("2023-09-01", "2023-09-02") == (["a", "b", "d"], False)
+    assert wanted("2023-09-01") == (["a", "d"], True)
+    assert wanted(None) == (["d"], False)
+    raw = house.store.read(Lakehouse.ACTUAL_RAW)
+    made = record_dates(raw, D.actual_payload_schema(), unique=True)
+    assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+    assert sorted(made.collect(), key=str) == sorted(record_dates(raw, D.actual_payload_schema()).collect(), key=str)
+
+
+def test_insert_only_of_held_and_repeated_keys(spark, scratch):
+    """Held keys stay, repeated ones come once with the greatest row, null keys are a key."""
+    store = _house(spark, scratch).store
+    put = lambda rows, **how: store.insert_only("silver.keyed", spark.createDataFrame(rows, "k string, v int"), ["k"], **how)
+    held = lambda: sorted(map(tuple, store.read("silver.keyed").collect()), key=str)
+    assert put([("a", 1), (None, 2)]) == {"seen": 2, "inserted": 2}
+    assert put([("a", 9), (None, 9), ("b", 1), ("b", 3), ("c", 4)]) == {"seen": 5, "inserted": 2}
+    assert held() == [("a", 1), ("b", 3), ("c", 4), (None, 2)]
+    assert put([("c", 5), ("d", 6), ("d", 6), ("d", 7)], keep_repeats=True) == {"seen": 4, "inserted": 3}
+    assert held() == [("a", 1), ("b", 3), ("c", 4), ("d", 6), ("d", 6), ("d", 7), (None, 2)]
