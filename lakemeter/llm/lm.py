@@ -299,40 +299,57 @@ def attend(t: dict[str, np.ndarray], u: np.ndarray) -> tuple[np.ndarray, np.ndar
     return z, z @ t["split"]
 
 
+_REL = np.arange(CONTEXT)[:, None] - np.arange(CONTEXT)[None, :]
+_AHEAD = np.where(_REL >= 0, np.float32(0), np.float32(-1e9))
+_FAR = np.maximum(_REL, 0)
+_WIDE = np.arange(WIDTH)
+
+
 def gradients(p: dict[str, np.ndarray], u: np.ndarray, target: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
-    """Gradients of the mean cross-entropy of the next class over a batch of windows."""
+    """Gradients of the mean cross-entropy of the next class over a batch of windows.
+
+    Projections are one product, sums along rows are products with ones, and vectors of units are added up by one
+    weighted count: many small arrays cost more here than their numbers."""
     n, c = u.shape
-    x = p["e"][u]
-    q, k, v = x @ p["wq"], x @ p["wk"], x @ p["wv"]
+    flat_u, rows = u.ravel(), n * c
     scale = np.float32(1 / np.sqrt(WIDTH))
-    rel = np.arange(c)[:, None] - np.arange(c)[None, :]
-    s = np.matmul(q, k.transpose(0, 2, 1)) * scale + np.where(rel >= 0, p["far"][np.maximum(rel, 0)], np.float32(-1e9))
-    s -= s.max(axis=2, keepdims=True)
-    a = np.exp(s)
-    a /= a.sum(axis=2, keepdims=True)
-    o = np.matmul(a, v)
-    z = x @ p["wx"] + o @ p["out"] + p["b"]
-    z -= z.max(axis=2, keepdims=True)
-    d = np.exp(z)
-    d /= d.sum(axis=2, keepdims=True)
-    i, j = np.indices(u.shape)
-    d[i, j, target] -= 1
-    d *= (weight / max(weight.sum(), 1))[:, :, None]
-    g = {"wx": np.tensordot(x, d, ([0, 1], [0, 1])), "out": np.tensordot(o, d, ([0, 1], [0, 1])), "b": d.sum(axis=(0, 1))}
-    do = d @ p["out"].T
-    dx = d @ p["wx"].T
-    da = np.matmul(do, v.transpose(0, 2, 1))
-    dv = np.matmul(a.transpose(0, 2, 1), do)
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-    g["far"] = np.bincount(np.maximum(rel, 0).ravel(), weights=np.where(rel >= 0, ds.sum(axis=0), 0).ravel(), minlength=CONTEXT)[:CONTEXT].astype(np.float32)
-    dq = np.matmul(ds, k) * scale
-    dk = np.matmul(ds.transpose(0, 2, 1), q) * scale
-    for name, dy in (("wq", dq), ("wk", dk), ("wv", dv)):
-        g[name] = np.tensordot(x, dy, ([0, 1], [0, 1]))
-        dx += dy @ p[name].T
-    e = np.zeros_like(p["e"])
-    np.add.at(e, u.ravel(), dx.reshape(-1, WIDTH))
-    g["e"] = e
+    into = np.concatenate([p["wq"] * scale, p["wk"], p["wv"]], axis=1)
+    x = p["e"][flat_u]
+    y = (x @ into).reshape(n, c, 3 * WIDTH)
+    q, k, v = y[..., :WIDTH], y[..., WIDTH:2 * WIDTH], y[..., 2 * WIDTH:]
+    a = np.matmul(q, k.transpose(0, 2, 1))
+    a += (p["far"][_FAR] + _AHEAD)[:c, :c]
+    a -= a.max(axis=2, keepdims=True)
+    np.exp(a, out=a)
+    a /= (a @ np.ones(c, np.float32))[:, :, None]
+    xo = np.concatenate([x, np.matmul(a, v).reshape(rows, WIDTH)], axis=1)
+    onto = np.concatenate([p["wx"], p["out"]])
+    d = xo @ onto
+    d += p["b"]
+    d -= d.max(axis=1, keepdims=True)
+    np.exp(d, out=d)
+    share = (weight / max(weight.sum(), 1)).ravel()
+    d *= (share / (d @ np.ones(d.shape[1], np.float32)))[:, None]
+    d[np.arange(rows), target.ravel()] -= share
+    both = xo.T @ d
+    g = {"wx": both[:WIDTH], "out": both[WIDTH:], "b": np.ones(rows, np.float32) @ d}
+    back = d @ onto.T
+    do = back[:, WIDTH:].reshape(n, c, WIDTH)
+    dy = np.empty_like(y)
+    np.matmul(a.transpose(0, 2, 1), do, out=dy[..., 2 * WIDTH:])
+    ds = np.matmul(do, v.transpose(0, 2, 1))
+    ds -= np.einsum("ijk,ijk->ij", ds, a)[:, :, None]
+    ds *= a
+    # the mask leaves zeros ahead of each place
+    g["far"] = np.bincount(_FAR[:c, :c].ravel(), weights=np.ones(n, np.float32) @ ds.reshape(n, c * c), minlength=CONTEXT).astype(np.float32)
+    np.matmul(ds, k, out=dy[..., :WIDTH])
+    np.matmul(ds.transpose(0, 2, 1), q, out=dy[..., WIDTH:2 * WIDTH])
+    dy = dy.reshape(rows, 3 * WIDTH)
+    three = x.T @ dy
+    g["wq"], g["wk"], g["wv"] = three[:, :WIDTH] * scale, three[:, WIDTH:2 * WIDTH], three[:, 2 * WIDTH:]
+    dx = back[:, :WIDTH] + dy @ into.T
+    units = p["e"].shape[0]
+    g["e"] = np.bincount((flat_u[:, None] * WIDTH + _WIDE).ravel(), weights=dx.ravel(), minlength=units * WIDTH).reshape(units, WIDTH).astype(np.float32)
     return g
 
 
@@ -357,9 +374,15 @@ def train_windows(ids: np.ndarray, model: Model, end_id: int) -> tuple[np.ndarra
 def descend(p: dict[str, np.ndarray], data, steps: int, rate: float, seed: int) -> dict[str, np.ndarray]:
     """Adam over shuffled batches of 64 windows: one walk over the data, or up to three until ``steps`` steps."""
     u, target, weight = data
-    p = {k: v.copy() for k, v in p.items()}
-    m = {k: np.zeros_like(v) for k, v in p.items()}
-    s = {k: np.zeros_like(v) for k, v in p.items()}
+    names, place = sorted(p), {}
+    at = 0
+    for k in names:
+        place[k] = slice(at, at + p[k].size)
+        at += p[k].size
+    # all weights in one array, so that a step is a few passes in place
+    now = flat(p)
+    views = {k: now[place[k]].reshape(p[k].shape) for k in names}
+    g, m, s, part = (np.zeros_like(now) for _ in range(4))
     r = np.random.Generator(np.random.PCG64(seed))
     batch, step = 64, 0
     once = -(-len(u) // batch)
@@ -368,11 +391,22 @@ def descend(p: dict[str, np.ndarray], data, steps: int, rate: float, seed: int)
         for at in range(0, len(u), batch):
             some = order[at:at + batch]
             step += 1
-            for k, g in gradients(p, u[some], target[some], weight[some]).items():
-                m[k] += 0.1 * (g - m[k])
-                s[k] += 0.01 * (g * g - s[k])
-                p[k] -= rate * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(s[k] / (1 - 0.99 ** step)) + 1e-6)
-    return p
+            for k, x in gradients(views, u[some], target[some], weight[some]).items():
+                g[place[k]] = x.ravel()
+            np.subtract(g, m, out=part)
+            part *= np.float32(0.1)
+            m += part
+            g *= g
+            g -= s
+            g *= np.float32(0.01)
+            s += g
+            np.multiply(s, np.float32(1 / (1 - 0.99 ** step)), out=part)
+            np.sqrt(part, out=part)
+            part += np.float32(1e-6)
+            np.divide(m, part, out=part)
+            part *= np.float32(rate / (1 - 0.9 ** step))
+            now -= part
+    return {k: v.copy() for k, v in views.items()}
 
 
 def flat(p: dict[str, np.ndarray]) -> np.ndarray:
@@ -408,6 +442,27 @@ def clusters(company: np.ndarray, weight: np.ndarray, k: int) -> np.ndarray:
     return own
 
 
+def company(ids: np.ndarray, unit: np.ndarray) -> np.ndarray:
+    """How often each unit lies in a window with units of each remainder by ``COMPANY``; each id of ``segments`` once, in windows
+    of ``CONTEXT`` ids."""
+    ends = np.flatnonzero(ids == _STOP)
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    starts = starts + np.where(ids[starts] == _MORE, CONTEXT - STRIDE + 2, 0)  # ids that the segment before holds
+    size = ends - starts
+    step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    u = unit[ids[np.repeat(starts, size) + step]]
+    window = np.cumsum(step % CONTEXT == 0) - 1
+    # windows side by side, filled up with a unit of no company; then pairs of an id and an id of its window
+    full = np.full((int(window[-1]) + 1 if len(window) else 0, CONTEXT), UNITS, np.int64)
+    full[window, step % CONTEXT] = u
+    out = np.zeros((UNITS + 1) * (COMPANY + 1))
+    for at in range(0, len(full), 1024):
+        some = full[at:at + 1024]
+        pairs = some[:, :, None] * (COMPANY + 1) + np.where(some < UNITS, some % COMPANY, COMPANY)[:, None, :]
+        out += np.bincount(pairs.ravel(), minlength=len(out))
+    return out.reshape(UNITS + 1, COMPANY + 1)[:UNITS, :COMPANY]
+
+
 def learn(windows: DataFrame, count: np.ndarray, path: str, end_id: int) -> Model:
     """Classes and attention weights of all training windows; ``count``: of every id in all training text."""
     token = bpe.Decoder.load(path).token
@@ -428,26 +483,7 @@ def learn(windows: DataFrame, count: np.ndarray, path: str, end_id: int) -> Mode
     unit = np.where(begin, 0, 1).astype(np.int64)  # two units for all other ids
     unit[order] = np.arange(len(order)) + 2
 
-    def company(ids: np.ndarray) -> np.ndarray:
-        ends = np.flatnonzero(ids == _STOP)
-        starts = np.concatenate([[0], ends[:-1] + 1])
-        starts = starts + np.where(ids[starts] == _MORE, CONTEXT - STRIDE + 2, 0)  # ids that the segment before holds
-        size = ends - starts
-        step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        # each id once, in windows of CONTEXT ids
-        u = unit[ids[np.repeat(starts, size) + step]]
-        window = np.cumsum(step % CONTEXT == 0) - 1
-        near = np.zeros((int(window[-1]) + 1 if len(window) else 1, COMPANY), np.float32)
-        np.add.at(near, (window, u % COMPANY), 1)
-        out = np.zeros((UNITS, COMPANY), np.float64)
-        by = np.argsort(u, kind="stable")
-        for at in range(0, len(by), 200_000):
-            some = by[at:at + 200_000]
-            head = np.flatnonzero(np.concatenate([[True], np.diff(u[some]) > 0]))
-            out[u[some][head]] += np.add.reduceat(near[window[some]], head, axis=0)
-        return out
-
-    together = T.table_sum(over(company), UNITS * COMPANY).reshape(UNITS, COMPANY)
+    together = T.table_sum(over(lambda ids: company(ids, unit)), UNITS * COMPANY).reshape(UNITS, COMPANY)
     kind = np.zeros(IDS, np.int64)
     first = 0
     for begins in (True, False):

@@ -287,3 +287,32 @@ def test_pipeline_stages(workers):
 
 def test_registered():
     assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
+
+
+def test_lm_company_and_steps():
+    """Company against pairs counted one by one; a walk of the descent against Adam written out."""
+    r = np.random.Generator(np.random.PCG64(5))
+    sizes = np.array([0, 1, 31, 40, 7000])
+    parts = list(lm.segments(r.integers(0, 300, sizes.sum()).astype(np.uint16), np.concatenate([[0], np.cumsum(sizes)]), 50256))
+    unit = r.integers(0, lm.UNITS, lm.IDS)
+    want = np.zeros((lm.UNITS, lm.COMPANY))
+    for part in parts:
+        for seg in np.split(part, np.flatnonzero(part == lm._STOP) + 1)[:-1]:
+            seg = seg[lm.CONTEXT - lm.STRIDE + 2:-1] if seg[0] == lm._MORE else seg[:-1]
+            for at in range(0, len(seg), lm.CONTEXT):
+                u = unit[seg[at:at + lm.CONTEXT]]
+                np.add.at(want, (u[:, None], u[None, :] % lm.COMPANY), 1)
+    assert (lm.company(np.concatenate(parts), unit) == want).all()
+
+    p = lm.initial(64, 6)
+    u, target, weight = r.integers(0, 64, (150, 32)), r.integers(0, 6, (150, 32)), np.ones((150, 32), np.float32)
+    got = lm.descend(p, (u, target, weight), 1, 0.01, 3)
+    q, m, s = ({k: f(v) for k, v in p.items()} for f in (np.copy, np.zeros_like, np.zeros_like))
+    order = np.random.Generator(np.random.PCG64(3)).permutation(150)
+    for step, at in enumerate(range(0, 150, 64), 1):
+        some = order[at:at + 64]
+        for k, g in lm.gradients(q, u[some], target[some], weight[some]).items():
+            m[k] += 0.1 * (g - m[k])
+            s[k] += 0.01 * (g * g - s[k])
+            q[k] = q[k] - 0.01 * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(s[k] / (1 - 0.99 ** step)) + 1e-6)
+    assert all(np.allclose(got[k], q[k], atol=1e-5) for k in p) and not np.allclose(got["e"], p["e"], atol=1e-3)
