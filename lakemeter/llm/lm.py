@@ -69,29 +69,36 @@ class Subwords:
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[int, int] = {}
+        self.known = np.zeros(0, np.uint64)  # sorted
+        self.row = np.zeros(0, np.int64)
         self.ids = np.zeros(1 << 16, np.uint16)
         self.start = np.zeros(1 << 14, np.int64)
         self.size = np.zeros(1 << 14, np.int64)
         self.used = 0
 
-    def look_up(self, hashes: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, number of ids of each word) of the words ``data[start:end]`` in order."""
-        unique, at, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.place) > self.LIMIT:
+    def look_up(self, hashes: tuple[np.ndarray, np.ndarray, np.ndarray], data: np.ndarray, start: np.ndarray,
+                end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each word) of the words ``data[start:end]`` in order; ``hashes``: the distinct
+        ones, sorted, with the first word of each and the place of each word's."""
+        unique, at, back = hashes
+        if len(self.known) > self.LIMIT:
             self.clear()
-        keys = unique.tolist()
-        known = self.place
-        new = [i for i, k in enumerate(keys) if k not in known]
-        if new:
-            words = [b" " + data[start[at[i]]:end[at[i]]].tobytes() for i in new]
+        first = len(self.known)
+        place = np.searchsorted(self.known, unique)
+        old = np.zeros(len(unique), bool)
+        if first:
+            old = self.known[np.minimum(place, first - 1)] == unique
+        row = np.empty(len(unique), np.int64)
+        row[old] = self.row[place[old]]
+        new = np.flatnonzero(~old)
+        if len(new):
+            words = [b" " + data[start[i]:end[i]].tobytes() for i in at[new].tolist()]
             found = self.vocabulary.pieces_of(words)
             sizes = np.fromiter((len(x) // 4 for x in found), np.int64, len(found))
             flat = np.frombuffer(b"".join(found), "<u4").astype(np.uint16)
-            first = len(known)
-            for offset, i in enumerate(new):
-                known[keys[i]] = first + offset
-            while len(self.start) < len(known):
+            row[new] = first + np.arange(len(new))
+            self.known, self.row = np.insert(self.known, place[new], unique[new]), np.insert(self.row, place[new], row[new])
+            while len(self.start) < len(self.known):
                 self.start, self.size = np.resize(self.start, 2 * len(self.start)), np.resize(self.size, 2 * len(self.size))
             while len(self.ids) < self.used + len(flat):
                 self.ids = np.resize(self.ids, 2 * len(self.ids))
@@ -99,7 +106,7 @@ class Subwords:
             self.size[first:first + len(new)] = sizes
             self.start[first:first + len(new)] = self.used + np.cumsum(sizes) - sizes
             self.used += len(flat)
-        row = np.fromiter((known[k] for k in keys), np.int64, len(keys))[back]
+        row = row[back]
         size = self.size[row]
         spot = np.repeat(self.start[row] - (np.cumsum(size) - size), size) + np.arange(size.sum())
         return self.ids[spot], size
@@ -142,11 +149,11 @@ def gather_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int, sh
 
     for block in T.blocks(batches):
         w = T.words(block.data, block.offsets, lower=True)
-        ids, sizes = subwords(path).look_up(w.hash, T.LOWER[block.data], w.start, w.end)
+        unique, at, back, count = np.unique(w.hash, return_index=True, return_inverse=True, return_counts=True)
+        ids, sizes = subwords(path).look_up((unique, at, back), T.LOWER[block.data], w.start, w.end)
         id_counts += np.bincount(ids, minlength=IDS)
         id_counts[end_id] += len(block)
         upto = np.concatenate([[0], np.cumsum(sizes)])
-        unique, at, count = np.unique(w.hash, return_index=True, return_counts=True)
         rows = np.zeros(len(unique) + 1, _COUNT)
         rows["word"][:-1], rows["n"][:-1], rows["first"][:-1] = unique, count, ids[upto[at]]
         rows[-1] = (END_WORD, len(block), end_id)
@@ -271,7 +278,7 @@ class Model:
         split = np.zeros((p["out"].shape[1], 2), np.float32)
         split[:, 0] = 1
         split[:self.begins, 1] = 1
-        return {"q": p["e"] @ p["wq"] / np.float32(np.sqrt(WIDTH)), "k": p["e"] @ p["wk"], "v": p["e"] @ p["wv"],
+        return {"qkv": np.concatenate([p["e"] @ p["wq"] / np.float32(np.sqrt(WIDTH)), p["e"] @ p["wk"], p["e"] @ p["wv"]], axis=1),
                 "o": p["e"] @ p["wx"] + p["b"], "bias": bias, "split": split, "out": p["out"]}
 
 
@@ -282,17 +289,23 @@ def initial(units: int, kinds: int) -> dict[str, np.ndarray]:
             "out": f(WIDTH, kinds), "b": np.zeros(kinds, np.float32), "far": np.zeros(CONTEXT, np.float32)}
 
 
-def attend(t: dict[str, np.ndarray], u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Masked attention of windows of units (windows, CONTEXT): (logits' exponentials, sums over all classes and over those that begin a word)."""
-    q, k, v = t["q"][u], t["k"][u], t["v"][u]
+def attend(t: dict[str, np.ndarray], u: np.ndarray, places: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Masked attention of windows of units (windows, CONTEXT): (logits' exponentials, sums over all classes and over those
+    that begin a word), of all places or of those asked for (numbered through all windows)."""
+    flat_u = u.ravel()
+    y = t["qkv"].take(flat_u, axis=0).reshape(*u.shape, 3 * WIDTH)
+    q, k, v = y[..., :WIDTH], y[..., WIDTH:2 * WIDTH], y[..., 2 * WIDTH:]
     s = np.matmul(q, k.transpose(0, 2, 1))
     s += t["bias"]
     np.minimum(s, 30, out=s)
     np.exp(s, out=s)
     o = np.matmul(s, v)
-    o /= s.sum(axis=2, keepdims=True)
-    z = o.reshape(-1, WIDTH) @ t["out"]
-    z += t["o"][u].reshape(-1, z.shape[1])
+    o /= (s @ np.ones(s.shape[2], s.dtype))[:, :, None]
+    o = o.reshape(-1, WIDTH)
+    if places is not None:
+        flat_u, o = flat_u[places], o.take(places, axis=0)
+    z = o @ t["out"]
+    z += t["o"].take(flat_u, axis=0)
     np.minimum(z, 60, out=z)
     np.maximum(z, -60, out=z)
     np.exp(z, out=z)
@@ -308,37 +321,42 @@ _WIDE = np.arange(WIDTH)
 def gradients(p: dict[str, np.ndarray], u: np.ndarray, target: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
     """Gradients of the mean cross-entropy of the next class over a batch of windows.
 
-    Projections are one product, sums along rows are products with ones, and vectors of units are added up by one
-    weighted count: many small arrays cost more here than their numbers."""
+    Projections are one product, sums along rows are products with ones, vectors of units are added up in one call,
+    and places without weight get no logits: many small arrays cost more here than their numbers."""
     n, c = u.shape
     flat_u, rows = u.ravel(), n * c
+    share = (weight / max(weight.sum(), 1)).ravel()
+    used = np.flatnonzero(share)  # the other places are only looked at: their outputs have no gradient
+    share = share[used]
     scale = np.float32(1 / np.sqrt(WIDTH))
     into = np.concatenate([p["wq"] * scale, p["wk"], p["wv"]], axis=1)
-    x = p["e"][flat_u]
+    x = p["e"].take(flat_u, axis=0)
     y = (x @ into).reshape(n, c, 3 * WIDTH)
     q, k, v = y[..., :WIDTH], y[..., WIDTH:2 * WIDTH], y[..., 2 * WIDTH:]
     a = np.matmul(q, k.transpose(0, 2, 1))
     a += (p["far"][_FAR] + _AHEAD)[:c, :c]
     a -= a.max(axis=2, keepdims=True)
     np.exp(a, out=a)
-    a /= (a @ np.ones(c, np.float32))[:, :, None]
-    xo = np.concatenate([x, np.matmul(a, v).reshape(rows, WIDTH)], axis=1)
+    a *= (1 / (a @ np.ones(c, np.float32)))[:, :, None]
+    o = np.matmul(a, v)
+    xo = np.concatenate([x.take(used, axis=0), o.reshape(rows, WIDTH).take(used, axis=0)], axis=1)
     onto = np.concatenate([p["wx"], p["out"]])
     d = xo @ onto
     d += p["b"]
     d -= d.max(axis=1, keepdims=True)
     np.exp(d, out=d)
-    share = (weight / max(weight.sum(), 1)).ravel()
     d *= (share / (d @ np.ones(d.shape[1], np.float32)))[:, None]
-    d[np.arange(rows), target.ravel()] -= share
+    d[np.arange(len(used)), target.ravel()[used]] -= share
     both = xo.T @ d
-    g = {"wx": both[:WIDTH], "out": both[WIDTH:], "b": np.ones(rows, np.float32) @ d}
+    g = {"wx": both[:WIDTH], "out": both[WIDTH:], "b": np.ones(len(used), np.float32) @ d}
     back = d @ onto.T
-    do = back[:, WIDTH:].reshape(n, c, WIDTH)
+    do = np.zeros((rows, WIDTH), back.dtype)
+    do[used] = back[:, WIDTH:]
+    do = do.reshape(n, c, WIDTH)
     dy = np.empty_like(y)
     np.matmul(a.transpose(0, 2, 1), do, out=dy[..., 2 * WIDTH:])
     ds = np.matmul(do, v.transpose(0, 2, 1))
-    ds -= np.einsum("ijk,ijk->ij", ds, a)[:, :, None]
+    ds -= np.einsum("ijk,ijk->ij", do, o)[:, :, None]
     ds *= a
     # the mask leaves zeros ahead of each place
     g["far"] = np.bincount(_FAR[:c, :c].ravel(), weights=np.ones(n, np.float32) @ ds.reshape(n, c * c), minlength=CONTEXT).astype(np.float32)
@@ -347,9 +365,11 @@ def gradients(p: dict[str, np.ndarray], u: np.ndarray, target: np.ndarray, weigh
     dy = dy.reshape(rows, 3 * WIDTH)
     three = x.T @ dy
     g["wq"], g["wk"], g["wv"] = three[:, :WIDTH] * scale, three[:, WIDTH:2 * WIDTH], three[:, 2 * WIDTH:]
-    dx = back[:, :WIDTH] + dy @ into.T
-    units = p["e"].shape[0]
-    g["e"] = np.bincount((flat_u[:, None] * WIDTH + _WIDE).ravel(), weights=dx.ravel(), minlength=units * WIDTH).reshape(units, WIDTH).astype(np.float32)
+    dx = dy @ into.T
+    dx[used] += back[:, :WIDTH]
+    e = np.zeros(p["e"].size, dx.dtype)
+    np.add.at(e, (flat_u[:, None] * WIDTH + _WIDE).ravel(), dx.ravel())
+    g["e"] = e.reshape(p["e"].shape)
     return g
 
 
@@ -534,17 +554,17 @@ def id_scores(model: Model, t: dict[str, np.ndarray], ids: np.ndarray, bounds: n
     nth = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
     begin = bounds[doc] + nth * STRIDE
     chosen, any_ = np.empty(len(ids), np.float32), np.empty(len(ids), np.float32)
-    for at in range(0, len(doc), 256):
-        some = slice(at, at + 256)
+    for at in range(0, len(doc), 64):  # what a block of windows needs stays in a core's cache
+        some = slice(at, at + 64)
         spot = begin[some, None] + np.arange(CONTEXT)
         last = bounds[doc[some] + 1][:, None] - 1
-        z, sums = attend(t, units[np.minimum(spot, last)])
         # the first window of a document scores all its ids, later ones their last STRIDE
         own = (spot <= last) & ((nth[some, None] == 0) | (np.arange(CONTEXT) >= CONTEXT - STRIDE))
         row = np.flatnonzero(own.ravel())
         where = spot.ravel()[row]
-        chosen[where] = z[row, kinds[where]] / sums[row, 0]
-        any_[where] = sums[row, 1] / sums[row, 0]
+        z, sums = attend(t, units[np.minimum(spot, last)], row)
+        chosen[where] = z[np.arange(len(row)), kinds[where]] / sums[:, 0]
+        any_[where] = sums[:, 1] / sums[:, 0]
     tiny = np.float32(1e-30)
     return np.log(np.maximum(chosen, tiny)) + model.inside[ids], np.log(np.maximum(any_, tiny))
 
@@ -584,7 +604,7 @@ def score_batches(batches: Iterator[pa.RecordBatch], model: Model, table: Table,
     for block in T.blocks(batches):
         k = len(block)
         w = T.words(block.data, block.offsets, lower=True)
-        ids, sizes = subwords(path).look_up(w.hash, T.LOWER[block.data], w.start, w.end)
+        ids, sizes = subwords(path).look_up(np.unique(w.hash, return_index=True, return_inverse=True), T.LOWER[block.data], w.start, w.end)
         # each document's words and its end: word slots, then id slots
         n_words = np.diff(w.bounds)
         slot_bounds = np.concatenate([[0], np.cumsum(n_words + 1)])

@@ -272,6 +272,25 @@ def test_lm_windows_score_each_id_once_and_alike():
             assert abs(got[bounds[d] + i] - np.log(z[i - begin, model.kind[own[i]]] / sums[i - begin, 0])) < 1e-4
 
 
+def test_lm_subwords_and_places(monkeypatch):
+    """Ids of words kept from block to block, also when the store is emptied; logits of some places only."""
+    monkeypatch.setattr(lm.Subwords, "LIMIT", 40)
+    store, vocabulary, r = lm.Subwords(RANKS), bpe.Vocabulary.load(RANKS, r"\S+"), np.random.default_rng(3)
+    for block in range(6):
+        words = [b"w%dunbelievably" % i for i in r.integers(0, 30 + 20 * block, 50)]
+        edge = np.concatenate([[0], np.cumsum([len(x) for x in words])])
+        hashes = np.array([zlib.crc32(x) for x in words], np.uint64)
+        ids, sizes = store.look_up(np.unique(hashes, return_index=True, return_inverse=True),
+                                   np.frombuffer(b"".join(words), np.uint8), edge[:-1], edge[1:])
+        want = [np.frombuffer(x, "<u4").tolist() for x in vocabulary.pieces_of([b" " + x for x in words])]
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == want
+    t = lm.Model(None, None, None, 2, lm.initial(12, 6)).prepared()
+    u = r.integers(0, 12, (5, lm.CONTEXT))
+    places = np.flatnonzero(r.random(u.size) > 0.4)
+    for some, every in zip(lm.attend(t, u, places), lm.attend(t, u)):
+        assert np.allclose(some, every[places], rtol=1e-5)
+
+
 def test_pipeline_stages(workers):
     import corpus_pipeline
 
